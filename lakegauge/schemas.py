@@ -7,10 +7,10 @@ even where each observed value parses as an integer.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 # Column names, order and types of the published feeds.
-_DDL = {
+_DECLARED = {
     "nbastats": """
         GAME_ID STRING, EVENTNUM BIGINT, EVENTMSGTYPE BIGINT, EVENTMSGACTIONTYPE BIGINT,
         PERIOD BIGINT, WCTIMESTRING STRING, PCTIMESTRING STRING, HOMEDESCRIPTION STRING,
@@ -57,9 +57,16 @@ _DDL = {
     """,
 }
 
-SCHEMAS: dict[str, StructType] = {
-    source: StructType.fromDDL(" ".join(ddl.split())) for source, ddl in _DDL.items()
-}
+_TYPES = {"STRING": StringType(), "BIGINT": LongType(), "DOUBLE": DoubleType()}
+
+
+def declare(text: str) -> StructType:
+    """Nullable columns from ``name TYPE, ...``, without needing a session."""
+    pairs = (item.split() for item in text.split(","))
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+SCHEMAS: dict[str, StructType] = {source: declare(text) for source, text in _DECLARED.items()}
 
 
 def schema_for(source: str) -> StructType:
