@@ -10,6 +10,7 @@ from __future__ import annotations
 import csv
 import io
 import lzma
+import sys
 import tarfile
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -17,10 +18,14 @@ from typing import IO
 
 import pyarrow as pa
 import pyarrow.csv as pacsv
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+# Ship the functions below to the executors by value: the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SUFFIX = ".tar.xz"
 
 # Size of a parsed batch, and so the longest row accepted; a longer one fails the load.
