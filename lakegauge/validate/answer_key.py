@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, LongType, StructType
 
 from lakegauge.functions.columns import column
 from lakegauge.functions.names import name_source
@@ -58,7 +58,7 @@ def load_answer_key(
 
 
 def read_answer_key(spark: SparkSession, base: str) -> DataFrame:
-    schema = StructType(list(SCHEMA.fields)).add("season", "bigint").add("playoffs", "boolean")
+    schema = StructType(list(SCHEMA.fields)).add("season", LongType()).add("playoffs", BooleanType())
     return spark.read.schema(schema).parquet(table_folder(base))
 
 
