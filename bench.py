@@ -68,7 +68,7 @@ def duckdb_seconds(names: list[str]) -> dict[str, float]:
     connection.execute(f"SET threads = {CPUS}")
     for file in os.listdir(SF_DIR):
         connection.execute(f"CREATE VIEW {file.removesuffix('.parquet')} AS SELECT * FROM '{SF_DIR}/{file}'")
-    return {n: median_seconds(lambda: connection.execute(ORACLES[n]).fetch_arrow_table()) for n in names}
+    return {n: median_seconds(lambda: connection.execute(ORACLES[n]).to_arrow_table()) for n in names}
 
 
 def main() -> None:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakegauge.checks.feeds import bronze_lake, land, new_lake, pack_archives, table, year
 from lakegauge.functions.game import canonical_game_id, clock_seconds, game_date, score_margin, score_part
@@ -24,11 +25,11 @@ from lakegauge.operators.joins import (
 )
 from lakegauge.operators.sequence import previous_value, running_total
 from lakegauge.plans.catalog import query, rebuild
-from lakegauge.plans.loads import checksum_status, pending, text_rows, typed_rows, write_datasets
+from lakegauge.plans.loads import checksum_status, dataset_rows, pending, write_datasets
 from lakegauge.plans.reports import run_report
 from lakegauge.schemas import declare
 from lakegauge.scratch import scratch_dir
-from lakegauge.sources.archives import archive_headers
+from lakegauge.sources.archives import all_strings, archive_headers
 from lakegauge.sources.manifest import manifest_entries, manifest_faults, with_name_parts
 from lakegauge.validate.answer_key import compare_to_key
 
@@ -332,16 +333,13 @@ def manifest_fault_lines(spark, sf_dir):
 # --- loads -------------------------------------------------------------------
 
 
-def _loaded(spark: SparkSession, frame: DataFrame, schema: str | None) -> tuple[Lake, DataFrame]:
+def _loaded(spark: SparkSession, frame: DataFrame, schema: StructType) -> tuple[Lake, DataFrame]:
     """Pack ``frame``, load the archives as source ``feed`` and give the lake and the outcome."""
     lake = new_lake(spark)
     archives = pack_archives(frame)
     datasets = with_name_parts(archives.select("name").distinct())
-    if schema is None:
-        rows = text_rows(archives, [c for c in frame.columns if c != "name"])
-    else:
-        rows = typed_rows(archives, declare(schema))
-    return lake, write_datasets(rows, lake.zone("bronze") + "/feed", datasets)
+    rows = dataset_rows(archives, schema)
+    return lake, write_datasets(rows, lake.bronze("feed"), datasets)
 
 
 def _order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,7 +355,9 @@ def _order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_ORDER_FEED = "o_orderkey BIGINT, o_orderdate STRING, o_totalprice DOUBLE, o_custkey BIGINT, o_orderstatus STRING"
+_ORDER_FEED = declare(
+    "o_orderkey BIGINT, o_orderdate STRING, o_totalprice DOUBLE, o_custkey BIGINT, o_orderstatus STRING"
+)
 
 
 @_registered
@@ -387,7 +387,7 @@ def archive_texts(spark, sf_dir):
         "lang",
         "source",
     )
-    lake, _ = _loaded(spark, documents, None)
+    lake, _ = _loaded(spark, documents, all_strings(["doc_id", "text", "lang", "source"]))
     return spark.read.parquet(lake.bronze("feed")).select("doc_id", "text", "lang", "source")
 
 

@@ -9,8 +9,8 @@ from pyspark.sql.types import DataType, DoubleType, LongType, StringType, Struct
 from lakegauge.functions.columns import column
 
 # Spark's own cast also takes surrounding blanks and Java suffixes such as 1.0d, so the accepted
-# texts are stated here and the cast only converts them.
-_ACCEPTED = {
+# texts are stated here and the cast only converts them. Both Java and RE2 read these patterns.
+ACCEPTED = {
     LongType(): r"^[+-]?[0-9]+$",
     DoubleType(): r"^(?:[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
     r"|[+-]?(?i:inf|infinity)|(?i:nan))$",
@@ -21,13 +21,11 @@ def strict_cast(text: Column, to: DataType, label: str) -> Column:
     """Cast a string column: null stays null, a misfit (overflow included) raises naming ``label``."""
     if to == StringType():
         return text
-    if to not in _ACCEPTED:
+    if to not in ACCEPTED:
         raise TypeError(f"{label}: no strict cast to {to.simpleString()}")
-    fits = F.when(text.rlike(_ACCEPTED[to]), text.try_cast(to))
-    misfit = F.raise_error(
-        F.concat(F.lit(f"{label} does not fit {to.simpleString()}: "), F.to_json(F.struct(text.alias("value"))))
-    )
-    return F.when(text.isNull(), F.lit(None)).otherwise(F.coalesce(fits, misfit.cast(to))).cast(to)
+    fits = F.when(text.rlike(ACCEPTED[to]), text.try_cast(to))
+    misfit = F.raise_error(F.concat(F.lit(f"{label} does not fit {to.simpleString()}: "), text)).cast(to)
+    return F.when(text.isNotNull(), F.coalesce(fits, misfit))
 
 
 def apply_schema(frame: DataFrame, schema: StructType, *keep: str) -> DataFrame:

@@ -16,13 +16,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakegauge.functions.strict import apply_schema
 from lakegauge.layout import PARTITION_COLUMNS, Lake
 from lakegauge.operators.drift import require_no_drift
 from lakegauge.schemas import SCHEMAS
 from lakegauge.scratch import scratch_dir
 from lakegauge.sinks.partitions import append_rows, replace_partitions, replace_with_empty
-from lakegauge.sources.archives import archive_files, archive_headers, archive_rows
+from lakegauge.sources.archives import all_strings, archive_files, archive_headers, archive_rows
 from lakegauge.sources.manifest import with_name_parts
 from lakegauge.sources.tables import data_files, landed_partitions
 
@@ -116,15 +115,10 @@ def _require_intact(headers: DataFrame, recorded: DataFrame) -> None:
 _CARRIED = ["name", *PARTITION_COLUMNS]
 
 
-def text_rows(archives: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All-string rows led by ``name``, ``season`` and ``playoffs``."""
-    return archive_rows(with_name_parts(archives), columns, _CARRIED)
-
-
-def typed_rows(archives: DataFrame, schema: StructType) -> DataFrame:
-    """Strictly typed rows led by ``name``, ``season`` and ``playoffs``; the archives must hold
-    exactly the schema's columns."""
-    return apply_schema(text_rows(archives, schema.names), schema, *_CARRIED)
+def dataset_rows(archives: DataFrame, schema: StructType) -> DataFrame:
+    """Rows of archives holding exactly the schema's columns, strictly typed and led by ``name``,
+    ``season`` and ``playoffs``."""
+    return archive_rows(with_name_parts(archives), schema, _CARRIED)
 
 
 def write_datasets(rows: DataFrame, path: str, datasets: DataFrame) -> DataFrame:
@@ -217,7 +211,7 @@ def load_typed(
     for source, rows in by_source.items():
         archives = archive_files(spark, [r.path for r in rows])
         datasets = with_name_parts(archives.select("name"))
-        results.append(write_datasets(typed_rows(archives, schemas[source]), target[source], datasets))
+        results.append(write_datasets(dataset_rows(archives, schemas[source]), target[source], datasets))
     return _finish(results, headers, ledger)
 
 
@@ -278,7 +272,7 @@ def capture(
     for (source, columns), paths in sorted(shapes.items()):
         archives = archive_files(spark, paths)
         datasets = with_name_parts(archives.select("name"))
-        results.append(write_datasets(text_rows(archives, columns), lake.captured(source), datasets))
+        results.append(write_datasets(dataset_rows(archives, all_strings(columns)), lake.captured(source), datasets))
     loaded = _finish(results, headers, lake.checksums).select("name", F.col("rows").alias("__loaded"))
     known = recorded_checksums(spark, lake.checksums)
     outcome = entries.join(known, "name", "left").join(loaded, "name", "left")

@@ -18,6 +18,9 @@ SETTINGS = {
     # A load task writes few partitions, so keeping their writers open saves a sort of the
     # task's rows; tasks that meet more partitions fall back to the sort.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
+    # The JVM never compiles methods above this size, and a generated stage casting a few dozen
+    # columns is larger; past the limit Spark generates one method per expression instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 

@@ -17,11 +17,14 @@ from contextlib import contextmanager
 from typing import IO
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.csv as pacsv
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import DataType, DoubleType, LongType, StringType, StructField, StructType
+
+from lakegauge.functions.strict import ACCEPTED
 
 # Ship the functions below to the executors by value: the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -119,27 +122,59 @@ def archive_headers(archives: DataFrame) -> DataFrame:
     return hashed.mapInArrow(read, "name STRING, sha256 STRING, columns ARRAY<STRING>")
 
 
-def archive_rows(archives: DataFrame, columns: Sequence[str], carry: Sequence[str] = ("name",)) -> DataFrame:
-    """All rows of the archives, every column a string, led by the ``carry`` columns of their archive.
+_ARROW_TYPES = {LongType(): pa.int64(), DoubleType(): pa.float64()}
+# Texts Arrow reads as numbers in ways of its own (hexadecimal, not-a-number) are checked one by one.
+_UNUSUAL = {LongType(): "[xX]", DoubleType(): "[nN]"}
+
+
+def _typed(values: pa.Array, to: DataType, label: str) -> pa.Array:
+    """A parsed column strictly cast, by the same rule as ``strict_cast``."""
+    if to == StringType():
+        return values
+    if not pc.any(pc.match_substring_regex(values, _UNUSUAL[to])).as_py():
+        try:
+            return pc.cast(values, _ARROW_TYPES[to])
+        except pa.ArrowInvalid:
+            pass  # A plus sign, or a misfit to be named.
+    misfits = values.filter(pc.invert(pc.match_substring_regex(values, ACCEPTED[to])))
+    try:
+        if len(misfits) == 0:
+            return pc.cast(pc.replace_substring_regex(values, r"^\+", ""), _ARROW_TYPES[to])
+    except pa.ArrowInvalid as overflow:
+        raise ValueError(f"{label} does not fit {to.simpleString()}: {overflow}") from overflow
+    raise ValueError(f"{label} does not fit {to.simpleString()}: {misfits[0].as_py()}")
+
+
+def archive_rows(archives: DataFrame, schema: StructType, carry: Sequence[str] = ("name",)) -> DataFrame:
+    """All rows of the archives in the schema's columns, led by the ``carry`` columns of their archive.
 
-    Each archive must hold exactly ``columns``, in any order; drift raises in the task, so a write
-    fed by this commits nothing.
+    Each archive must hold exactly the schema's columns, in any order, and each value must fit its
+    type. The columns are cast while they lie parsed in the task, whole batches at a time. Drift and
+    misfits raise there, so a write fed by this commits nothing.
     """
-    columns, carry = list(columns), list(carry)
+    carry = list(carry)
     source = archives.select("name", "content", *(c for c in carry if c != "name"))
-    schema = StructType([source.schema[c] for c in carry])
-    for c in columns:
-        schema = schema.add(c, StringType())
+    output = StructType([*(source.schema[c] for c in carry), *schema.fields])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in batches:
             names, contents = held.column("name"), held.column("content")
             for i in range(held.num_rows):
-                for batch in _text_batches(names[i].as_py(), contents[i].as_py(), columns):
+                name = names[i].as_py()
+                for batch in _text_batches(name, contents[i].as_py(), schema.names):
                     labels = [pa.repeat(held.column(c)[i], batch.num_rows) for c in carry]
-                    yield pa.RecordBatch.from_arrays([*labels, *batch.columns], names=[*carry, *columns])
+                    typed = [
+                        _typed(values, field.dataType, f"{name}: {field.name}")
+                        for values, field in zip(batch.columns, schema.fields)
+                    ]
+                    yield pa.RecordBatch.from_arrays([*labels, *typed], names=output.names)
+
+    return source.mapInArrow(read, output)
+
 
-    return source.mapInArrow(read, schema)
+def all_strings(columns: Sequence[str]) -> StructType:
+    """Schema keeping every column as it is written."""
+    return StructType([StructField(c, StringType()) for c in columns])
 
 
 def bare_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakegauge.layout import Lake
 from lakegauge.operators.drift import require_no_drift
-from lakegauge.plans.loads import typed_rows, write_datasets
+from lakegauge.plans.loads import dataset_rows, write_datasets
 from lakegauge.schemas import SCHEMAS
 from lakegauge.sources.archives import SUFFIX, archive_headers
 from lakegauge.sources.manifest import with_name_parts
@@ -27,7 +27,7 @@ def _load_batch(files: DataFrame, lake: Lake) -> None:
     for source in sources:
         archives = _of_source(named, source)
         datasets = with_name_parts(archives.select("name"))
-        write_datasets(typed_rows(archives, SCHEMAS[source]), lake.bronze(source), datasets)
+        write_datasets(dataset_rows(archives, SCHEMAS[source]), lake.bronze(source), datasets)
 
 
 def _of_source(named: DataFrame, source: str) -> DataFrame:

@@ -2,22 +2,25 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, LongType
 
 from conftest import archive_bytes, csv_text, drop_archive
+from lakegauge.functions.strict import strict_cast
 from lakegauge.layout import Lake
 from lakegauge.operators.drift import SchemaDrift, header_drift
 from lakegauge.plans.loads import (
     archive_checksums,
     capture,
     checksum_status,
+    dataset_rows,
     load_bronze,
     sidecar_checksums,
-    typed_rows,
 )
 from lakegauge.schemas import SCHEMAS, schema_for
-from lakegauge.sources.archives import archive_files, archive_headers, archive_rows, bare_csv
+from lakegauge.sources.archives import _typed, all_strings, archive_files, archive_headers, archive_rows, bare_csv
 from lakegauge.sources.tables import landed_partitions, read_bronze
 
 POINTS = "game_id,points\n42000101,24\n42000102,7\n"
@@ -49,14 +52,14 @@ def files_under(folder):
 
 def test_archive_rows_are_strings_in_the_columns_asked_for(spark, lake):
     drop_archive(lake.raw, "d_2020", POINTS)
-    frame = archive_rows(archive_files(spark, lake.raw), ["points", "game_id"])
+    frame = archive_rows(archive_files(spark, lake.raw), all_strings(["points", "game_id"]))
     assert frame.dtypes == [("name", "string"), ("points", "string"), ("game_id", "string")]
     assert sorted(map(tuple, frame.collect())) == [("d_2020", "24", "42000101"), ("d_2020", "7", "42000102")]
 
 
 def test_unquoted_empty_is_null_quoted_empty_is_text_and_newlines_survive(spark, lake):
     drop_archive(lake.raw, "d_2020", 'a,b\n,""\n"x\ny",z\n')
-    rows = [(r.a, r.b) for r in archive_rows(archive_files(spark, lake.raw), ["a", "b"]).collect()]
+    rows = [(r.a, r.b) for r in archive_rows(archive_files(spark, lake.raw), all_strings(["a", "b"])).collect()]
     assert rows == [(None, ""), ("x\ny", "z")]
 
 
@@ -75,7 +78,7 @@ def test_unquoted_empty_is_null_quoted_empty_is_text_and_newlines_survive(spark,
 def test_a_bad_archive_fails_the_read(spark, content, message):
     frame = spark.createDataFrame([("bad", bytearray(content))], "name STRING, content BINARY")
     with pytest.raises(Exception, match=message):
-        archive_rows(frame, ["x"]).collect()
+        archive_rows(frame, all_strings(["x"])).collect()
 
 
 def test_headers_carry_checksum_and_columns(spark, lake):
@@ -309,22 +312,42 @@ def test_a_corrupt_archive_lands_nothing(spark, lake):
     assert landed_partitions(spark, lake.capture).isEmpty()
 
 
-def test_strict_double_texts(spark):
-    from lakegauge.functions.strict import strict_cast
-    from pyspark.sql.types import DoubleType
+DOUBLES = {
+    "1": 1.0, "1.": 1.0, ".5": 0.5, "-2.5e-3": -0.0025, "+1E5": 100000.0, "NaN": "nan", "inf": float("inf"),
+    "-Infinity": float("-inf"), None: None,
+}
+BIGINTS = {"7": 7, "-7": -7, "+5": 5, "007": 7, "9223372036854775807": 2**63 - 1, "-9223372036854775808": -(2**63), None: None}
+BAD = {
+    "double": ["1.0d", "1f", " 2.5 ", "0x1p3", "", ".", "e5", "1,5", "nan(1)", "-nan", "+-1"],
+    "bigint": ["1.5", "1e3", " 7 ", "", "0x1F", "+", "+-1", "1 2", "9223372036854775808", "-9223372036854775809"],
+}
 
-    good = ["1", "1.", ".5", "-2.5e-3", "+1E5", "NaN", "inf", "-Infinity"]
-    frame = spark.createDataFrame([(t,) for t in good], "t STRING")
-    values = [r.v for r in frame.select(strict_cast(F.col("t"), DoubleType(), "t").alias("v")).collect()]
-    assert values[:5] == [1.0, 1.0, 0.5, -0.0025, 100000.0]
-    assert values[5] != values[5] and values[6:] == [float("inf"), float("-inf")]
-    for bad in ["1.0d", "1f", " 2.5 ", "0x1p3", "", ".", "e5", "1,5"]:
-        frame = spark.createDataFrame([(bad,)], "t STRING")
-        with pytest.raises(Exception, match="does not fit double"):
-            frame.select(strict_cast(F.col("t"), DoubleType(), "t")).collect()
 
+def _seen(values):
+    return ["nan" if v != v else v for v in values]
 
-def test_typed_rows_have_no_shuffle(spark, lake):
+
+@pytest.mark.parametrize(("kind", "good"), [(DoubleType(), DOUBLES), (LongType(), BIGINTS)])
+def test_strict_casts_agree_in_columns_and_in_batches(spark, kind, good):
+    texts, name = list(good), kind.simpleString()
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING").orderBy("i")
+    cast = frame.select(strict_cast(F.col("t"), kind, "t").alias("v"))
+    assert cast.dtypes == [("v", name)]
+    assert _seen(r.v for r in cast.collect()) == list(good.values())
+    assert _seen(_typed(pa.array(texts, pa.string()), kind, "t").to_pylist()) == list(good.values())
+    for bad in BAD[name]:
+        with pytest.raises(Exception, match=f"t does not fit {name}"):
+            spark.createDataFrame([(bad,)], "t STRING").select(strict_cast(F.col("t"), kind, "t")).collect()
+        with pytest.raises(ValueError, match=f"t does not fit {name}"):
+            _typed(pa.array(["1", None, bad]), kind, "t")
+
+
+def test_other_targets_have_no_strict_cast(spark):
+    with pytest.raises(TypeError, match="no strict cast to date"):
+        strict_cast(F.col("t"), DateType(), "t")
+
+
+def test_a_load_has_no_shuffle(spark, lake):
     drop_archive(lake.raw, "datanba_2023", csv_text(schema_for("datanba"), [{}]))
-    plan = typed_rows(archive_files(spark, lake.raw), schema_for("datanba"))._jdf.queryExecution().executedPlan()
+    plan = dataset_rows(archive_files(spark, lake.raw), schema_for("datanba"))._jdf.queryExecution().executedPlan()
     assert "Exchange" not in plan.toString()
