@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegauge.functions.columns import column
+from lakegauge.functions.columns import quoted
 
 
 def _same_columns(a: DataFrame, b: DataFrame) -> None:
@@ -20,25 +20,23 @@ def _same_columns(a: DataFrame, b: DataFrame) -> None:
 
 
 def _counted(a: DataFrame, b: DataFrame, names: Sequence[str]) -> DataFrame:
+    quoted_names = list(map(quoted, names))
+
     def side(frame: DataFrame, left: int) -> DataFrame:
-        return frame.select(
-            *map(column, names),
-            F.lit(left).cast("bigint").alias("left_rows"),
-            F.lit(1 - left).cast("bigint").alias("right_rows"),
-        )
+        return frame.selectExpr(*quoted_names, f"{left}L AS left_rows", f"{1 - left}L AS right_rows")
 
     return (
         side(a, 1)
         .unionAll(side(b, 0))
-        .groupBy(*map(column, names))
-        .agg(F.sum("left_rows").alias("left_rows"), F.sum("right_rows").alias("right_rows"))
+        .groupBy(*quoted_names)
+        .agg(F.expr("sum(left_rows) AS left_rows"), F.expr("sum(right_rows) AS right_rows"))
     )
 
 
 def row_differences(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct rows whose number differs, with ``left_rows`` and ``right_rows``. Null equals null."""
     _same_columns(a, b)
-    return _counted(a, b, a.columns).where(F.col("left_rows") != F.col("right_rows"))
+    return _counted(a, b, a.columns).where("left_rows <> right_rows")
 
 
 def identical(a: DataFrame, b: DataFrame) -> bool:
@@ -54,20 +52,18 @@ def compare_by_key(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
     """
     _same_columns(a, b)
     values = _counted(a, b, a.columns)
-    keys = values.groupBy(*map(column, key)).agg(
-        F.sum("left_rows").alias("left_rows"),
-        F.sum("right_rows").alias("right_rows"),
-        F.max(F.col("left_rows") != F.col("right_rows")).alias("__differs"),
+    keys = values.groupBy(*map(quoted, key)).agg(
+        F.expr("sum(left_rows) AS left_rows"),
+        F.expr("sum(right_rows) AS right_rows"),
+        F.expr("max(left_rows <> right_rows) AS __differs"),
     )
     status = (
-        F.when(F.col("right_rows") == 0, "left_only")
-        .when(F.col("left_rows") == 0, "right_only")
-        .when(F.col("__differs"), "mismatch")
-        .otherwise("match")
+        "CASE WHEN right_rows = 0 THEN 'left_only' WHEN left_rows = 0 THEN 'right_only' "
+        "WHEN __differs THEN 'mismatch' ELSE 'match' END AS status"
     )
-    return keys.select(*map(column, key), "left_rows", "right_rows", status.alias("status"))
+    return keys.selectExpr(*map(quoted, key), "left_rows", "right_rows", status)
 
 
 def status_counts(compared: DataFrame) -> DataFrame:
     """Number of keys per status."""
-    return compared.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return compared.groupBy("status").agg(F.expr("count(*) AS n"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegauge.functions.columns import column, has_null, types_of
+from lakegauge.functions.columns import has_null, quoted, text, types_of
 from lakegauge.operators.joins import SAMPLE, attach_sample, first_keys
 
 _VALUE = "__value"
@@ -20,10 +20,10 @@ def pooled_values(frame: DataFrame, group_by: Sequence[str], value_columns: Sequ
         raise ValueError("no value columns given")
     if any(kind != kinds[0] for kind in kinds):
         raise TypeError(f"pooled columns differ in type: {dict(zip(value_columns, kinds))}")
-    groups = list(map(column, group_by))
+    groups = list(map(quoted, group_by))
     if len(value_columns) == 1:
-        return frame.select(*groups, column(value_columns[0]).alias(_VALUE))
-    return frame.select(*groups, F.explode(F.array(*map(column, value_columns))).alias(_VALUE))
+        return frame.selectExpr(*groups, f"{quoted(value_columns[0])} AS {_VALUE}")
+    return frame.selectExpr(*groups, f"explode(array({', '.join(map(quoted, value_columns))})) AS {_VALUE}")
 
 
 def distinct_per_group(
@@ -35,7 +35,7 @@ def distinct_per_group(
     group and task, so a group holding a large share of the rows is never gathered in one place.
     """
     pairs = pooled_values(frame, group_by, value_columns).distinct()
-    return pairs.groupBy(*map(column, group_by)).agg(F.count(F.lit(1)).alias(count_as))
+    return pairs.groupBy(*map(quoted, group_by)).agg(F.expr(f"count(*) AS {quoted(count_as)}"))
 
 
 def key_coverage(
@@ -61,9 +61,8 @@ def key_coverage(
     """
     by, group_by = list(by), list(group_by)
     full = by + group_by
-    found = pooled_values(frame, full, value_columns).distinct().select(
-        *map(column, full), F.lit(1).cast("bigint").alias("__n"), F.lit(False).alias("__expected")
-    )
+    pairs = pooled_values(frame, full, value_columns).distinct()
+    found = pairs.selectExpr(*map(quoted, full), "1L AS __n", "false AS __expected")
     if reference_keys is None:
         rows = found
     else:
@@ -71,52 +70,43 @@ def key_coverage(
         theirs, mine = types_of(reference_keys, names), types_of(frame, full)
         if theirs != mine:
             raise TypeError(f"reference key types {theirs} differ from {mine}")
-        expected = reference_keys.select(
-            *(column(n).alias(g) for n, g in zip(names, full)),
-            F.lit(0).cast("bigint").alias("__n"),
-            F.lit(True).alias("__expected"),
-        )
-        rows = found.unionAll(expected)
-    units = rows.groupBy(*map(column, full)).agg(
-        F.sum("__n").alias("__n"), F.max("__expected").alias("__expected")
+        renamed = [f"{quoted(n)} AS {quoted(g)}" for n, g in zip(names, full)]
+        rows = found.unionAll(reference_keys.selectExpr(*renamed, "0L AS __n", "true AS __expected"))
+    units = rows.groupBy(*map(quoted, full)).agg(
+        F.expr("sum(__n) AS __n"), F.expr("max(__expected) AS __expected")
     )
 
-    present = F.col("__n") > 0
-    missing = F.col("__expected") & (~present | has_null(full))
-    key = F.struct(*map(column, group_by)).alias("key")
-    fewest = F.min(F.when(present, F.struct(F.col("__n").alias("n"), key)))
-    most = F.min(F.when(present, F.struct((-F.col("__n")).alias("n"), key)))
-    count = F.when(present, F.col("__n"))
+    missing = f"__expected AND (__n = 0 OR {has_null(full)})"
+    key = f"struct({', '.join(map(quoted, group_by))})"
+    count = "CASE WHEN __n > 0 THEN __n END"
     # The exact median buffers one entry per distinct count, not per group: at most about
     # sqrt(2 * distinct pairs) entries.
-    metrics = units.groupBy(*map(column, by)).agg(
-        F.count_if(present).alias("units"),
-        F.count_if("__expected").alias("reference_units"),
-        F.count_if(missing).alias("missing_units"),
-        fewest.alias("__fewest"),
-        most.alias("__most"),
-        F.coalesce(F.median(count), F.lit(0.0)).alias("median"),
-        F.coalesce(F.avg(count), F.lit(0.0)).alias("mean"),
-    )
-    zero = F.lit(0).cast("bigint")
-    metrics = metrics.select(
-        *map(column, by),
-        "units",
-        ("reference_units" if reference_keys is not None else F.lit(None).cast("bigint").alias("reference_units")),
-        "missing_units",
-        F.coalesce(F.col("__fewest.n"), zero).alias("minimum"),
-        F.col("__fewest.key").alias("minimum_key"),
-        "median",
-        "mean",
-        F.coalesce(-F.col("__most.n"), zero).alias("maximum"),
-        F.col("__most.key").alias("maximum_key"),
+    metrics = units.groupBy(*map(quoted, by)).agg(
+        F.expr("count_if(__n > 0) AS units"),
+        F.expr("count_if(__expected) AS expected"),
+        F.expr(f"count_if({missing}) AS missing_units"),
+        F.expr(f"min(CASE WHEN __n > 0 THEN struct(__n AS n, {key} AS key) END) AS fewest"),
+        F.expr(f"min(CASE WHEN __n > 0 THEN struct(-__n AS n, {key} AS key) END) AS most"),
+        F.expr(f"median({count}) AS median"),
+        F.expr(f"avg({count}) AS mean"),
     )
     evidence = first_keys(units.where(missing), group_by, sample, by)
     report = attach_sample(metrics, evidence, group_by, "missing_sample", by)
-    return report.select(
-        F.lit(name).alias("name"),
-        F.lit(dataset).alias("dataset"),
-        F.lit(unit).alias("unit"),
-        F.lit(measure).alias("measure"),
-        "*",
+    expected = "report.expected" if reference_keys is not None else "CAST(NULL AS BIGINT)"
+    return report.selectExpr(
+        f"{text(name)} AS name",
+        f"{text(dataset)} AS dataset",
+        f"{text(unit)} AS unit",
+        f"{text(measure)} AS measure",
+        *map(quoted, by),
+        "report.units",
+        f"{expected} AS reference_units",
+        "report.missing_units",
+        "coalesce(report.fewest.n, 0L) AS minimum",
+        "report.fewest.key AS minimum_key",
+        "coalesce(report.median, 0D) AS median",
+        "coalesce(report.mean, 0D) AS mean",
+        "coalesce(-report.most.n, 0L) AS maximum",
+        "report.most.key AS maximum_key",
+        "missing_sample",
     )

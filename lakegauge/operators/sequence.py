@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakegauge.functions.columns import column
+from lakegauge.operators.skew import LARGE_ROWS, join_bounded, large_groups
 from lakegauge.scratch import scratch_dir
 
-BLOCK_ROWS = 5_000_000
 # Sampled order positions per block; they only balance the blocks.
 _SAMPLES_PER_BLOCK = 64
 
@@ -47,20 +47,6 @@ def _located(bounds: str) -> Column:
     )
 
 
-def _join_groups(frame: DataFrame, small: DataFrame, names: Sequence[str], how: str) -> DataFrame:
-    """Join a table of bounded size on ``names``; a null group meets the null group."""
-    renamed = {name: f"__g{i}" for i, name in enumerate(names)}
-    small = small.withColumnsRenamed(renamed)
-    condition = [column(name).eqNullSafe(F.col(alias)) for name, alias in renamed.items()]
-    return frame.join(F.broadcast(small), condition, how).drop(*renamed.values())
-
-
-def large_groups(frame: DataFrame, group_by: Sequence[str], block_rows: int) -> DataFrame:
-    """Groups of more than ``block_rows`` rows with their ``rows``; at most rows / block_rows many."""
-    counted = frame.groupBy(*map(column, group_by)).agg(F.count(F.lit(1)).alias("rows"))
-    return counted.where(F.col("rows") > block_rows)
-
-
 def _cuts(
     frame: DataFrame, large: DataFrame, group_by: Sequence[str], order_by: Sequence[str], block_rows: int
 ) -> DataFrame:
@@ -72,7 +58,7 @@ def _cuts(
     spark = frame.sparkSession
     fraction = min(1.0, _SAMPLES_PER_BLOCK / block_rows)
     step = max(1, round(block_rows * fraction))
-    rows = _join_groups(frame.select(*map(column, [*group_by, *order_by])), large, group_by, "inner")
+    rows = join_bounded(frame.select(*map(column, [*group_by, *order_by])), large, group_by, "inner")
     sampled = rows.sample(fraction=fraction, seed=7).select(
         *map(column, group_by), _position(order_by).alias("__position")
     )
@@ -90,12 +76,9 @@ def _in_blocks(
     frame: DataFrame, group_by: Sequence[str], order_by: Sequence[str], block_rows: int
 ) -> tuple[DataFrame, DataFrame | None]:
     """``frame`` with a block number (0 throughout an ordinary group), and the groups cut, if any."""
-    large = large_groups(frame, group_by, block_rows).drop("rows")
-    found = large.collect()
-    if not found:
+    large = large_groups(frame, group_by, block_rows)
+    if large is None:
         return frame.withColumn(_BLOCK, F.lit(0)), None
-    large = frame.sparkSession.createDataFrame(found, large.schema)
-
     cuts = _cuts(frame, large, group_by, order_by, block_rows)
     groups = list(map(column, group_by))
     is_coarse = (F.col("__cut") % _FAN == 0) & (F.col("__cut") > 0)
@@ -104,9 +87,9 @@ def _in_blocks(
     sorted_cuts = F.array_sort(F.collect_list("__position"))
 
     rows = frame.withColumn("__position", _position(order_by))
-    rows = _join_groups(rows, coarse.agg(sorted_cuts.alias("__coarse")), group_by, "left")
+    rows = join_bounded(rows, coarse.agg(sorted_cuts.alias("__coarse")), group_by, "left")
     rows = rows.withColumn("__cell", _located("__coarse")).drop("__coarse")
-    rows = _join_groups(rows, fine.agg(sorted_cuts.alias("__fine")), [*group_by, "__cell"], "left")
+    rows = join_bounded(rows, fine.agg(sorted_cuts.alias("__fine")), [*group_by, "__cell"], "left")
     rows = rows.withColumn(_BLOCK, F.col("__cell") * (_FAN + 1) + _located("__fine"))
     return rows.drop("__cell", "__fine", "__position"), large
 
@@ -123,10 +106,10 @@ def _carry(
 
     Only cut groups are summarised, so the joined table has one row per block.
     """
-    cut = _join_groups(blocked, large, group_by, "inner")
+    cut = join_bounded(blocked, large, group_by, "inner")
     per_block = cut.groupBy(*map(column, group_by), _BLOCK).agg(summary.alias("__summary"))
     moved = per_block.select(*map(column, group_by), _BLOCK, across.alias("__carry"))
-    return _join_groups(rows, moved, [*group_by, _BLOCK], "left")
+    return join_bounded(rows, moved, [*group_by, _BLOCK], "left")
 
 
 def previous_value(
@@ -136,7 +119,7 @@ def previous_value(
     group_by: Sequence[str],
     order_by: Sequence[str],
     name: str,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = LARGE_ROWS,
 ) -> DataFrame:
     """Add ``name``: ``value`` of the row before in the same group, null on a group's first row.
 
@@ -162,7 +145,7 @@ def running_total(
     group_by: Sequence[str],
     order_by: Sequence[str],
     name: str,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = LARGE_ROWS,
 ) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the group's rows up to and including this one.
 

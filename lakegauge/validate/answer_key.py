@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructType
 
-from lakegauge.functions.columns import column
 from lakegauge.functions.names import name_source
 from lakegauge.operators.compare import compare_by_key
+from lakegauge.operators.joins import mark_matches
 from lakegauge.plans.loads import load_typed
 from lakegauge.schemas import declare
 
@@ -68,6 +68,6 @@ def compare_to_key(derived: DataFrame, key: DataFrame, *, game: str, on: Sequenc
     A game absent from the key is left out, not counted as a mismatch. Both tables hold the same
     columns.
     """
-    games = key.select(column(game).alias("__game")).distinct()
-    covered = derived.join(games, column(game) == F.col("__game"), "left_semi")
+    marked = mark_matches(derived, key, left_on=[game], right_on=[game], marker="__covered")
+    covered = marked.where("__covered").drop("__covered")
     return compare_by_key(covered, key, on)

@@ -9,6 +9,7 @@ from lakegauge.functions.game import canonical_game_id, clock_seconds, game_date
 from lakegauge.operators import sequence
 from lakegauge.operators.aggregates import filtered_min, group_sum
 from lakegauge.operators.compare import compare_by_key, identical, row_differences
+from lakegauge.operators.joins import first_keys, mark_matches
 from lakegauge.operators.sequence import previous_value, running_total
 from lakegauge.sources.manifest import ManifestError, manifest_lines, read_manifest, with_name_parts
 
@@ -53,6 +54,16 @@ def test_cutting_large_groups_changes_nothing(spark, monkeypatch, block_rows):
         assert identical(whole, cut)
 
 
+@pytest.mark.parametrize("large_rows", [1, 20, 10**6])
+def test_marking_matches_with_large_keys_set_apart(spark, large_rows):
+    rows = [(None if i % 4 == 0 else "hot" if i % 3 == 0 else "gone" if i % 5 == 0 else f"g{i % 7}", i) for i in range(400)]
+    left = spark.createDataFrame(rows, "k STRING, i BIGINT")
+    right = spark.createDataFrame([("hot",), ("hot",), ("g1",), (None,)], "r STRING")
+    found = mark_matches(left, right, left_on=["k"], right_on=["r"], large_rows=large_rows)
+    assert found.columns == ["k", "i", "matched"]
+    assert sorted(map(tuple, found.collect()), key=lambda r: r[1]) == [(k, i, k in ("hot", "g1")) for k, i in rows]
+
+
 def test_blocks_are_balanced(spark):
     frame = spark.range(20000).select(F.lit("hot").alias("g"), (F.col("id") * 7919 % 20000).alias("o"))
     blocked, large = sequence._in_blocks(frame, ["g"], ["o"], 500)
@@ -61,6 +72,14 @@ def test_blocks_are_balanced(spark):
     assert len(sizes) > 25 and max(sizes) < 2000
 
 
+def test_samples_per_group_are_cut_before_the_shuffle(spark):
+    frame = spark.range(1000).selectExpr("id % 2 AS s", "id AS k")
+    found = first_keys(frame, ["k"], 3, by=["s"])
+    assert sorted(map(tuple, found.collect())) == [(0, 0), (0, 2), (0, 4), (1, 1), (1, 3), (1, 5)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan.split("Exchange", 1)[1]
+
+
 def test_group_sum_and_filtered_min(spark):
     teams = spark.createDataFrame([(1, 2), (1, 3), (2, 2)], "team BIGINT, points BIGINT")
     assert sorted(map(tuple, group_sum(teams, ["team"], "points", "s").collect())) == [(1, 5), (2, 2)]
