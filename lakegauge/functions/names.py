@@ -11,19 +11,24 @@ _RAW_ADDRESS = r"^https://github\.com/([^/]+)/([^/]+)/raw/(.+)$"
 _RAW_HOST = "https://raw.githubusercontent.com/$1/$2/$3"
 
 
+def _part(name: Column, group: int) -> Column:
+    # Empty, not null, where the name does not match or lacks the part.
+    return F.regexp_extract(name, _NAME, group)
+
+
 def name_source(name: Column) -> Column:
     """Source part of a dataset name; the whole name where it does not end in a year."""
-    return F.when(name.rlike(_NAME), F.regexp_extract(name, _NAME, 1)).otherwise(name)
+    return F.coalesce(F.nullif(_part(name, 1), F.lit("")), name)
 
 
 def name_season(name: Column) -> Column:
     """Starting year as BIGINT, null where the name does not end in one."""
-    return F.when(name.rlike(_NAME), F.regexp_extract(name, _NAME, 3).cast("bigint"))
+    return _part(name, 3).try_cast("bigint")
 
 
 def name_playoffs(name: Column) -> Column:
     """Whether the name carries the playoff marker."""
-    return name.rlike(_NAME) & (F.regexp_extract(name, _NAME, 2) != "")
+    return _part(name, 2) != ""
 
 
 def direct_address(url: Column) -> Column:

@@ -11,6 +11,7 @@ before the first write. Fetching archives over the network is left to whatever f
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -166,15 +167,15 @@ def _total(held: DataFrame) -> int:
 
 
 def _finish(results: list[DataFrame], headers: DataFrame, ledger: str) -> DataFrame:
-    """Record the checksums of what was loaded, once all of it is in place, and give the outcome."""
+    """Record the checksums of what was loaded, once all of it is in place, and give the outcome.
+
+    The outcome is a record of this load, one row per archive, so it is fixed here and does not
+    follow later changes of the tables.
+    """
     append_rows(headers.select("name", "sha256", F.current_timestamp().alias("recorded_at")), ledger)
-    outcome = results[0]
-    for more in results[1:]:
-        outcome = outcome.unionByName(more)
-    sums = headers.select("name", "sha256")
-    return outcome.join(sums, "name").select(
-        "name", *_DATASET, "sha256", F.coalesce("rows", F.lit(0)).alias("rows")
-    )
+    outcome = reduce(DataFrame.unionByName, results).join(headers.select("name", "sha256"), "name")
+    outcome = outcome.select("name", *_DATASET, "sha256", F.coalesce("rows", F.lit(0)).alias("rows"))
+    return headers.sparkSession.createDataFrame(outcome.collect(), outcome.schema)
 
 
 def load_typed(
