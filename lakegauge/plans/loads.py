@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -135,16 +135,18 @@ def write_datasets(rows: DataFrame, path: str, datasets: DataFrame) -> DataFrame
 
     handed = seen.get["rows"]
     held = _held(stored, path, datasets)
-    if _total(held) == handed and held.where(F.col("rows").isNull()).isEmpty():
-        return held
-    # Rare: a CSV without rows touches no partition, so an older load of it would live on.
-    filled = rows.select("name").distinct()
-    for empty in datasets.join(filled, "name", "left_anti").collect():
-        replace_with_empty(stored, path, empty.season, empty.playoffs)
-    held = _held(stored, path, datasets)
-    if _total(held) != handed:
-        raise RuntimeError(f"{path}: {handed} rows read but {_total(held)} found after the write")
-    return held
+    found = held.collect()
+    if _total(found) != handed or any(r.rows is None for r in found):
+        # Rare: a CSV without rows touches no partition, so an older load of it would live on.
+        filled = rows.select("name").distinct()
+        for empty in datasets.join(filled, "name", "left_anti").collect():
+            replace_with_empty(stored, path, empty.season, empty.playoffs)
+        # A new frame, since a frame lists its files once.
+        found = _held(stored, path, datasets).collect()
+    if _total(found) != handed:
+        raise RuntimeError(f"{path}: {handed} rows read but {_total(found)} found after the write")
+    # A record of this load, one row per dataset: it does not follow later changes of the table.
+    return datasets.sparkSession.createDataFrame(found, held.schema)
 
 
 def _held(stored: DataFrame, path: str, datasets: DataFrame) -> DataFrame:
@@ -161,21 +163,15 @@ def _held(stored: DataFrame, path: str, datasets: DataFrame) -> DataFrame:
     return datasets.join(counts, same, "left").select(*datasets.columns, "rows")
 
 
-def _total(held: DataFrame) -> int:
-    # Several archives may make up one dataset; its partition counts once.
-    return held.dropDuplicates(list(PARTITION_COLUMNS)).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+def _total(found: list[Row]) -> int:
+    return sum({(r.season, r.playoffs): r.rows or 0 for r in found}.values())
 
 
 def _finish(results: list[DataFrame], headers: DataFrame, ledger: str) -> DataFrame:
-    """Record the checksums of what was loaded, once all of it is in place, and give the outcome.
-
-    The outcome is a record of this load, one row per archive, so it is fixed here and does not
-    follow later changes of the tables.
-    """
+    """Record the checksums of what was loaded, once all of it is in place, and give the outcome."""
     append_rows(headers.select("name", "sha256", F.current_timestamp().alias("recorded_at")), ledger)
     outcome = reduce(DataFrame.unionByName, results).join(headers.select("name", "sha256"), "name")
-    outcome = outcome.select("name", *_DATASET, "sha256", F.coalesce("rows", F.lit(0)).alias("rows"))
-    return headers.sparkSession.createDataFrame(outcome.collect(), outcome.schema)
+    return outcome.select("name", *_DATASET, "sha256", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
 def load_typed(
