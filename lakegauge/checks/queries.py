@@ -24,6 +24,7 @@ from lakegauge.operators.joins import (
     unmatched_sample,
 )
 from lakegauge.operators.sequence import previous_value, running_total
+from lakegauge.operators.skew import LARGE_ROWS
 from lakegauge.plans.catalog import query, rebuild
 from lakegauge.plans.loads import checksum_status, dataset_rows, pending, write_datasets
 from lakegauge.plans.reports import run_report
@@ -223,8 +224,8 @@ def running_total_by_user(spark, sf_dir):
 
 
 def _block_rows(events: DataFrame) -> int:
-    # A handful of groups hold the whole table, so each is cut into a few dozen blocks at any size.
-    return max(1, events.count() // 64)
+    # A handful of groups hold the whole table. Small tables are cut too, so that the cuts are checked.
+    return max(1, min(LARGE_ROWS, events.count() // 64))
 
 
 @_registered
