@@ -9,6 +9,7 @@ the last value or the total across the cut. Results are the same either way.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,8 +59,8 @@ def _cuts(
     spark = frame.sparkSession
     fraction = min(1.0, _SAMPLES_PER_BLOCK / block_rows)
     step = max(1, round(block_rows * fraction))
-    rows = join_bounded(frame.select(*map(column, [*group_by, *order_by])), large, group_by, "inner")
-    sampled = rows.sample(fraction=fraction, seed=7).select(
+    thin = frame.select(*map(column, [*group_by, *order_by])).sample(fraction=fraction, seed=7)
+    sampled = join_bounded(thin, large, group_by, "inner").select(
         *map(column, group_by), _position(order_by).alias("__position")
     )
     ranked = Window.partitionBy(*map(column, group_by)).orderBy("__position")
@@ -72,44 +73,50 @@ def _cuts(
     return spark.read.schema(cuts.schema).parquet(path)
 
 
-def _in_blocks(
+@dataclass(frozen=True)
+class _Blocks:
+    """Block numbering of a table: 0 throughout an ordinary group, by cuts within a large one."""
+
+    group_by: Sequence[str]
+    order_by: Sequence[str]
+    large: DataFrame | None
+    cuts: DataFrame | None
+
+    def number(self, rows: DataFrame) -> DataFrame:
+        """Add the block number to rows of the table."""
+        if self.cuts is None:
+            return rows.withColumn(_BLOCK, F.lit(0))
+        groups = list(map(column, self.group_by))
+        is_coarse = (F.col("__cut") % _FAN == 0) & (F.col("__cut") > 0)
+        coarse = self.cuts.where(is_coarse).groupBy(*groups)
+        cell = F.expr(f"CAST(__cut DIV {_FAN} AS INT) AS __cell")
+        fine = self.cuts.where(~is_coarse).groupBy(*groups, cell)
+        sorted_cuts = F.expr("array_sort(collect_list(__position))")
+
+        rows = rows.withColumn("__position", _position(self.order_by))
+        rows = join_bounded(rows, coarse.agg(sorted_cuts.alias("__coarse")), self.group_by, "left")
+        rows = rows.withColumn("__cell", _located("__coarse")).drop("__coarse")
+        rows = join_bounded(rows, fine.agg(sorted_cuts.alias("__fine")), [*self.group_by, "__cell"], "left")
+        rows = rows.withColumn(_BLOCK, F.col("__cell") * (_FAN + 1) + _located("__fine"))
+        return rows.drop("__cell", "__fine", "__position")
+
+    def carry(self, frame: DataFrame, rows: DataFrame, summary: Column, across: Column) -> DataFrame:
+        """Attach ``__carry`` to ``rows``: each block's ``summary``, moved ``across`` its group's blocks.
+
+        Only rows of large groups are summarised, so the joined table has one row per block.
+        """
+        cut = self.number(join_bounded(frame, self.large, self.group_by, "inner"))
+        per_block = cut.groupBy(*map(column, self.group_by), _BLOCK).agg(summary.alias("__summary"))
+        moved = per_block.select(*map(column, self.group_by), _BLOCK, across.alias("__carry"))
+        return join_bounded(rows, moved, [*self.group_by, _BLOCK], "left")
+
+
+def _blocks(
     frame: DataFrame, group_by: Sequence[str], order_by: Sequence[str], block_rows: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """``frame`` with a block number (0 throughout an ordinary group), and the groups cut, if any."""
+) -> _Blocks:
     large = large_groups(frame, group_by, block_rows)
-    if large is None:
-        return frame.withColumn(_BLOCK, F.lit(0)), None
-    cuts = _cuts(frame, large, group_by, order_by, block_rows)
-    groups = list(map(column, group_by))
-    is_coarse = (F.col("__cut") % _FAN == 0) & (F.col("__cut") > 0)
-    coarse = cuts.where(is_coarse).groupBy(*groups)
-    fine = cuts.where(~is_coarse).groupBy(*groups, F.expr(f"__cut div {_FAN}").cast("int").alias("__cell"))
-    sorted_cuts = F.array_sort(F.collect_list("__position"))
-
-    rows = frame.withColumn("__position", _position(order_by))
-    rows = join_bounded(rows, coarse.agg(sorted_cuts.alias("__coarse")), group_by, "left")
-    rows = rows.withColumn("__cell", _located("__coarse")).drop("__coarse")
-    rows = join_bounded(rows, fine.agg(sorted_cuts.alias("__fine")), [*group_by, "__cell"], "left")
-    rows = rows.withColumn(_BLOCK, F.col("__cell") * (_FAN + 1) + _located("__fine"))
-    return rows.drop("__cell", "__fine", "__position"), large
-
-
-def _carry(
-    blocked: DataFrame,
-    large: DataFrame,
-    rows: DataFrame,
-    group_by: Sequence[str],
-    summary: Column,
-    across: Column,
-) -> DataFrame:
-    """Attach ``__carry`` to ``rows``: each block's ``summary``, moved ``across`` the group's blocks.
-
-    Only cut groups are summarised, so the joined table has one row per block.
-    """
-    cut = join_bounded(blocked, large, group_by, "inner")
-    per_block = cut.groupBy(*map(column, group_by), _BLOCK).agg(summary.alias("__summary"))
-    moved = per_block.select(*map(column, group_by), _BLOCK, across.alias("__carry"))
-    return join_bounded(rows, moved, [*group_by, _BLOCK], "left")
+    cuts = None if large is None else _cuts(frame, large, group_by, order_by, block_rows)
+    return _Blocks(group_by, order_by, large, cuts)
 
 
 def previous_value(
@@ -125,15 +132,16 @@ def previous_value(
 
     Order is ascending with nulls first and should identify a row within its group.
     """
-    blocked, large = _in_blocks(frame, group_by, order_by, block_rows)
+    blocks = _blocks(frame, group_by, order_by, block_rows)
+    blocked = blocks.number(frame)
     window = Window.partitionBy(*map(column, [*group_by, _BLOCK])).orderBy(*map(column, order_by))
     within = F.lag(column(value)).over(window)
-    if large is None:
+    if blocks.cuts is None:
         return blocked.withColumn(name, within).drop(_BLOCK)
     rows = blocked.withColumns({"__within": within, "__row": F.row_number().over(window)})
-    blocks = Window.partitionBy(*map(column, group_by)).orderBy(_BLOCK)
+    in_turn = Window.partitionBy(*map(column, group_by)).orderBy(_BLOCK)
     last = F.max_by(column(value), _position(order_by))
-    rows = _carry(blocked, large, rows, group_by, last, F.lag("__summary").over(blocks))
+    rows = blocks.carry(frame, rows, last, F.lag("__summary").over(in_turn))
     result = F.when(F.col("__row") == 1, F.col("__carry")).otherwise(F.col("__within"))
     return rows.withColumn(name, result).drop("__within", "__row", "__carry", _BLOCK)
 
@@ -151,14 +159,15 @@ def running_total(
 
     A row whose value is null has a null total; the rows after it carry on from the sum before it.
     """
-    blocked, large = _in_blocks(frame, group_by, order_by, block_rows)
+    blocks = _blocks(frame, group_by, order_by, block_rows)
+    blocked = blocks.number(frame)
     upto = (
         Window.partitionBy(*map(column, [*group_by, _BLOCK]))
         .orderBy(*map(column, order_by))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     has_value = column(value).isNotNull()
-    if large is None:
+    if blocks.cuts is None:
         return blocked.withColumn(name, F.when(has_value, F.sum(column(value)).over(upto))).drop(_BLOCK)
     rows = blocked.withColumn("__within", F.sum(column(value)).over(upto))
     before = (
@@ -166,7 +175,7 @@ def running_total(
         .orderBy(_BLOCK)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    rows = _carry(blocked, large, rows, group_by, F.sum(column(value)), F.sum("__summary").over(before))
+    rows = blocks.carry(frame, rows, F.sum(column(value)), F.sum("__summary").over(before))
     zero = F.lit(0).cast(rows.schema["__carry"].dataType)
     total = F.col("__within") + F.coalesce(F.col("__carry"), zero)
     return rows.withColumn(name, F.when(has_value, total)).drop("__within", "__carry", _BLOCK)

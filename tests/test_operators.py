@@ -66,9 +66,9 @@ def test_marking_matches_with_large_keys_set_apart(spark, large_rows):
 
 def test_blocks_are_balanced(spark):
     frame = spark.range(20000).select(F.lit("hot").alias("g"), (F.col("id") * 7919 % 20000).alias("o"))
-    blocked, large = sequence._in_blocks(frame, ["g"], ["o"], 500)
-    sizes = [r["count"] for r in blocked.groupBy("__block").count().collect()]
-    assert [r.g for r in large.collect()] == ["hot"]
+    blocks = sequence._blocks(frame, ["g"], ["o"], 500)
+    sizes = [r["count"] for r in blocks.number(frame).groupBy("__block").count().collect()]
+    assert [r.g for r in blocks.large.collect()] == ["hot"]
     assert len(sizes) > 25 and max(sizes) < 2000
 
 
