@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakegauge.checks.feeds import bronze_lake, land, new_lake, pack_archives, table, year
+from lakegauge.checks.feeds import bronze_lake, new_lake, pack_archives, table, year
 from lakegauge.functions.game import canonical_game_id, clock_seconds, game_date, score_margin, score_part
 from lakegauge.functions.strict import apply_schema
 from lakegauge.layout import Lake
@@ -311,9 +311,8 @@ def name_parts(spark, sf_dir):
 def _manifest_lines(pages: DataFrame) -> DataFrame:
     """A manifest line per page: some are comments, some repository addresses, one name in ten pages
     comes twice, and a page without a query string has no url."""
-    url = F.when(
-        F.col("url").startswith("https:"), F.concat(F.lit("https://github.com/own/repo/raw/main/"), "page_id", F.lit(".tar.xz"))
-    ).otherwise(F.regexp_extract("url", r"^[^?]+\?(.*)$", 0))
+    repository = F.concat(F.lit("https://github.com/own/repo/raw/main/"), "page_id", F.lit(".tar.xz"))
+    url = F.when(F.col("url").startswith("https:"), repository).otherwise(F.regexp_extract("url", r"^[^?]+\?(.*)$", 0))
     name = F.concat(F.lit("page_"), F.expr("page_id - IF(page_id % 10 = 9, 1, 0)"), F.lit("_2020"))
     mark = F.when(F.col("page_id") % 25 == 24, "# ").otherwise(" ")
     return pages.select(F.col("page_id").alias("line_no"), F.concat(mark, name, F.lit(" = "), url).alias("line"))
@@ -367,7 +366,7 @@ def archive_roundtrip(spark, sf_dir):
     lake, _ = _loaded(spark, _order_feed(spark, sf_dir), _ORDER_FEED)
     stored = spark.read.parquet(lake.bronze("feed"))
     return stored.select(
-        F.col("season").cast("bigint").alias("season"), "o_orderkey", "o_orderdate", "o_totalprice", "o_custkey", "o_orderstatus"
+        F.col("season").cast("bigint").alias("season"), *_ORDER_FEED.names
     )
 
 

@@ -14,6 +14,9 @@ class Lake:
 
     base: str
 
+    def __post_init__(self) -> None:
+        object.__setattr__(self, "base", self.base.rstrip("/"))
+
     @property
     def raw(self) -> str:
         return f"{self.base}/raw"

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import urlsplit
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -36,17 +38,18 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _stems(spark: SparkSession, lake: Lake, zone: str, pattern: str) -> DataFrame:
-    root = lake.zone(zone)
-    inside = F.regexp_extract("path", rf"/{zone}/{pattern}", 1)
-    entry = F.regexp_extract("path", rf"/{zone}/([^/]+)", 1)
-    return (
-        data_files(spark, root)
-        .select(inside.alias("name"), entry.alias("entry"))
-        .where(F.col("name") != "")
-        .distinct()
-        .select(F.lit(zone).alias("zone"), "name", F.concat(F.lit(f"{root}/"), "entry").alias("path"))
-    )
+def _entries(spark: SparkSession, lake: Lake) -> DataFrame:
+    """(``zone``, ``entry``) of the folders and files directly under the published zones that hold
+    data; in bronze only data with a season counts."""
+    listings = []
+    for zone in ZONES:
+        root = lake.zone(zone)
+        # Listed paths carry the file system's full address, so look for the folder within them.
+        inside = F.split_part("path", F.lit(urlsplit(root).path + "/"), F.lit(2))
+        pattern = "^([^/]+)/season=[0-9]+/" if zone == "bronze" else "^([^/]+)"
+        entry = F.regexp_extract(inside, pattern, 1).alias("entry")
+        listings.append(data_files(spark, root).select(F.lit(zone).alias("zone"), entry))
+    return reduce(DataFrame.unionAll, listings).where("entry <> ''").distinct()
 
 
 def planned_views(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -56,22 +59,12 @@ def planned_views(spark: SparkSession, lake: Lake) -> DataFrame:
     neither does a dataset without a season. Silver and gold plan what lies in the zone, a folder or
     a single ``<name>.parquet``.
     """
-    declared = spark.createDataFrame(
-        [("bronze", source, lake.bronze(source)) for source in sorted(SCHEMAS)],
-        "zone STRING, name STRING, path STRING",
-    )
-    landed = _stems(spark, lake, "bronze", r"([^/]+)/season=[0-9]+/").select(
-        F.col("name").alias("__landed")
-    ).distinct()
-    bronze = declared.join(landed, F.col("name") == F.col("__landed"), "left").select(
-        "zone", "name", "path", F.col("__landed").isNotNull().alias("present")
-    )
-    plan = bronze
-    for zone in ZONES:
+    found = {(r.zone, r.entry) for r in _entries(spark, lake).collect()}
+    plan = [("bronze", s, lake.bronze(s), ("bronze", s) in found) for s in sorted(SCHEMAS)]
+    for zone, entry in sorted(found):
         if zone != "bronze":
-            flat = _stems(spark, lake, zone, r"([^/]+?)(?:\.parquet)?(?:/|$)")
-            plan = plan.unionAll(flat.withColumn("present", F.lit(True)))
-    return plan
+            plan.append((zone, entry.removesuffix(".parquet"), f"{lake.zone(zone)}/{entry}", True))
+    return spark.createDataFrame(plan, "zone STRING, name STRING, path STRING, present BOOLEAN")
 
 
 def _view_sql(database: str, zone: str, name: str, path: str) -> str:

@@ -92,6 +92,16 @@ def test_undeclared_and_leftover_folders_get_no_view(spark, lake, tmp_path):
     assert not any("pbpstats" in view or "matchups" in view for view in made.created)
 
 
+def test_zone_names_elsewhere_in_the_path_do_not_mislead(spark, tmp_path):
+    lake = Lake(f"file://{tmp_path}/silver/bronze/lake/")
+    land_season(spark, lake, "nbastats", 2023, 2)
+    spark.range(2).write.parquet(f"{lake.zone('silver')}/a")
+    spark.range(3).write.parquet(f"{lake.zone('gold')}/b.parquet")
+    made = rebuild(spark, lake, prefix="p_")
+    assert made.created == ("p_bronze.nbastats", "p_gold.b", "p_silver.a")
+    assert [spark.table(view).count() for view in made.created] == [2, 3, 2]
+
+
 def test_a_foreign_database_is_left_alone(spark, lake):
     spark.sql("CREATE DATABASE f_bronze")
     with pytest.raises(RuntimeError, match="not made by a rebuild"):
