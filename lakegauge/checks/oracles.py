@@ -161,7 +161,7 @@ WITH entries AS (
          'page_' || (page_id - CASE WHEN page_id % 10 = 9 THEN 1 ELSE 0 END) || '_2020' AS name,
          CASE WHEN url LIKE 'https:%' THEN 'https://raw.githubusercontent.com/own/repo/main/' || page_id || '.tar.xz'
               WHEN strpos(url, '?') > 0 THEN url END AS url
-  FROM pages WHERE page_id % 25 <> 24)
+  FROM pages WHERE url NOT LIKE '%#%')
 """
 ORACLES["manifest_table"] = _PAGES + "SELECT line_no, name, url FROM entries WHERE url IS NOT NULL"
 ORACLES["manifest_fault_lines"] = (

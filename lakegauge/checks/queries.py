@@ -309,12 +309,12 @@ def name_parts(spark, sf_dir):
 
 
 def _manifest_lines(pages: DataFrame) -> DataFrame:
-    """A manifest line per page: some are comments, some repository addresses, one name in ten pages
-    comes twice, and a page without a query string has no url."""
+    """A manifest line per page. Urls with a fragment become comments, secure ones repository
+    addresses, and plain ones without a query string are left out; one name in ten comes twice."""
     repository = F.concat(F.lit("https://github.com/own/repo/raw/main/"), "page_id", F.lit(".tar.xz"))
     url = F.when(F.col("url").startswith("https:"), repository).otherwise(F.regexp_extract("url", r"^[^?]+\?(.*)$", 0))
     name = F.concat(F.lit("page_"), F.expr("page_id - IF(page_id % 10 = 9, 1, 0)"), F.lit("_2020"))
-    mark = F.when(F.col("page_id") % 25 == 24, "# ").otherwise(" ")
+    mark = F.when(F.contains("url", F.lit("#")), "# ").otherwise(" ")
     return pages.select(F.col("page_id").alias("line_no"), F.concat(mark, name, F.lit(" = "), url).alias("line"))
 
 
