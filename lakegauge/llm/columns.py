@@ -36,3 +36,29 @@ def stored(frame: DataFrame, label: str, compression: str = "zstd") -> DataFrame
     path = scratch_dir(frame.sparkSession, label)
     frame.write.option("compression", compression).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+#: Words of 64 bits in a set of hashes that is sent to every task: its size bounds the broadcast.
+_FILTER_WORDS = 1 << 16
+
+
+def _places(hashed: Column) -> tuple[Column, Column]:
+    word = F.pmod(hashed, F.lit(_FILTER_WORDS))
+    return word, F.pmod(F.shiftright(hashed, 20), F.lit(64)).cast("int")
+
+
+def possibly_among(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The ``rows`` whose ``column`` may be in the one column of ``wanted``, by a bit set of fixed size.
+
+    No wanted row is lost; others may pass, so a join has to follow. With few wanted values this spares
+    shuffling most rows; with very many, all rows pass. ``wanted`` is read once and should be stored.
+    """
+    name = wanted.columns[0]
+    word, bit = _places(F.xxhash64(F.col(name)))
+    one = F.lit(1).cast("long")
+    bits = wanted.select(word.alias("__word"), F.call_function("shiftleft", one, bit).alias("__bits"))
+    # A row for each word at most, whatever there is to hold.
+    bits = bits.groupBy("__word").agg(F.bit_or("__bits").alias("__bits"))
+    word, bit = _places(F.xxhash64(F.col(column)))
+    passes = F.call_function("shiftright", F.col("__bits"), bit).bitwiseAND(one) == one
+    return rows.join(F.broadcast(bits), (word == F.col("__word")) & passes, "left_semi")

@@ -6,9 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakegauge.llm.bpe import encode_documents
-from lakegauge.llm.columns import read_table
+from lakegauge.llm.columns import read_table, words_of
+from lakegauge.llm.itq import near_vectors
+from lakegauge.llm.langid import fit, identify
+from lakegauge.llm.lines import line_classes
+from lakegauge.llm.ngram_lm import score_texts
+from lakegauge.llm.packing import pack
+from lakegauge.llm.partenum import similar_texts
+from lakegauge.llm.pii import private_spans, span_digest
 from lakegauge.llm.quality import quality
 from lakegauge.llm.tokens import token_counts
 
@@ -27,6 +35,22 @@ def op1_token_counts(spark, sf_dir):
     return token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@_registered
+def op2_private_spans(spark, sf_dir):
+    return span_digest(private_spans(read_table(spark, sf_dir, "documents")))
+
+
+@_registered
+def op4_near_vectors(spark, sf_dir):
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+@_registered
+def op5_best_fit(spark, sf_dir):
+    """A document takes its words and one end mark."""
+    return pack(read_table(spark, sf_dir, "documents"), F.size(words_of("text")) + 1)
+
+
 @_registered
 def op7_quality_rules(spark, sf_dir):
     return quality(read_table(spark, sf_dir, "documents"))
@@ -40,3 +64,25 @@ def op9_bpe_chunks(spark, sf_dir):
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
     )
+
+
+@_registered
+def op10_language(spark, sf_dir):
+    documents = read_table(spark, sf_dir, "documents")
+    labelled = identify(documents, fit(documents))
+    return labelled.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
+@_registered
+def op6_bigram_scores(spark, sf_dir):
+    return score_texts(read_table(spark, sf_dir, "documents"))
+
+
+@_registered
+def op3_line_classes(spark, sf_dir):
+    return line_classes(read_table(spark, sf_dir, "documents"))
+
+
+@_registered
+def op8_similar_texts(spark, sf_dir):
+    return similar_texts(read_table(spark, sf_dir, "documents"))
