@@ -342,3 +342,12 @@ def similar_texts(
     result = usable.join(classes, "class").select("key", "n_shingles", "component_id")
     result = result.unionByName(alone.select("key", "n_shingles", F.col("key").alias("component_id")))
     return result.withColumnRenamed("key", key)
+
+
+def one_of_each(
+    documents: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 5, share: int = 80
+) -> DataFrame:
+    """The rows whose key is the least of their component, their columns unchanged; rows without a key stay."""
+    found = similar_texts(documents, key=key, text=text, width=width, share=share)
+    later = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("__later")).distinct()
+    return documents.join(later, F.col(key) == F.col("__later"), "left_anti")

@@ -1,0 +1,100 @@
+"""Bigram scores against counting in plain Python."""
+
+from __future__ import annotations
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from lakegauge.llm.ngram_lm import count_ngrams, interpolation_weights, learn_weights, score_texts
+from lakegauge.llm.packed import pack_integers, pack_sorted, unpack_integers, unpack_sorted
+
+END = None
+
+
+def tokens_of(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [*re.findall(r"[^\x20\x09-\x0D]+", lowered), END]
+
+
+def remainder(key):
+    return zlib.crc32(("" if key is None else str(key)).encode()) % 7
+
+
+def plain(rows, weights):
+    tokens = [(key, remainder(key), tokens_of(text)) for key, text in rows]
+    words, pairs = Counter(), Counter()
+    for _, fold, found in tokens:
+        if fold != 2:
+            words.update(found)
+            pairs.update(zip([END, *found], found))
+    total, types = sum(words.values()), len(words)
+    result = []
+    for key, fold, found in tokens:
+        base = sum(math.log10((words[w] + 1) / (total + types + 1)) for w in found)
+        score = 0.0
+        for v, w in zip([END, *found], found):
+            mix = weights[math.frexp(words[v])[1]]
+            p2 = pairs[v, w] / words[v] if words[v] else 0
+            score += math.log10(mix[0] * p2 + mix[1] * (words[w] / total if total else 0) + mix[2] / (types + 1))
+        known = sum(words[w] > 0 for w in found)
+        result.append((key, fold == 2, len(found), known, total, base, score))
+    return result
+
+
+def same(found, wanted):
+    order = lambda row: (repr(row[0]), row[2], row[5])
+    assert len(found) == len(wanted)
+    for a, b in zip(sorted(map(tuple, found), key=order), sorted(wanted, key=order), strict=True):
+        assert a[:5] == b[:5]
+        assert a[5:] == pytest.approx(b[5:], rel=1e-9)
+
+
+@pytest.mark.parametrize("block_bytes", [20_000, 1 << 24])
+def test_scores(documents, block_bytes):
+    counted = count_ngrams(documents, key="doc_id", text="text", block_bytes=block_bytes)
+    weights = interpolation_weights(counted)
+    assert weights == pytest.approx(weights / weights.sum(axis=1, keepdims=True))
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    same(score_texts(documents, block_bytes=block_bytes).collect(), plain(rows, weights))
+
+
+def test_bigrams_predict_held_out_texts_better(documents):
+    rows = [r for r in score_texts(documents).collect() if r.held_out]
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_odd_documents(odd_documents, no_documents):
+    counted = count_ngrams(odd_documents, key="doc_id", text="text")
+    rows = [tuple(r) for r in odd_documents.select("doc_id", "text").collect()]
+    found = score_texts(odd_documents).collect()
+    same(found, plain(rows, interpolation_weights(counted)))
+    assert {r.n_tokens for r in found if r.doc_id in (0, 1, 2)} == {1}
+    assert score_texts(no_documents).count() == 0
+
+
+def test_no_training_texts(odd_documents):
+    held = odd_documents.where("crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 7 = 2")
+    for row in score_texts(held).collect():
+        assert row.train_tokens == row.n_known == 0 and row.base_score == row.score == 0
+
+
+def test_weights_follow_the_events():
+    bucket = np.array([5, 9]) << 40
+    cell = np.sort(np.concatenate([bucket + 1, bucket + 2]))
+    n = np.array([900, 100, 100, 900])
+    p2, p1 = np.array([0.5, 0.0, 0.5, 0.0]), np.full(4, 0.01)
+    weights = learn_weights({"cell": cell, "n": n, "p1": n * p1, "p2": n * p2}, 1000)
+    assert weights[5][0] > 0.85 and weights[9][0] < 0.2
+    assert np.allclose(weights.sum(axis=1), 1) and (weights[:, 2] > 0).all()
+
+
+def test_packed_integers():
+    for values in ([0, 5, 2**64 - 1], [], [7] * 5, range(1000)):
+        numbers = np.array(list(values), np.uint64)
+        assert (unpack_integers(pack_integers(numbers)) == numbers).all()
+        assert (unpack_sorted(pack_sorted(np.sort(numbers))) == np.sort(numbers)).all()

@@ -1,0 +1,92 @@
+"""The pipeline's stages against a brute-force version, and the contract of its module."""
+
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline
+from lakegauge.llm.columns import stored
+from lakegauge.llm.pii import KINDS
+from llm.conftest import invented
+from llm.test_lines import edited, plain_classes
+from llm.test_packing import check
+from llm.test_private import plain_spans
+from llm.test_quality import keeps, plain as measured
+from llm.test_similar import plain as similar
+
+
+def corpus():
+    """Documents with shared lines, near copies, personal data and junk."""
+    source = random.Random(21)
+    shared = [" ".join(["the", *invented(9, 70 + n)]) for n in range(4)]
+    texts = []
+    for n in range(30):
+        lines = [" ".join(["the", *invented(source.randint(5, 14), 1000 * n + k)]) for k in range(6)]
+        if n % 3 == 0:
+            lines.insert(2, edited(source.choice(shared), source.randint(0, 2), source))
+        if n % 5 == 0:
+            lines[0] += f" write to box{n}@mail.example.com or +1 555 010 99{n:02d}"
+        text = "\n".join(lines)
+        texts.append(text)
+        if n % 4 == 0:
+            texts.append(text)
+            # Words are changed in every line, so the lines differ by more than two edits and the text stays alike.
+            texts.append(text.replace(" ", "  ").replace("\n", " \n   "))
+        if n % 6 == 0:
+            texts += ["junk $$$ " * 30, "too short"]
+    return {100 + i: t for i, t in enumerate(texts)}
+
+
+def plain_stages(texts):
+    yield {k: t for k, t in texts.items() if keeps(measured(t))}
+    texts = {k: t for k, t in texts.items() if keeps(measured(t))}
+    classes = plain_classes(texts)
+    cleaned = {}
+    for key, text in texts.items():
+        gone = {n for (k, n), c in classes.items() if k == key and not c[3]}
+        rest = "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone)
+        if not gone or rest.split():
+            cleaned[key] = rest
+    yield cleaned
+    texts = {key: cleaned[key] for key, _, component in similar(list(cleaned.items()), 5, 80) if key == component}
+    yield texts
+    redacted = {}
+    for key, text in texts.items():
+        for start, kind, end in reversed(plain_spans(text)):
+            text = f"{text[:start]}[{KINDS[kind].upper()}]{text[end:]}"
+        redacted[key] = text
+    yield redacted
+
+
+def test_stages(spark):
+    texts = corpus()
+    rows = [(k, t, "en", "s", len(t)) for k, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    schema = docs.schema
+    sizes = [docs.count()]
+    for (name, stage), wanted in zip(corpus_pipeline.STAGES, plain_stages(texts), strict=False):
+        docs = stored(stage(spark, docs, ""), "test-stage")
+        assert docs.schema == schema, name
+        assert {r.doc_id: r.text for r in docs.collect()} == wanted, name
+        sizes.append(docs.count())
+    assert sizes[0] > sizes[1] > sizes[3] > 0
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
+    check(packed, {k: len(t.split()) + 1 for k, t in wanted.items()}, (512, 1024, 2048, 4096))
+
+
+def test_run_applies_the_stages(spark, documents):
+    packed = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    keys = {r.doc_id for r in packed.collect()}
+    assert 0.5 * documents.count() < len(keys) < documents.count()
+
+
+def test_names():
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality rules", "line dedup", "near duplicates", "private data", "packing",
+    ]
+
+
+def test_odd_documents(spark, odd_documents, no_documents):
+    for _, stage in corpus_pipeline.STAGES:
+        stage(spark, odd_documents, "").collect()
+        assert stage(spark, no_documents, "").count() == 0
