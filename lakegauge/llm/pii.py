@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,8 @@ SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
 
 _FILTER_WORDS = 1 << 14
+#: Terms a task holds before it hands on what it has counted.
+_TASK_TERMS = 300_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -178,32 +181,37 @@ def _term_filter(candidates: DataFrame) -> np.ndarray:
 
 
 def _document_counts(documents: DataFrame, text: str, candidates: DataFrame) -> DataFrame:
-    """``n_t``: in how many rows each candidate term occurs."""
+    """``n_t``: in how many rows each candidate term occurs, added up in each task first."""
     bits = _term_filter(candidates).tolist()
 
+    def passes(term: str) -> bool:
+        word = bits[zlib.crc32(term.encode()) % _FILTER_WORDS]
+        return bool(word >> (zlib.crc32(term[::-1].encode()) % 64) & 1) if word else False
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, bool] = {}
+        counts: Counter[str] = Counter()
 
-        def passes(term: str) -> bool:
-            answer = known.get(term)
-            if answer is None:
-                if len(known) > 500_000:
-                    known.clear()
-                word = bits[zlib.crc32(term.encode()) % _FILTER_WORDS]
-                answer = bool(word >> (zlib.crc32(term[::-1].encode()) % 64) & 1) if word else False
-                known[term] = answer
-            return answer
+        def held() -> pa.RecordBatch:
+            columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["term", "n"])
 
         for batch in batches:
-            terms: list[str] = []
             for value in batch.column("text"):
-                terms += filter(passes, set(_WORD.findall((value.as_py() or "").lower())))
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string())], names=["term"])
+                terms = set(_WORD.findall((value.as_py() or "").lower()))
+                known.update((term, passes(term)) for term in terms if term not in known)
+                counts.update(term for term in terms if known[term])
+            if len(known) > _TASK_TERMS:
+                known.clear()
+            if len(counts) > _TASK_TERMS:
+                yield held()
+                counts.clear()
+        yield held()
 
     if not any(bits):
         return candidates.select("term", F.lit(0).cast("long").alias("n_t")).limit(0)
-    emitted = documents.select(F.col(text).alias("text")).mapInArrow(emit, "term string")
-    counted = emitted.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    emitted = documents.select(F.col(text).alias("text")).mapInArrow(emit, "term string, n long")
+    counted = emitted.groupBy("term").agg(F.sum("n").alias("n_t"))
     return counted.join(candidates, "term", "left_semi")
 
 
