@@ -18,7 +18,7 @@ and not read otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakegauge.llm.columns import let, possibly_among, stored
@@ -27,6 +27,9 @@ from lakegauge.llm.components import components
 EDITS = 2
 MIN_CHARS = 24
 
+_INDEXED, _LOOKS_FOR_SHORTER, _LOOKS_FOR_EQUAL = 0, 1, 2
+_SKETCHED = ("id", "letters", "pairs")
+
 
 def _segment(length: Column, at: int, edits: int) -> tuple[Column, Column]:
     """Start (from 0) and length of segment ``at`` of a line of ``length`` characters."""
@@ -35,29 +38,29 @@ def _segment(length: Column, at: int, edits: int) -> tuple[Column, Column]:
     return start, F.floor(length * (at + 1) / parts).cast("int") - start
 
 
-def _index_keys(line: Column, size: Column, edits: int) -> Column:
-    keys = []
-    for at in range(edits + 1):
-        start, length = _segment(size, at, edits)
-        keys.append(F.xxhash64(size, F.lit(at), F.substring(line, start + 1, length)))
-    return F.array(*keys)
+def _keys(line: Column, size: Column, edits: int) -> Column:
+    """What a line is found by and looks for: an array of key ``k`` and ``kind``.
 
+    As an indexed line it has the key of each of its segments. It looks for lines as long as itself or up
+    to ``edits`` shorter: segment ``at`` of a line shorter by ``less`` may have moved by up to ``at`` places, counted
+    from the front, and by up to ``edits - at``, counted from the back; it must be within both.
+    """
 
-def _probe_keys(line: Column, size: Column, edits: int) -> Column:
-    """Keys of lines as long as this one or up to ``edits`` shorter, and whether they are as long.
+    def key(size: Column, at: int, start: Column, length: Column, kind: int) -> Column:
+        hashed = F.xxhash64(size, F.lit(at), F.substring(line, start + 1, length))
+        return F.struct(hashed.alias("k"), F.lit(kind).alias("kind"))
 
-    Segment ``at`` of a line shorter by ``less`` may have moved by up to ``at`` places, counted from the front,
-    and by up to ``edits - at``, counted from the back; it must be within both.
-    """
     keys = []
+    for at in range(edits + 1):
+        start, length = _segment(size, at, edits)
+        keys.append(key(size, at, start, length, _INDEXED))
     for less in range(edits + 1):
-        shorter = size - less
         for at in range(edits + 1):
-            start, length = _segment(shorter, at, edits)
+            start, length = _segment(size - less, at, edits)
             lowest, highest = max(-at, less - (edits - at)), min(at, less + (edits - at))
             for moved in range(lowest, highest + 1):
-                key = F.xxhash64(shorter, F.lit(at), F.substring(line, start + moved + 1, length))
-                keys.append(F.struct(key.alias("k"), F.lit(less == 0).alias("same")))
+                kind = _LOOKS_FOR_SHORTER if less else _LOOKS_FOR_EQUAL
+                keys.append(key(size - less, at, start + moved, length, kind))
     return F.array(*keys)
 
 
@@ -122,16 +125,49 @@ def lines_of(documents: DataFrame, key: str, text: str, min_chars: int) -> DataF
     return lines.where(F.length("line") >= min_chars).withColumn("id", F.xxhash64("line"))
 
 
-def _candidates(lines: DataFrame, edits: int) -> DataFrame:
-    """Pairs ``a, b`` of ids of different lines that share a key; ``b`` is not the shorter one."""
+def _matches(lines: DataFrame, edits: int) -> DataFrame:
+    """``key, id, kind`` of the keys that an indexed line shares with another line."""
     distinct = lines.groupBy("id").agg(F.any_value("line").alias("line"))
-    line, size = F.col("line"), F.length("line")
-    index = distinct.select(F.col("id").alias("a"), F.explode(_index_keys(line, size, edits)).alias("key"))
-    probe = distinct.select(F.col("id").alias("b"), F.explode(_probe_keys(line, size, edits)).alias("probe"))
-    probe = probe.select("b", F.col("probe.k").alias("key"), F.col("probe.same").alias("same"))
+    rows = distinct.select("id", F.explode(_keys(F.col("line"), F.length("line"), edits)).alias("key"))
+    rows = rows.select("id", F.col("key.k").alias("key"), F.col("key.kind").alias("kind"))
+    alike = Window.partitionBy("key")
+    shared = (F.min("id").over(alike) != F.max("id").over(alike)) & (F.min("kind").over(alike) == _INDEXED)
+    return rows.withColumn("shared", shared).where("shared").select("key", "id", "kind")
+
+
+def _sketches(line: Column) -> tuple[Column, Column]:
+    """For each of 64 places, whether an odd number of the line's characters, and of its pairs of
+    neighbouring characters, is hashed to it. An edit flips at most two of the first and four of the second."""
+    one = F.lit(1).cast("long")
+
+    def flipped(hashed: Column, bits: Column) -> Column:
+        return bits.bitwiseXOR(F.call_function("shiftleft", one, F.pmod(hashed, F.lit(64)).cast("int")))
+
+    def letters(found: Column) -> Column:
+        return F.aggregate(found, F.lit(0).cast("long"), lambda bits, c: flipped(F.hash(c), bits))
+
+    def pairs(found: Column) -> Column:
+        second = F.slice(found, 2, F.size(found))
+        both = F.zip_with(found, second, lambda a, b: F.xxhash64(a, b))
+        return F.aggregate(both, F.lit(0).cast("long"), lambda bits, h: flipped(h, bits))
+
+    return letters(F.split(line, "")), pairs(F.split(line, ""))
+
+
+def _candidates(matches: DataFrame, sketches: DataFrame, edits: int) -> DataFrame:
+    """Pairs ``a, b`` of ids of different lines that share a key and may be as near as asked."""
+    rows = matches.join(sketches, "id")
+    found = rows.where(F.col("kind") == _INDEXED).select("key", *(F.col(c).alias(f"a_{c}") for c in _SKETCHED))
+    asked = rows.where(F.col("kind") != _INDEXED).select(
+        "key", "kind", *(F.col(c).alias(f"b_{c}") for c in _SKETCHED)
+    )
     # Lines of equal length find each other both ways; one is enough.
-    pairs = index.join(probe, "key").where((F.col("a") < F.col("b")) | (~F.col("same") & (F.col("a") != F.col("b"))))
-    return pairs.select("a", "b").distinct()
+    once = F.expr(f"a_id < b_id OR (kind = {_LOOKS_FOR_SHORTER} AND a_id <> b_id)")
+    near = F.expr(f"bit_count(a_letters ^ b_letters) <= {2 * edits} AND bit_count(a_pairs ^ b_pairs) <= {4 * edits}")
+    # The filter belongs to the join, so a crowd of lines sharing a key is compared but not handed on.
+    same = F.col("i.key") == F.col("p.key")
+    pairs = found.alias("i").join(asked.alias("p"), same & once & near)
+    return pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
 
 def _texts(lines: DataFrame, ids: DataFrame) -> DataFrame:
@@ -142,9 +178,12 @@ def _texts(lines: DataFrame, ids: DataFrame) -> DataFrame:
 
 def line_links(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """Pairs ``a, b`` of ids of different lines at most ``edits`` edits apart."""
-    pairs = stored(_candidates(lines, edits), "line-pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = stored(_texts(lines, stored(ids, "line-ids")), "line-texts")
+    matches = stored(_matches(lines, edits), "line-matches")
+    ids = stored(matches.select("id").distinct(), "line-ids")
+    letters, pairs = _sketches(F.col("line"))
+    texts = _texts(lines, ids).select("id", "line", letters.alias("letters"), pairs.alias("pairs"))
+    texts = stored(texts, "line-texts")
+    pairs = _candidates(matches, texts.select(*_SKETCHED), edits)
     first = texts.select(F.col("id").alias("a"), F.col("line").alias("first"))
     second = texts.select(F.col("id").alias("b"), F.col("line").alias("second"))
     both = pairs.join(first, "a").join(second, "b")
