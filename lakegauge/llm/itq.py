@@ -174,8 +174,9 @@ def near_vectors(
     fields = [rows.schema["key"], rows.schema["label"]]
     schema = StructType([*fields, *StructType.fromDDL("digest binary").fields, rows.schema["vector"]])
     usable = F.col("key").isNotNull() & F.col("label").isNotNull() & F.col("digest").isNotNull()
-    digested = stored(rows.mapInArrow(_digests, schema), "vectors")
-    distinct = digested.where(usable).groupBy("label", "digest").agg(
+    digested = rows.mapInArrow(_digests, schema).withColumn("digest", F.when(usable, F.col("digest")))
+    digested = stored(digested, "vectors")
+    distinct = digested.where(F.col("digest").isNotNull()).groupBy("label", "digest").agg(
         F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("vector").alias("vector")
     )
     distinct = stored(distinct, "distinct-vectors")

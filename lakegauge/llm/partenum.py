@@ -337,7 +337,8 @@ def similar_texts(
     rooted = rooted.join(classes, "class")
     least = rooted.groupBy("component").agg(F.min("first").alias("least"))
     classes = classes.join(rooted.select("class", "component"), "class", "left").join(least, "component", "left")
-    classes = classes.select("class", F.coalesce("least", "first").alias("component_id"))
+    # Read back, both inputs of the join are plain shuffles, and a crowd of equal texts is split.
+    classes = stored(classes.select("class", F.coalesce("least", "first").alias("component_id")), "set-classes")
     alone = sets.where((F.col("n_shingles") == 0) | F.col("key").isNull())
     result = usable.join(classes, "class").select("key", "n_shingles", "component_id")
     result = result.unionByName(alone.select("key", "n_shingles", F.col("key").alias("component_id")))
