@@ -5,16 +5,19 @@ from __future__ import annotations
 import io
 import sys
 import tarfile
+import uuid
 from collections.abc import Iterator
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.csv as pacsv
+import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.layout import Lake
+from lakegauge.layout import PARTITION_COLUMNS, Lake
 from lakegauge.schemas import schema_for
 from lakegauge.scratch import scratch_dir
 from lakegauge.sinks.partitions import replace_partitions
@@ -69,6 +72,34 @@ def pack_archives(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema("name STRING, content BINARY").parquet(path)
 
 
+def drop_archives(frame: DataFrame, folder: str) -> None:
+    """Write one ``<name>.tar.xz`` per ``name`` of ``frame`` into ``folder``, each by one task."""
+    parts = urlsplit(folder)
+
+    def drop(rows: pa.Table) -> pa.Table:
+        if parts.scheme in ("", "file"):
+            target, root = pafs.LocalFileSystem(), parts.path
+        else:
+            target, root = pafs.FileSystem.from_uri(folder)
+        target.create_dir(root, recursive=True)
+        name = rows["name"][0].as_py()
+        # A task run again writes the same bytes; the last move wins.
+        unfinished = f"{root}/.{name}-{uuid.uuid4().hex}"
+        with target.open_output_stream(unfinished) as out:
+            out.write(_archive(name, rows.drop_columns(["name"])))
+        target.move(unfinished, f"{root}/{name}.tar.xz")
+        return pa.table({"name": [name]})
+
+    frame.groupBy("name").applyInArrow(drop, "name STRING").write.format("noop").mode("overwrite").save()
+
+
+def named(feed: DataFrame, source: str) -> DataFrame:
+    """A feed's rows led by the ``name`` of their dataset in place of its partition."""
+    marker = F.when(F.col("playoffs"), "_po_").otherwise("_")
+    name = F.concat(F.lit(source), marker, F.col("season").cast("string"))
+    return feed.select(name.alias("name"), *(c for c in feed.columns if c not in PARTITION_COLUMNS))
+
+
 def new_lake(spark: SparkSession) -> Lake:
     return Lake(scratch_dir(spark, "lake"))
 
@@ -90,21 +121,26 @@ def land(feed: DataFrame, path: str) -> None:
     replace_partitions(feed.hint("rebalance", "season", "playoffs"), path)
 
 
+def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as events of the main feed, urgent ones as playoffs."""
+    return _feed(
+        table(spark, sf_dir, "orders"),
+        "nbastats",
+        GAME_ID=F.col("o_orderkey").cast("string"),
+        EVENTNUM=F.col("o_custkey") % 7 + 1,
+        season=year("o_orderdate"),
+        playoffs=F.col("o_orderpriority") == "1-URGENT",
+    )
+
+
 def bronze_lake(spark: SparkSession, sf_dir: str, *sources: str) -> Lake:
     """A lake with the given feeds landed: orders stand for the event feed's games and urgent ones
     for playoffs; line items stand for shots, player pairs and the parallel feed's events."""
     lake = new_lake(spark)
-    orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    items = table(spark, sf_dir, "lineitem")
     regular = F.lit(False)
     feeds = {
-        "nbastats": lambda: _feed(
-            orders,
-            "nbastats",
-            GAME_ID=F.col("o_orderkey").cast("string"),
-            EVENTNUM=F.col("o_custkey") % 7 + 1,
-            season=year("o_orderdate"),
-            playoffs=F.col("o_orderpriority") == "1-URGENT",
-        ),
+        "nbastats": lambda: event_feed(spark, sf_dir),
         "shotdetail": lambda: _feed(
             items,
             "shotdetail",

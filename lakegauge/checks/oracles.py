@@ -167,9 +167,9 @@ ORACLES["manifest_table"] = _PAGES + "SELECT line_no, name, url FROM entries WHE
 ORACLES["manifest_fault_lines"] = (
     _PAGES
     + """
-SELECT line_no, 'is' AS kind FROM entries WHERE url IS NULL
+SELECT line_no, 'lacks' AS kind FROM entries WHERE url IS NULL
 UNION ALL
-SELECT line_no, 'redefines' AS kind
+SELECT line_no, 'repeats' AS kind
 FROM (SELECT line_no, row_number() OVER (PARTITION BY name ORDER BY line_no) AS i FROM entries WHERE url IS NOT NULL)
 WHERE i = 2
 """
@@ -269,3 +269,29 @@ SELECT o_orderkey, lpad(CAST(o_orderkey AS varchar), CAST(greatest(10, length(CA
        o_orderkey % 130 - o_custkey % 130 AS margin
 FROM orders
 """
+
+ORACLES["archive_nullable_column"] = "SELECT CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey FROM orders"
+_FEED_NAME = "'feed' || CASE WHEN o_orderpriority = '1-URGENT' THEN '_po_' ELSE '_' END || year(o_orderdate)"
+ORACLES["capture_runs"] = f"""
+WITH landed AS (SELECT {_FEED_NAME} AS name, count(*) AS rows FROM orders GROUP BY 1)
+SELECT 1 AS run, name, 0 AS skipped, rows FROM landed
+UNION ALL SELECT 2, name, 1, NULL FROM landed
+"""
+ORACLES["bronze_load"] = f"""
+SELECT 'nbastats' || CASE WHEN o_orderpriority = '1-URGENT' THEN '_po_' ELSE '_' END || year(o_orderdate) AS name,
+       'nbastats' AS source, {_ORDER_YEAR} AS season,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS playoffs, count(*) AS rows
+FROM orders GROUP BY 1, 2, 3, 4
+"""
+ORACLES["answer_key_load"] = f"""
+SELECT {_SHIP_YEAR} AS season, CAST(l_orderkey AS varchar) AS "GAMEID", CAST(l_linenumber AS bigint) AS "PERIOD",
+       l_returnflag AS "URL" FROM lineitem
+"""
+ORACLES["failed_reload"] = "SELECT o_orderkey, CAST(o_custkey AS bigint) AS o_custkey FROM orders"
+ORACLES["header_drift_rows"] = """
+SELECT CAST(o_orderkey AS varchar) AS name, CASE WHEN o_orderstatus = 'F' THEN 'o_custkey' ELSE '' END AS missing,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'o_extra' ELSE '' END AS unexpected
+FROM orders WHERE o_orderstatus = 'F' OR o_orderpriority = '1-URGENT'
+"""
+ORACLES["restricted_stays_invisible"] = "SELECT 'silver.part' AS view, count(*) AS n FROM part"
+ORACLES["season_landed_later"] = ORACLES["season_view"]

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakegauge.checks.feeds import bronze_lake, new_lake, pack_archives, table, year
+from lakegauge.checks.feeds import (
+    bronze_lake,
+    drop_archives,
+    event_feed,
+    land,
+    named,
+    new_lake,
+    pack_archives,
+    table,
+    year,
+)
 from lakegauge.functions.game import canonical_game_id, clock_seconds, game_date, score_margin, score_part
 from lakegauge.functions.strict import apply_schema
 from lakegauge.layout import Lake
@@ -26,12 +37,22 @@ from lakegauge.operators.joins import (
 from lakegauge.operators.sequence import previous_value, running_total
 from lakegauge.operators.skew import LARGE_ROWS
 from lakegauge.plans.catalog import query, rebuild
-from lakegauge.plans.loads import checksum_status, dataset_rows, pending, write_datasets
+from lakegauge.plans.loads import (
+    archive_checksums,
+    capture,
+    checksum_status,
+    dataset_rows,
+    load_bronze,
+    pending,
+    write_datasets,
+)
 from lakegauge.plans.reports import run_report
 from lakegauge.schemas import declare
 from lakegauge.scratch import scratch_dir
+from lakegauge.sinks.partitions import replace_partitions
 from lakegauge.sources.archives import all_strings, archive_headers
 from lakegauge.sources.manifest import manifest_entries, manifest_faults, with_name_parts
+from lakegauge.validate import answer_key
 from lakegauge.validate.answer_key import compare_to_key
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -291,6 +312,22 @@ def header_drift_tables(spark, sf_dir):
     ).distinct()
 
 
+@_registered
+def header_drift_rows(spark, sf_dir):
+    """A header per order, lacking a column or holding one too many as the order has it."""
+    columns = F.array(
+        F.lit("o_orderkey"),
+        F.when(F.col("o_orderstatus") != "F", "o_custkey"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "o_extra"),
+    )
+    headers = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("name"), F.array_compact(columns).alias("columns")
+    )
+    return header_drift(headers, ["o_orderkey", "o_custkey"]).select(
+        "name", F.array_join("missing", ",").alias("missing"), F.array_join("unexpected", ",").alias("unexpected")
+    )
+
+
 # --- names and manifest ------------------------------------------------------
 
 
@@ -377,6 +414,74 @@ def load_outcome(spark, sf_dir):
     return outcome.select("name", "season", F.col("playoffs").cast("int").alias("playoffs"), "rows")
 
 
+@_registered
+def archive_nullable_column(spark, sf_dir):
+    """One nullable column through archives, whose CSV has an empty line for every null."""
+    feed = _order_feed(spark, sf_dir).select("name", "o_custkey")
+    lake, _ = _loaded(spark, feed, declare("o_custkey BIGINT"))
+    return spark.read.parquet(lake.bronze("feed")).select("o_custkey")
+
+
+@_registered
+def capture_runs(spark, sf_dir):
+    """Two captures of archive files by one manifest: the first lands every dataset, the second skips it."""
+    lake, feed = new_lake(spark), _order_feed(spark, sf_dir)
+    drop_archives(feed, lake.raw)
+    entries = feed.select("name").distinct().withColumn("url", F.concat(F.lit("https://example.com/"), "name"))
+    manifest = with_name_parts(entries)
+
+    def outcome(run: int) -> DataFrame:
+        found = capture(spark, lake, manifest)
+        return found.select(F.lit(run).alias("run"), "name", F.col("skipped").cast("int").alias("skipped"), "rows")
+
+    return outcome(1).unionAll(outcome(2))
+
+
+@_registered
+def bronze_load(spark, sf_dir):
+    """Archive files of the main feed through the typed load, which reports the rows of each dataset."""
+    lake = new_lake(spark)
+    drop_archives(named(event_feed(spark, sf_dir), "nbastats"), lake.raw)
+    outcome = load_bronze(spark, lake)
+    return outcome.select("name", "source", "season", F.col("playoffs").cast("int").alias("playoffs"), "rows")
+
+
+@_registered
+def answer_key_load(spark, sf_dir):
+    """Line items as possessions, loaded from archive files into the restricted zone and read back."""
+    known = {
+        "GAMEID": F.col("l_orderkey").cast("string"),
+        "PERIOD": F.col("l_linenumber").cast("bigint"),
+        "URL": F.col("l_returnflag"),
+    }
+    name = F.concat(F.lit(f"{answer_key.SOURCE}_"), F.year("l_shipdate").cast("string"))
+    columns = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in answer_key.SCHEMA.fields]
+    feed = table(spark, sf_dir, "lineitem").select(name.alias("name"), *columns)
+    base = scratch_dir(spark, "answer-key")
+    drop_archives(feed, answer_key.raw_folder(base))
+    answer_key.load_answer_key(spark, base, sorted(r.name for r in feed.select("name").distinct().collect()))
+    found = answer_key.read_answer_key(spark, base)
+    return found.select("season", *known)
+
+
+@_registered
+def failed_reload(spark, sf_dir):
+    """Orders by season after a load of them that failed half-way: the rows of the load before."""
+    path = scratch_dir(spark, "reloaded")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", year("o_orderdate").alias("season"), F.lit(False).alias("playoffs")
+    )
+    replace_partitions(orders, path)
+    halt = F.when(F.col("o_orderkey") % 7 == 3, F.raise_error(F.lit("the reload stops here")).cast("bigint"))
+    changed = orders.withColumn("o_custkey", F.coalesce(halt, F.lit(0).cast("bigint")))
+    try:
+        replace_partitions(changed, path)
+    except Exception as stopped:
+        if "the reload stops here" not in str(stopped):
+            raise
+    return spark.read.parquet(path).select("o_orderkey", F.col("o_custkey").cast("bigint").alias("o_custkey"))
+
+
 @_registered
 def archive_texts(spark, sf_dir):
     """Whole documents, with their line breaks and quotes, through an all-string capture."""
@@ -411,7 +516,10 @@ def pending_loads(spark, sf_dir):
 
 @_registered
 def fingerprint(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
+    archives = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("name"), F.col("text").cast("binary").alias("content")
+    )
+    return archive_checksums(archives).withColumnRenamed("name", "doc_id")
 
 
 @_registered
@@ -453,7 +561,13 @@ def datanba_game_coverage(spark, sf_dir):
 # --- catalog -----------------------------------------------------------------
 
 
-def _published(spark: SparkSession, lake: Lake, prefix: str, sql: str) -> DataFrame:
+def _own_prefix(label: str) -> str:
+    """Sets a run's databases apart from those of other runs on the same metastore."""
+    return f"{label}{uuid.uuid4().hex[:12]}_"
+
+
+def _published(spark: SparkSession, lake: Lake, label: str, sql: str) -> DataFrame:
+    prefix = _own_prefix(label)
     rebuild(spark, lake, prefix=prefix)
     return query(spark, sql.format(p=prefix))
 
@@ -506,13 +620,38 @@ def catalog_views(spark, sf_dir):
     lake = bronze_lake(spark, sf_dir, "nbastats", "datanba")
     table(spark, sf_dir, "part").write.parquet(f"{lake.zone('silver')}/part")
     table(spark, sf_dir, "nation").write.parquet(f"{lake.zone('gold')}/nation.parquet")
-    made = rebuild(spark, lake, prefix="all_")
+    return _view_counts(spark, lake)
+
+
+def _view_counts(spark: SparkSession, lake: Lake) -> DataFrame:
+    prefix = _own_prefix("all_")
+    made = rebuild(spark, lake, prefix=prefix)
     counts = " UNION ALL ".join(
-        f"SELECT '{view.removeprefix('all_')}' AS view, count(*) AS n FROM {view}" for view in made.created
+        f"SELECT '{view.removeprefix(prefix)}' AS view, count(*) AS n FROM {view}" for view in made.created
     )
     return query(spark, counts)
 
 
+@_registered
+def restricted_stays_invisible(spark, sf_dir):
+    """Views of a lake that holds a table beside the published zones."""
+    lake = new_lake(spark)
+    table(spark, sf_dir, "part").write.parquet(f"{lake.zone('silver')}/part")
+    table(spark, sf_dir, "customer").write.parquet(f"{lake.zone('restricted')}/customer")
+    return _view_counts(spark, lake)
+
+
+@_registered
+def season_landed_later(spark, sf_dir):
+    """A view over seasons of which every other one lands after the rebuild."""
+    lake, feed = new_lake(spark), event_feed(spark, sf_dir)
+    prefix = _own_prefix("later_")
+    land(feed.where("season % 2 = 0"), lake.bronze("nbastats"))
+    rebuild(spark, lake, prefix=prefix)
+    land(feed.where("season % 2 = 1"), lake.bronze("nbastats"))
+    return query(spark, f"SELECT season, count(*) AS n FROM {prefix}bronze.nbastats GROUP BY season")
+
+
 # --- comparison --------------------------------------------------------------
 
 

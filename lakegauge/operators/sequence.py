@@ -13,8 +13,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
-from lakegauge.functions.columns import column
+from lakegauge.functions.columns import column, types_of
 from lakegauge.operators.skew import LARGE_ROWS, join_bounded, large_groups
 from lakegauge.scratch import scratch_dir
 
@@ -158,7 +159,11 @@ def running_total(
     """Add ``name``: the sum of ``value`` over the group's rows up to and including this one.
 
     A row whose value is null has a null total; the rows after it carry on from the sum before it.
+    Floating-point values are refused: their sums would depend on where a group is cut.
     """
+    kind = types_of(frame, [value])[0]
+    if isinstance(kind, (DoubleType, FloatType)):
+        raise TypeError(f"{value}: no running total of {kind.simpleString()}; cast it to a DECIMAL or a whole number")
     blocks = _blocks(frame, group_by, order_by, block_rows)
     blocked = blocks.number(frame)
     upto = (

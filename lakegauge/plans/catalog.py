@@ -79,21 +79,21 @@ def _view_sql(database: str, zone: str, name: str, path: str) -> str:
     )
 
 
-def _own_database(spark: SparkSession, database: str) -> bool:
+def _own_database(spark: SparkSession, database: str, lake: Lake) -> bool:
     facts = spark.sql(f"DESCRIBE DATABASE EXTENDED {_quoted(database)}").collect()
-    return any(_MARK in str(row[1]) for row in facts)
+    return any(f"({_MARK},{lake.base})" in str(row[1]) for row in facts)
 
 
 def rebuild(spark: SparkSession, lake: Lake, prefix: str = "") -> Rebuild:
     """Drop the zone databases and create them again from what is on disk.
 
-    Whatever else was put into them goes; a database of the same name made by someone else is left
-    alone and raises. ``prefix`` sets the databases of several lakes apart.
+    Whatever else was put into them goes; a database of the same name made by someone else, or for
+    another lake, is left alone and raises. ``prefix`` sets the databases of several lakes apart.
     """
     databases = {zone: f"{prefix}{zone}" for zone in ZONES}
     for database in databases.values():
-        if spark.catalog.databaseExists(database) and not _own_database(spark, database):
-            raise RuntimeError(f"database {database!r} was not made by a rebuild; choose another prefix")
+        if spark.catalog.databaseExists(database) and not _own_database(spark, database, lake):
+            raise RuntimeError(f"database {database!r} was not made by a rebuild of {lake.base}; choose another prefix")
     plan = planned_views(spark, lake).orderBy("zone", "name").collect()
     mark = lake.base.replace("\\", "\\\\").replace("'", "\\'")
     for database in databases.values():

@@ -45,7 +45,7 @@ def recorded_checksums(spark: SparkSession, path: str) -> DataFrame:
         entries = spark.read.schema(schema).parquet(path)
     else:
         entries = spark.createDataFrame([], schema)
-    return entries.groupBy("name").agg(F.max_by("sha256", "recorded_at").alias("sha256"))
+    return entries.groupBy("name").agg(F.max_by("sha256", F.struct("recorded_at", "sha256")).alias("sha256"))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -102,11 +102,18 @@ def _inspect(spark: SparkSession, archives: DataFrame) -> DataFrame:
     return spark.read.schema(headers.schema).parquet(path)
 
 
-def _require_intact(headers: DataFrame, recorded: DataFrame) -> None:
+def _require_intact(headers: DataFrame, recorded: DataFrame, kept: str = "recorded checksum") -> None:
     stale = checksum_status(headers, recorded).where(F.col("status") == "stale")
     names = [r.name for r in stale.orderBy("name").limit(5).collect()]
     if names:
-        raise ValueError(f"archives differ from their recorded checksum: {', '.join(names)}")
+        raise ValueError(f"archives differ from their {kept}: {', '.join(names)}")
+
+
+def _require_listed(spark: SparkSession, names: Sequence[str], manifest: DataFrame) -> None:
+    asked = spark.createDataFrame([(n,) for n in sorted(set(names))], "name STRING")
+    unknown = [r.name for r in asked.join(manifest, "name", "left_anti").orderBy("name").limit(5).collect()]
+    if unknown:
+        raise KeyError(f"not in the manifest: {', '.join(unknown)}")
 
 
 # --- writing -----------------------------------------------------------------
@@ -183,20 +190,25 @@ def load_typed(
     target: Mapping[str, str],
     names: Sequence[str] | None = None,
     force: bool = False,
+    manifest: DataFrame | None = None,
 ) -> DataFrame:
     """Typed load of the archives in ``raw``, each source to its ``target`` with its own schema.
 
     Returns one row per dataset: ``name``, ``source``, ``season``, ``playoffs``, ``sha256``, ``rows``.
-    ``force`` accepts archives whose bytes have changed since they were recorded.
+    ``force`` accepts archives whose bytes have changed since they were recorded; one that differs
+    from the checksum file beside it is never accepted. With a ``manifest``, only its names are.
     """
     chosen = _chosen(spark, raw, names)
     if not chosen:
         raise FileNotFoundError(f"no archives under {raw}")
+    if manifest is not None:
+        _require_listed(spark, [r.name for r in chosen], manifest)
     for row in chosen:
         if row.source not in schemas:
             raise KeyError(f"{row.name}: {row.source!r} has no declared schema; declared: {', '.join(sorted(schemas))}")
 
     headers = _inspect(spark, archive_files(spark, [r.path for r in chosen]))
+    _require_intact(headers, sidecar_checksums(spark, raw), "checksum file")
     if not force:
         _require_intact(headers, recorded_checksums(spark, ledger))
     by_source = {s: [r for r in chosen if r.source == s] for s in sorted({r.source for r in chosen})}
@@ -213,7 +225,11 @@ def load_typed(
 
 
 def load_bronze(
-    spark: SparkSession, lake: Lake, names: Sequence[str] | None = None, force: bool = False
+    spark: SparkSession,
+    lake: Lake,
+    names: Sequence[str] | None = None,
+    force: bool = False,
+    manifest: DataFrame | None = None,
 ) -> DataFrame:
     """Typed load of the raw archives into the bronze zone; see :func:`load_typed`."""
     return load_typed(
@@ -224,6 +240,7 @@ def load_bronze(
         target={source: lake.bronze(source) for source in SCHEMAS},
         names=names,
         force=force,
+        manifest=manifest,
     )
 
 
@@ -241,11 +258,9 @@ def capture(
     """
     wanted = manifest
     if names is not None:
+        _require_listed(spark, names, manifest)
         asked = spark.createDataFrame([(n,) for n in sorted(set(names))], "name STRING")
-        unknown = [r.name for r in asked.join(manifest, "name", "left_anti").limit(5).collect()]
-        if unknown:
-            raise KeyError(f"not in the manifest: {', '.join(sorted(unknown))}")
-        wanted = manifest.join(F.broadcast(asked), "name", "left_semi")
+        wanted = manifest.join(asked, "name", "left_semi")
     todo = wanted if force else pending(wanted, landed_partitions(spark, lake.capture))
     todo_names = sorted(r.name for r in todo.select("name").collect())
     entries = wanted.select("name", "url", *_DATASET)
@@ -257,6 +272,7 @@ def capture(
 
     chosen = {r.name: r for r in _chosen(spark, lake.raw, todo_names)}
     headers = _inspect(spark, archive_files(spark, [r.path for r in chosen.values()]))
+    _require_intact(headers, sidecar_checksums(spark, lake.raw), "checksum file")
     if not force:
         _require_intact(headers, recorded_checksums(spark, lake.checksums))
     shapes: dict[tuple, list] = {}

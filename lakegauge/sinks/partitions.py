@@ -13,9 +13,10 @@ _ROWS_PER_FILE = 20_000_000
 def replace_partitions(frame: DataFrame, path: str) -> None:
     """Replace exactly the (season, playoffs) partitions ``frame`` has rows for.
 
-    Files move into place when the whole job has succeeded, so a failed or killed job leaves the
-    table as it was; other partitions are untouched either way. Rows are written by the task that
-    produced them, with no shuffle.
+    Files move into place when all tasks have succeeded, so a job whose tasks fail leaves the table
+    as it was; other partitions are untouched either way. The moves go partition by partition: a
+    driver killed between two of them leaves some old and some new, which loading again mends. Rows
+    are written by the task that produced them, with no shuffle.
     """
     (
         frame.write.mode("overwrite")

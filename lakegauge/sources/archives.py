@@ -31,8 +31,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SUFFIX = ".tar.xz"
 
-# Size of a parsed batch, and so the longest row accepted; a longer one fails the load.
+# Size of a parsed batch. A row that does not fit has its archive read again in larger ones.
 _BATCH_BYTES = 16 << 20
+_LARGEST_BATCH = (1 << 31) - 1
+
+# An empty line is a row: null in a CSV of one column, too few fields in a wider one.
+_PARSING = {"newlines_in_values": True, "ignore_empty_lines": False}
 
 
 def archive_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -67,10 +71,11 @@ def _single_csv(name: str, content: bytes, whole: bool = True) -> Iterator[IO[by
     except pa.ArrowInvalid as ragged:
         raise ValueError(f"{name}: {ragged}") from ragged
     if len(found) != 1:
-        raise ValueError(f"{name}: expected exactly one CSV, found {len(found)}: {found}")
+        raise ValueError(f"{name}: an archive holds one CSV, this one {len(found)}: {found}")
 
 
 def _header(name: str, content: bytes) -> list[str]:
+    csv.field_size_limit(_LARGEST_BATCH)
     with _single_csv(name, content, whole=False) as member:
         header = next(csv.reader(line.decode() for line in member), None)
     if not header:
@@ -78,27 +83,105 @@ def _header(name: str, content: bytes) -> list[str]:
     return [header[0].removeprefix("\ufeff"), *header[1:]]
 
 
+class _Counted(io.RawIOBase):
+    """A byte stream that counts the lines read from it and looks for empty ones, outside quotes."""
+
+    def __init__(self, inner: IO[bytes]) -> None:
+        self._inner, self._quoted, self._tail = inner, 0, b"\n"
+        self.lines, self.has_empty = 0, False
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer: memoryview) -> int:
+        data = self.read(len(buffer))
+        buffer[: len(data)] = data
+        return len(data)
+
+    def read(self, size: int = -1) -> bytes:
+        data = self._inner.read(size)
+        if data:
+            parts = data.split(b'"')
+            before = b"" if self._quoted else self._tail
+            for part in parts[self._quoted :: 2]:
+                self.lines += part.count(b"\n")
+                around = before + part
+                self.has_empty |= b"\n\n" in around or b"\n\r\n" in around or b"\r\r" in around
+                before = b""
+            self._quoted = (self._quoted + len(parts) - 1) % 2
+            self._tail = (self._tail + data[-2:])[-2:]
+        return data
+
+    @property
+    def records(self) -> int:
+        """Records after the header, if every quote in the CSV opens or closes a field."""
+        return max(0, self.lines + (self._tail[-1:] != b"\n") - 1)
+
+
+def _records(name: str, content: bytes) -> tuple[int, int]:
+    """Records after the header and empty lines, read one by one: slow, for files that look odd."""
+    csv.field_size_limit(_LARGEST_BATCH)
+    with _single_csv(name, content) as member:
+        text = io.TextIOWrapper(io.BufferedReader(_Counted(member)), "utf-8", newline="")
+        lines = empty = 0
+        for record in csv.reader(text):
+            lines += 1
+            empty += not record
+        return max(0, lines - 1), empty
+
+
+def _parsed(name: str, stream: IO[bytes], columns: Sequence[str], batch_bytes: int) -> Iterator[pa.RecordBatch]:
+    reader = pacsv.open_csv(
+        stream,
+        read_options=pacsv.ReadOptions(block_size=batch_bytes, use_threads=False),
+        parse_options=pacsv.ParseOptions(**_PARSING),
+        convert_options=pacsv.ConvertOptions(
+            column_types={c: pa.string() for c in columns},
+            strings_can_be_null=True,
+            quoted_strings_can_be_null=False,
+            null_values=[""],
+        ),
+    )
+    if sorted(reader.schema.names) != sorted(columns):
+        missing = sorted(set(columns) - set(reader.schema.names))
+        unexpected = sorted(set(reader.schema.names) - set(columns))
+        raise ValueError(f"{name}: columns drift: missing={missing} unexpected={unexpected}")
+    for batch in reader:
+        yield batch.select(list(columns))
+
+
 def _text_batches(name: str, content: bytes, columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
     """The CSV as all-string batches in ``columns`` order. An unquoted empty field is null, a quoted
-    one an empty string; a row with too few or too many fields raises."""
-    with _single_csv(name, content) as member:
-        reader = pacsv.open_csv(
-            member,
-            read_options=pacsv.ReadOptions(block_size=_BATCH_BYTES, use_threads=False),
-            parse_options=pacsv.ParseOptions(newlines_in_values=True),
-            convert_options=pacsv.ConvertOptions(
-                column_types={c: pa.string() for c in columns},
-                strings_can_be_null=True,
-                quoted_strings_can_be_null=False,
-                null_values=[""],
-            ),
-        )
-        if sorted(reader.schema.names) != sorted(columns):
-            missing = sorted(set(columns) - set(reader.schema.names))
-            unexpected = sorted(set(reader.schema.names) - set(columns))
-            raise ValueError(f"{name}: columns drift: missing={missing} unexpected={unexpected}")
-        for batch in reader:
-            yield batch.select(list(columns))
+    one an empty string; a row with too few or too many fields raises.
+
+    The records are counted beside the parser, and a difference raises. Batches grow until the
+    longest row fits; rows already handed on are then passed over.
+    """
+    given, batch_bytes = 0, _BATCH_BYTES
+    while True:
+        grow, seen = False, 0
+        with _single_csv(name, content) as member:
+            counted = _Counted(member)
+            try:
+                for batch in _parsed(name, counted, columns, batch_bytes):
+                    seen += batch.num_rows
+                    if seen > given:
+                        yield batch.slice(max(0, batch.num_rows - (seen - given)))
+                        given = seen
+            except pa.ArrowInvalid as invalid:
+                if "straddling" not in str(invalid) or batch_bytes == _LARGEST_BATCH:
+                    raise
+                grow = True
+        if not grow:
+            break
+        batch_bytes = min(8 * batch_bytes, _LARGEST_BATCH)
+    wide = len(columns) > 1
+    if counted.records != given or (wide and counted.has_empty):
+        records, empty = _records(name, content)
+        if wide and empty:
+            raise ValueError(f"{name}: an empty line among rows of {len(columns)} columns")
+        if records != given:
+            raise ValueError(f"{name}: {records} records in the CSV, {given} of them parsed")
 
 
 def archive_headers(archives: DataFrame) -> DataFrame:

@@ -50,14 +50,14 @@ def manifest_entries(lines: DataFrame) -> DataFrame:
 def manifest_faults(entries: DataFrame) -> DataFrame:
     """Lines (``line_no``, ``fault``) that are malformed or repeat an earlier name."""
     malformed = entries.where(F.col("name").isNull()).select(
-        "line_no", F.concat(F.lit("is not a name=url pair: "), "line").alias("fault")
+        "line_no", F.concat(F.lit("lacks a name or an address: "), "line").alias("fault")
     )
     named = entries.where(F.col("name").isNotNull())
     # The line reported is the second one holding the name; tasks keep two lines per name.
     in_order = Window.partitionBy("name").orderBy("line_no")
     ranked = named.select("name", "line_no", F.row_number().over(in_order).alias("__nth"))
     repeated = ranked.where(F.col("__nth") == 2).select(
-        "line_no", F.concat(F.lit("redefines "), "name").alias("fault")
+        "line_no", F.concat(F.lit("repeats the name "), "name").alias("fault")
     )
     return malformed.unionAll(repeated)
 

@@ -23,14 +23,15 @@ def data_files(spark: SparkSession, folder: str) -> DataFrame:
 
     Files are listed, not opened, and the leftovers of failed writes do not count.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    try:
-        found = files.option("pathGlobFilter", "*.parquet").load(folder)
-    except AnalysisException as error:
-        if not is_missing_path(error):
-            raise
+    if not folder_exists(spark, folder):
         return spark.createDataFrame([], "path STRING")
-    return found.select("path")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return files.option("pathGlobFilter", "*.parquet").load(folder).select("path")
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def landed_partitions(spark: SparkSession, folder: str) -> DataFrame:

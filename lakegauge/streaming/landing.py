@@ -8,26 +8,30 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakegauge.layout import Lake
 from lakegauge.operators.drift import require_no_drift
-from lakegauge.plans.loads import dataset_rows, write_datasets
+from lakegauge.plans.loads import _inspect, dataset_rows, write_datasets
 from lakegauge.schemas import SCHEMAS
-from lakegauge.sources.archives import SUFFIX, archive_headers
+from lakegauge.sinks.partitions import append_rows
+from lakegauge.sources.archives import SUFFIX
 from lakegauge.sources.manifest import with_name_parts
 
 
 def _load_batch(files: DataFrame, lake: Lake) -> None:
     """Typed load of one micro-batch. Replaying it replaces the same partitions with the same rows."""
     named = files.select(F.regexp_extract("path", r"([^/]+)\.tar\.xz$", 1).alias("name"), "content")
-    parts = with_name_parts(named)
+    # One pass over the batch gives names, headers and checksums.
+    headers = _inspect(files.sparkSession, named)
+    parts = with_name_parts(headers)
     sources = sorted(r.source for r in parts.select("source").distinct().collect())
     unknown = [s for s in sources if s not in SCHEMAS]
     if unknown:
         raise KeyError(f"no declared schema for: {', '.join(unknown)}")
     for source in sources:
-        require_no_drift(archive_headers(_of_source(named, source)), SCHEMAS[source].names)
+        require_no_drift(parts.where(F.col("source") == source).select("name", "columns"), SCHEMAS[source].names)
     for source in sources:
         archives = _of_source(named, source)
-        datasets = with_name_parts(archives.select("name"))
+        datasets = parts.where(F.col("source") == source).drop("sha256", "columns")
         write_datasets(dataset_rows(archives, SCHEMAS[source]), lake.bronze(source), datasets)
+    append_rows(headers.select("name", "sha256", F.current_timestamp().alias("recorded_at")), lake.checksums)
 
 
 def _of_source(named: DataFrame, source: str) -> DataFrame:

@@ -27,6 +27,14 @@ def lake(spark, tmp_path):
     return lake
 
 
+@pytest.fixture(autouse=True)
+def no_databases_left(spark):
+    yield
+    for database in spark.catalog.listDatabases():
+        if database.name != "default":
+            spark.sql(f"DROP DATABASE `{database.name}` CASCADE")
+
+
 def rows(frame):
     return sorted(map(tuple, frame.collect()))
 
@@ -102,6 +110,15 @@ def test_zone_names_elsewhere_in_the_path_do_not_mislead(spark, tmp_path):
     assert [spark.table(view).count() for view in made.created] == [2, 3, 2]
 
 
+def test_another_lake_s_databases_are_left_alone(spark, lake, tmp_path):
+    made = rebuild(spark, lake, prefix="t_")
+    other = Lake(str(tmp_path / "other"))
+    land_season(spark, other, "nbastats", 2023, 1)
+    with pytest.raises(RuntimeError, match="not made by a rebuild of"):
+        rebuild(spark, other, prefix="t_")
+    assert [spark.table(view).count() for view in sorted(made.created)] == [4, 5, 5]
+
+
 def test_a_foreign_database_is_left_alone(spark, lake):
     spark.sql("CREATE DATABASE f_bronze")
     with pytest.raises(RuntimeError, match="not made by a rebuild"):

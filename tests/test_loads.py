@@ -20,10 +20,11 @@ from lakegauge.plans.loads import (
     sidecar_checksums,
 )
 from lakegauge.schemas import SCHEMAS, schema_for
+from lakegauge.sources import archives
 from lakegauge.sources.archives import _typed, all_strings, archive_files, archive_headers, archive_rows, bare_csv
 from lakegauge.sources.tables import landed_partitions, read_bronze
 
-POINTS = "game_id,points\n42000101,24\n42000102,7\n"
+POINTS = "game_id,points\nx81,305\nx93,48\n"
 
 
 @pytest.fixture
@@ -54,7 +55,7 @@ def test_archive_rows_are_strings_in_the_columns_asked_for(spark, lake):
     drop_archive(lake.raw, "d_2020", POINTS)
     frame = archive_rows(archive_files(spark, lake.raw), all_strings(["points", "game_id"]))
     assert frame.dtypes == [("name", "string"), ("points", "string"), ("game_id", "string")]
-    assert sorted(map(tuple, frame.collect())) == [("d_2020", "24", "42000101"), ("d_2020", "7", "42000102")]
+    assert sorted(map(tuple, frame.collect())) == [("d_2020", "305", "x81"), ("d_2020", "48", "x93")]
 
 
 def test_unquoted_empty_is_null_quoted_empty_is_text_and_newlines_survive(spark, lake):
@@ -66,8 +67,8 @@ def test_unquoted_empty_is_null_quoted_empty_is_text_and_newlines_survive(spark,
 @pytest.mark.parametrize(
     ("content", "message"),
     [
-        (archive_bytes({"a.csv": "x\n1\n", "b.csv": "x\n1\n"}), "expected exactly one CSV, found 2"),
-        (archive_bytes({"a.txt": "x\n1\n"}), "expected exactly one CSV, found 0"),
+        (archive_bytes({"a.csv": "x\n1\n", "b.csv": "x\n1\n"}), "holds one CSV, this one 2"),
+        (archive_bytes({"a.txt": "x\n1\n"}), "holds one CSV, this one 0"),
         (b"not a real xz archive", "not a readable"),
         (archive_bytes({"a.csv": "x\n" + "1\n" * 90000})[:-40], "not a readable"),
         (archive_bytes({"a.csv": "x\n1,2\n"}), "Expected 1 columns, got 2"),
@@ -81,6 +82,39 @@ def test_a_bad_archive_fails_the_read(spark, content, message):
         archive_rows(frame, all_strings(["x"])).collect()
 
 
+def rows_of(spark, text, *columns):
+    frame = spark.createDataFrame([("d_2020", bytearray(archive_bytes({"a.csv": text})))], "name STRING, content BINARY")
+    return archive_rows(frame, all_strings(columns))
+
+
+def test_empty_lines_are_rows_of_one_column_and_ragged_in_more(spark):
+    assert [r.a for r in rows_of(spark, "a\n1\n\n3\n\n", "a").collect()] == ["1", None, "3", None]
+    assert rows_of(spark, 'a,b\n"x\n\ny",2\n,\n', "a", "b").count() == 2
+    with pytest.raises(Exception, match="an empty line among rows of 2 columns"):
+        rows_of(spark, "a,b\n1,2\n\n3,4\n", "a", "b").collect()
+
+
+def test_a_parser_that_skips_lines_is_found_out(spark, monkeypatch):
+    monkeypatch.setitem(archives._PARSING, "ignore_empty_lines", True)
+    with pytest.raises(Exception, match="3 records in the CSV, 2 of them parsed"):
+        rows_of(spark, "a\n1\n\n3\n", "a").collect()
+
+
+@pytest.mark.parametrize("text", ['a,b\nx"y,1\nz,"2\n2"\n', 'a,b\r\n"p""q",1\r\nr,2', "a,b\rs,1\rt,2\r"])
+def test_records_are_counted_whatever_the_quotes_and_line_ends(spark, text):
+    assert rows_of(spark, text, "a", "b").count() == 2
+    assert len(rows_of(spark, text, "a", "b").collect()) == 2
+
+
+def test_very_long_rows_and_headers(spark):
+    long = "y" * (40 << 20)
+    lengths = rows_of(spark, f"a,b\n1,2\n{long},3\n4,5\n", "a", "b").selectExpr("length(a) AS n", "b").collect()
+    assert [tuple(r) for r in lengths] == [(1, "2"), (40 << 20, "3"), (1, "5")]
+    name = "c" * 200_000
+    frame = spark.createDataFrame([("d", bytearray(archive_bytes({"a.csv": f"{name},b\n1,2\n"})))], "name STRING, content BINARY")
+    assert archive_headers(frame).first().columns == [name, "b"]
+
+
 def test_headers_carry_checksum_and_columns(spark, lake):
     import hashlib
 
@@ -262,6 +296,27 @@ def test_checksum_status_against_sidecars(spark, lake):
     assert {r.name: r.status for r in status.collect()} == {"a_2020": "valid", "b_2020": "stale", "c_2020": "unrecorded"}
 
 
+def test_an_archive_unlike_its_checksum_file_is_never_loaded(spark, lake):
+    path = drop_archive(lake.raw, "datanba_2023", csv_text(schema_for("datanba"), [{}]))
+    sidecar = Path(f"{path}.sha256")
+    sidecar.write_text("0" * 64 + "\n")
+    with pytest.raises(ValueError, match="differ from their checksum file: datanba_2023"):
+        load_bronze(spark, lake, force=True)
+    import hashlib
+
+    sidecar.write_text(hashlib.sha256(path.read_bytes()).hexdigest() + "\n")
+    assert by_name(load_bronze(spark, lake))["datanba_2023"].rows == 1
+
+
+def test_a_manifest_bounds_the_typed_load(spark, lake):
+    for season in (2022, 2023):
+        drop_archive(lake.raw, f"datanba_{season}", csv_text(schema_for("datanba"), [{}]))
+    manifest = manifest_of(spark, "datanba_2022")
+    with pytest.raises(KeyError, match="not in the manifest: datanba_2023"):
+        load_bronze(spark, lake, manifest=manifest)
+    assert set(by_name(load_bronze(spark, lake, ["datanba_2022"], manifest=manifest))) == {"datanba_2022"}
+
+
 # --- capture -----------------------------------------------------------------
 
 
@@ -274,7 +329,7 @@ def test_capture_lands_strings_once(spark, lake):
     assert {n: (r.skipped, r.rows) for n, r in first.items()} == {n: (False, 2) for n in names}
     leaf = spark.read.parquet(f"{lake.captured('matchups')}/season=2019/playoffs=true")
     assert leaf.dtypes == [("game_id", "string"), ("points", "string")]
-    assert sorted(r.points for r in leaf.collect()) == ["24", "7"]
+    assert sorted(r.points for r in leaf.collect()) == ["305", "48"]
     assert {(r.source, r.season, r.playoffs) for r in landed_partitions(spark, lake.capture).collect()} == {
         ("matchups", 2019, True), ("odd_name", None, False), ("shots", 2020, False)
     }

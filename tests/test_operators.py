@@ -17,7 +17,7 @@ from lakegauge.sources.manifest import ManifestError, manifest_lines, read_manif
 @pytest.fixture(scope="module")
 def plays(spark):
     return spark.createDataFrame(
-        [("B", 2, "off_reb"), ("A", 3, "turnover"), ("A", 1, "made_fg"), ("B", 1, "missed_fg"), ("A", 2, "def_reb")],
+        [("q", 20, "stop"), ("p", 31, "swap"), ("q", 4, "serve"), ("p", 6, "start"), ("p", 9, "serve"), ("q", 5, None)],
         "game_id STRING, event_order BIGINT, event_type STRING",
     )
 
@@ -25,7 +25,7 @@ def plays(spark):
 def test_previous_value_stays_within_its_group(plays):
     found = previous_value(plays, "event_type", group_by=["game_id"], order_by=["event_order"], name="before")
     assert [r.before for r in found.orderBy("game_id", "event_order").collect()] == [
-        None, "made_fg", "def_reb", None, "missed_fg"
+        None, "start", "serve", None, "serve", None
     ]
 
 
@@ -54,16 +54,46 @@ def test_cutting_large_groups_changes_nothing(spark, monkeypatch, block_rows):
         assert identical(whole, cut)
 
 
-@pytest.mark.parametrize("large_rows", [1, 20, 10**6])
-def test_marking_matches_with_large_keys_set_apart(spark, large_rows):
+def test_running_totals_refuse_floating_point(spark):
+    frame = spark.createDataFrame([("a", 1, 0.5)], "g STRING, o BIGINT, v DOUBLE")
+    with pytest.raises(TypeError, match="no running total of double"):
+        running_total(frame, "v", group_by=["g"], order_by=["o"], name="t")
+
+
+def test_marking_matches(spark):
     rows = [(None if i % 4 == 0 else "hot" if i % 3 == 0 else "gone" if i % 5 == 0 else f"g{i % 7}", i) for i in range(400)]
     left = spark.createDataFrame(rows, "k STRING, i BIGINT")
     right = spark.createDataFrame([("hot",), ("hot",), ("g1",), (None,)], "r STRING")
-    found = mark_matches(left, right, left_on=["k"], right_on=["r"], large_rows=large_rows)
+    found = mark_matches(left, right, left_on=["k"], right_on=["r"])
     assert found.columns == ["k", "i", "matched"]
     assert sorted(map(tuple, found.collect()), key=lambda r: r[1]) == [(k, i, k in ("hot", "g1")) for k, i in rows]
 
 
+def test_a_hot_key_is_split_when_marking_matches(spark, tmp_path):
+    spark.range(200_000).selectExpr("IF(id % 10 = 0, id, 1) AS k", "uuid() AS filler").repartition(8).write.parquet(str(tmp_path / "l"))
+    spark.range(5000).selectExpr("id AS r").write.parquet(str(tmp_path / "r"))
+    left, right = spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "r"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    tracker = spark.sparkContext.statusTracker()
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        jobs = len(tracker.getJobIdsForGroup(None))
+        found = mark_matches(left, right, left_on=["k"], right_on=["r"])
+        assert len(tracker.getJobIdsForGroup(None)) == jobs
+        assert sum(r.matched for r in found.collect()) == 180_000 + 500
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_blocks_are_balanced(spark):
     frame = spark.range(20000).select(F.lit("hot").alias("g"), (F.col("id") * 7919 % 20000).alias("o"))
     blocks = sequence._blocks(frame, ["g"], ["o"], 500)
@@ -121,23 +151,23 @@ def write(tmp_path, text):
 
 def test_manifest(spark, tmp_path):
     text = (
-        "# a comment\r\n\r\n  nbastats_2020 = https://example.com/a?x=1&y=2 \n"
-        "matchups_po_2019=https://github.com/x/y/raw/main/b.tar.xz\n"
+        "#feeds\r\n \t\r\n shots_1987\t=  ftp://files.test/s?k=v=w&l \r"
+        "pairs_po_2044=https://github.com/me/mine/raw/trunk/p.tar.xz"
     )
     table = read_manifest(spark, write(tmp_path, text))
     assert {r.name: (r.url, r.source, r.season, r.playoffs) for r in table.collect()} == {
-        "nbastats_2020": ("https://example.com/a?x=1&y=2", "nbastats", 2020, False),
-        "matchups_po_2019": ("https://raw.githubusercontent.com/x/y/main/b.tar.xz", "matchups", 2019, True),
+        "shots_1987": ("ftp://files.test/s?k=v=w&l", "shots", 1987, False),
+        "pairs_po_2044": ("https://raw.githubusercontent.com/me/mine/trunk/p.tar.xz", "pairs", 2044, True),
     }
 
 
 @pytest.mark.parametrize(
     ("text", "message"),
     [
-        ("a=http://x\n\nno-equals-sign\n", "line 3 is not a name=url pair: no-equals-sign"),
-        ("a=\n", "line 1 is not a name=url"),
-        (" =http://x\n", "line 1 is not a name=url"),
-        ("a=http://x\nb=http://x\na=http://y\na=http://z\n", "line 3 redefines a"),
+        ("#x\nk=u:1\n\n  bare words \n", "line 4 lacks a name or an address:   bare words"),
+        ("k =  \n", "line 1 lacks a name"),
+        ("\n= u:1\n", "line 2 lacks a name"),
+        ("k=u:1\nm=u:2\nn=u:3\nm=u:2\nm=u:4\n", "line 4 repeats the name m"),
     ],
 )
 def test_faulty_manifests(spark, tmp_path, text, message):
@@ -153,10 +183,10 @@ def test_line_numbers_follow_every_kind_of_line_end(spark, tmp_path):
 
 def test_name_parts(spark):
     names = {
-        "nbastats_2020": ("nbastats", 2020, False),
-        "matchups_po_2019": ("matchups", 2019, True),
-        "wnba_shotdetail_po_2021": ("wnba_shotdetail", 2021, True),
-        "weird_no_season": ("weird_no_season", None, False),
+        "serves_1999": ("serves", 1999, False),
+        "rallies_po_2031": ("rallies", 2031, True),
+        "east_serves_po_2007": ("east_serves", 2007, True),
+        "loose_end": ("loose_end", None, False),
         "_po_2019": ("_po", 2019, False),
         "a_20201": ("a_20201", None, False),
         "2020": ("2020", None, False),

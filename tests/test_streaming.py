@@ -4,7 +4,9 @@ import pytest
 
 from conftest import csv_text, drop_archive
 from lakegauge.layout import Lake
+from lakegauge.plans.loads import archive_checksums, checksum_status, recorded_checksums
 from lakegauge.schemas import schema_for
+from lakegauge.sources.archives import archive_files
 from lakegauge.sources.tables import read_bronze
 from lakegauge.streaming.landing import load_new_archives
 
@@ -32,6 +34,21 @@ def test_a_restart_picks_up_only_new_archives(spark, tmp_path):
     assert read_bronze(spark, lake, "datanba", ["evt"], [2022]).count() == 3
 
 
+def test_the_stream_keeps_checksums_as_the_batch_load_does(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    drop(lake, "nbastats_2022", 2)
+    drop(lake, "datanba_2022", 1)
+    caught_up(spark, lake)
+
+    def statuses():
+        actual = archive_checksums(archive_files(spark, lake.raw))
+        return {r.name: r.status for r in checksum_status(actual, recorded_checksums(spark, lake.checksums)).collect()}
+
+    assert statuses() == {"nbastats_2022": "valid", "datanba_2022": "valid"}
+    drop(lake, "datanba_2022", 5)
+    assert statuses() == {"nbastats_2022": "valid", "datanba_2022": "stale"}
+
+
 def test_drift_ends_the_query_and_the_batch_is_retried(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"))
     drop_archive(lake.raw, "datanba_2022", "evt,EXTRA\n1,2\n")
