@@ -220,6 +220,8 @@ def line_classes(
         F.coalesce("class_place", "place").alias("class_place"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
     )
+    # Read back, both inputs of the join are plain shuffles, and a line that is very common is split.
+    known = stored(known, "known-lines")
     marked = lines.select("key", "line_no", "id").join(known, "id")
     return marked.select(
         F.col("key").alias(key),
