@@ -27,22 +27,26 @@ def _smaller_to_least(edges: DataFrame) -> DataFrame:
     return moved.unionAll(least.select("a", F.col("least").alias("b"))).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """``a > b`` in every link: whether each node has one smaller neighbour or none, which itself has none."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where("up > 1 OR (up = 1 AND down = 1)").isEmpty()
+
+
 def components(edges: DataFrame, first: str, second: str) -> DataFrame:
     """``node`` and ``component``, the least node reachable, for every node that is not itself the least.
 
-    ``edges`` needs no order and may repeat. Stars are formed towards least nodes by turns until
-    nothing moves, which takes about the logarithm of the number of nodes in rounds; each round is
-    written out. A node with very many links is spread by the partial minimum and by the split of skewed joins.
+    ``edges`` needs no order and may repeat. Links are turned towards least nodes by turns until they
+    are stars around these, which takes about the logarithm of the number of nodes in rounds; each round
+    is written out. A node with very many links is spread by the partial minimum and by the split of skewed joins.
     """
     a, b = F.col(first), F.col(second)
     current = stored(
         edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "links"
     )
-    before = None
-    while True:
-        state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            break
-        before = state
+    while not _are_stars(current):
         current = stored(_smaller_to_least(_towards_least(current)), "links")
     return current.select(F.col("a").alias("node"), F.col("b").alias("component"))
