@@ -35,7 +35,6 @@ from lakegauge.operators.joins import (
     unmatched_sample,
 )
 from lakegauge.operators.sequence import previous_value, running_total
-from lakegauge.operators.skew import LARGE_ROWS
 from lakegauge.plans.catalog import query, rebuild
 from lakegauge.plans.loads import (
     archive_checksums,
@@ -244,9 +243,8 @@ def running_total_by_user(spark, sf_dir):
     return found.select("event_id", "running")
 
 
-def _block_rows(events: DataFrame) -> int:
-    # A handful of groups hold the whole table. Small tables are cut too, so that the cuts are checked.
-    return max(1, min(LARGE_ROWS, events.count() // 64))
+# A handful of groups hold the whole table; they are cut in the smallest of tables too.
+_CHECKED_BLOCK_ROWS = 150
 
 
 @_registered
@@ -258,7 +256,7 @@ def prev_event_large_groups(spark, sf_dir):
         group_by=["event_type"],
         order_by=["ts", "event_id"],
         name="prev_user_id",
-        block_rows=_block_rows(events),
+        block_rows=_CHECKED_BLOCK_ROWS,
     )
     return found.select("event_id", "event_type", "prev_user_id")
 
@@ -272,7 +270,7 @@ def running_total_large_groups(spark, sf_dir):
         group_by=["event_type"],
         order_by=["ts", "event_id"],
         name="running",
-        block_rows=_block_rows(events),
+        block_rows=_CHECKED_BLOCK_ROWS,
     )
     return found.select("event_id", "running")
 

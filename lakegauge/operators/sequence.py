@@ -1,9 +1,14 @@
 """Sequence features per group: the previous value and the running total.
 
 A window gathers each group in one task, which is right for games of a few hundred events and wrong
-for a group holding a large share of the table. Groups above ``block_rows`` are therefore cut into
-consecutive blocks along their order, the window runs per block, and one small row per block carries
-the last value or the total across the cut. Results are the same either way.
+for a group holding a large share of the table. So every group is cut into consecutive blocks along
+its order, the window runs per block, and one small row per block carries the last value or the total
+across the cut. A row starts a block if its group and order values hash to it, one row in
+``block_rows`` on average. Small groups are rarely cut, large ones into blocks of about that size, and
+a retried task finds the same cuts. Results do not depend on the cuts. Building the operators starts
+no job; where no row is drawn, the joins with cuts and carries are dropped at run time.
+
+The order has to tell the rows of a group apart: equal positions raise when the result is read.
 """
 
 from __future__ import annotations
@@ -11,16 +16,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from lakegauge.functions.columns import column, types_of
-from lakegauge.operators.skew import LARGE_ROWS, join_bounded, large_groups
-from lakegauge.scratch import scratch_dir
+from lakegauge.operators.skew import join_bounded
 
-# Sampled order positions per block; they only balance the blocks.
-_SAMPLES_PER_BLOCK = 64
+# Rows of a block, on average.
+BLOCK_ROWS = 5_000_000
+
+# Cuts of a table, on average: larger tables get larger blocks, since cuts and carries are broadcast.
+_MOST_CUTS = 1 << 17
 
 # Cuts are looked up in two steps so that no row carries an array longer than this.
 _FAN = 256
@@ -50,43 +57,32 @@ def _located(bounds: str) -> Column:
 
 
 def _cuts(
-    frame: DataFrame, large: DataFrame, group_by: Sequence[str], order_by: Sequence[str], block_rows: int
+    frame: DataFrame, group_by: Sequence[str], order_by: Sequence[str], block_rows: int
 ) -> DataFrame:
-    """Order positions (``__position``, numbered by ``__cut``) the blocks of the large groups start at.
+    """Order positions (``__position``, numbered by ``__cut``) that blocks start at.
 
-    Taken from a thin sample, about one cut per ``block_rows`` rows. Written out before use, so that
-    every later reader and retried task sees the same cuts.
+    Their number is about the table's rows over ``block_rows``, ``_MOST_CUTS`` at most, however the
+    rows are spread over the groups.
     """
-    spark = frame.sparkSession
-    fraction = min(1.0, _SAMPLES_PER_BLOCK / block_rows)
-    step = max(1, round(block_rows * fraction))
-    thin = frame.select(*map(column, [*group_by, *order_by])).sample(fraction=fraction, seed=7)
-    sampled = join_bounded(thin, large, group_by, "inner").select(
-        *map(column, group_by), _position(order_by).alias("__position")
-    )
+    names = list(dict.fromkeys([*group_by, *order_by]))
+    rows = frame.select(F.count(F.lit(1))).scalar()
+    one_in = F.greatest(F.lit(int(block_rows)).cast("long"), F.ceil(rows / F.lit(_MOST_CUTS)))
+    drawn = frame.select(*map(column, names)).where(F.pmod(F.xxhash64(*map(column, names)), one_in) == 0)
+    positions = drawn.select(*map(column, group_by), _position(order_by).alias("__position")).distinct()
     ranked = Window.partitionBy(*map(column, group_by)).orderBy("__position")
-    numbered = sampled.withColumn("__rank", F.row_number().over(ranked))
-    cuts = numbered.where(F.col("__rank") % step == 0).select(
-        *map(column, group_by), "__position", (F.col("__rank") / step - 1).cast("int").alias("__cut")
-    )
-    path = scratch_dir(spark, "cuts")
-    cuts.write.parquet(path)
-    return spark.read.schema(cuts.schema).parquet(path)
+    return positions.withColumn("__cut", F.row_number().over(ranked) - 1)
 
 
 @dataclass(frozen=True)
 class _Blocks:
-    """Block numbering of a table: 0 throughout an ordinary group, by cuts within a large one."""
+    """Block numbering of a table: 0 throughout a group without cuts."""
 
     group_by: Sequence[str]
     order_by: Sequence[str]
-    large: DataFrame | None
-    cuts: DataFrame | None
+    cuts: DataFrame
 
     def number(self, rows: DataFrame) -> DataFrame:
         """Add the block number to rows of the table."""
-        if self.cuts is None:
-            return rows.withColumn(_BLOCK, F.lit(0))
         groups = list(map(column, self.group_by))
         is_coarse = (F.col("__cut") % _FAN == 0) & (F.col("__cut") > 0)
         coarse = self.cuts.where(is_coarse).groupBy(*groups)
@@ -104,9 +100,10 @@ class _Blocks:
     def carry(self, frame: DataFrame, rows: DataFrame, summary: Column, across: Column) -> DataFrame:
         """Attach ``__carry`` to ``rows``: each block's ``summary``, moved ``across`` its group's blocks.
 
-        Only rows of large groups are summarised, so the joined table has one row per block.
+        Only rows of groups with a cut are summarised, so the joined table has at most two rows per cut.
         """
-        cut = self.number(join_bounded(frame, self.large, self.group_by, "inner"))
+        groups = self.cuts.where("__cut = 0").select(*map(column, self.group_by))
+        cut = self.number(join_bounded(frame, groups, self.group_by, "inner"))
         per_block = cut.groupBy(*map(column, self.group_by), _BLOCK).agg(summary.alias("__summary"))
         moved = per_block.select(*map(column, self.group_by), _BLOCK, across.alias("__carry"))
         return join_bounded(rows, moved, [*self.group_by, _BLOCK], "left")
@@ -115,9 +112,15 @@ class _Blocks:
 def _blocks(
     frame: DataFrame, group_by: Sequence[str], order_by: Sequence[str], block_rows: int
 ) -> _Blocks:
-    large = large_groups(frame, group_by, block_rows)
-    cuts = None if large is None else _cuts(frame, large, group_by, order_by, block_rows)
-    return _Blocks(group_by, order_by, large, cuts)
+    return _Blocks(group_by, order_by, _cuts(frame, group_by, order_by, block_rows))
+
+
+def _told_apart(order_by: Sequence[str], in_order: WindowSpec, result: Column) -> Column:
+    """``result``, unless the row before has the same position. Equal positions lie in one block."""
+    position = _position(order_by)
+    tie = F.lag(position).over(in_order).eqNullSafe(position)
+    message = f"rows of one group are equal in {', '.join(order_by)}; the order has to tell them apart"
+    return F.when(tie, F.raise_error(F.lit(message))).otherwise(result)
 
 
 def previous_value(
@@ -127,18 +130,16 @@ def previous_value(
     group_by: Sequence[str],
     order_by: Sequence[str],
     name: str,
-    block_rows: int = LARGE_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add ``name``: ``value`` of the row before in the same group, null on a group's first row.
 
-    Order is ascending with nulls first and should identify a row within its group.
+    Order is ascending with nulls first and identifies a row within its group.
     """
     blocks = _blocks(frame, group_by, order_by, block_rows)
     blocked = blocks.number(frame)
     window = Window.partitionBy(*map(column, [*group_by, _BLOCK])).orderBy(*map(column, order_by))
-    within = F.lag(column(value)).over(window)
-    if blocks.cuts is None:
-        return blocked.withColumn(name, within).drop(_BLOCK)
+    within = _told_apart(order_by, window, F.lag(column(value)).over(window))
     rows = blocked.withColumns({"__within": within, "__row": F.row_number().over(window)})
     in_turn = Window.partitionBy(*map(column, group_by)).orderBy(_BLOCK)
     last = F.max_by(column(value), _position(order_by))
@@ -154,7 +155,7 @@ def running_total(
     group_by: Sequence[str],
     order_by: Sequence[str],
     name: str,
-    block_rows: int = LARGE_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the group's rows up to and including this one.
 
@@ -166,15 +167,11 @@ def running_total(
         raise TypeError(f"{value}: no running total of {kind.simpleString()}; cast it to a DECIMAL or a whole number")
     blocks = _blocks(frame, group_by, order_by, block_rows)
     blocked = blocks.number(frame)
-    upto = (
-        Window.partitionBy(*map(column, [*group_by, _BLOCK]))
-        .orderBy(*map(column, order_by))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    in_order = Window.partitionBy(*map(column, [*group_by, _BLOCK])).orderBy(*map(column, order_by))
+    upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     has_value = column(value).isNotNull()
-    if blocks.cuts is None:
-        return blocked.withColumn(name, F.when(has_value, F.sum(column(value)).over(upto))).drop(_BLOCK)
-    rows = blocked.withColumn("__within", F.sum(column(value)).over(upto))
+    within = _told_apart(order_by, in_order, F.sum(column(value)).over(upto))
+    rows = blocked.withColumn("__within", within)
     before = (
         Window.partitionBy(*map(column, group_by))
         .orderBy(_BLOCK)

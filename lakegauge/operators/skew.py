@@ -1,4 +1,4 @@
-"""Groups too large for one task: finding them, and joining tables small enough to broadcast."""
+"""Joining tables small enough to broadcast."""
 
 from __future__ import annotations
 
@@ -9,21 +9,6 @@ from pyspark.sql import functions as F
 
 from lakegauge.functions.columns import quoted
 
-# Rows of one group that a single task is still given.
-LARGE_ROWS = 5_000_000
-
-
-def large_groups(frame: DataFrame, group_by: Sequence[str], rows: int = LARGE_ROWS) -> DataFrame | None:
-    """The groups of more than ``rows`` rows, or None where there are none.
-
-    One pass over the group columns, combined before the shuffle. At most (table rows / ``rows``)
-    groups can qualify, which is what makes the result safe to hold and to broadcast.
-    """
-    counted = frame.groupBy(*map(quoted, group_by)).agg(F.expr("count(*) AS __rows"))
-    large = counted.where(f"__rows > {int(rows)}").drop("__rows")
-    found = large.collect()
-    return frame.sparkSession.createDataFrame(found, large.schema) if found else None
-
 
 def join_bounded(frame: DataFrame, bounded: DataFrame, names: Sequence[str], how: str) -> DataFrame:
     """Broadcast join on the columns ``names`` with a table of bounded size holding each key once; a

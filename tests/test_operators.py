@@ -94,12 +94,37 @@ def test_a_hot_key_is_split_when_marking_matches(spark, tmp_path):
             spark.conf.set(name, value)
 
 
-def test_blocks_are_balanced(spark):
+def test_blocks_are_balanced(spark, monkeypatch):
     frame = spark.range(20000).select(F.lit("hot").alias("g"), (F.col("id") * 7919 % 20000).alias("o"))
-    blocks = sequence._blocks(frame, ["g"], ["o"], 500)
-    sizes = [r["count"] for r in blocks.number(frame).groupBy("__block").count().collect()]
-    assert [r.g for r in blocks.large.collect()] == ["hot"]
-    assert len(sizes) > 25 and max(sizes) < 2000
+
+    def sizes():
+        blocks = sequence._blocks(frame, ["g"], ["o"], 500)
+        return [r["count"] for r in blocks.number(frame).groupBy("__block").count().collect()]
+
+    found = sizes()
+    assert len(found) > 25 and max(found) < 4000
+    monkeypatch.setattr(sequence, "_MOST_CUTS", 4)
+    assert 1 < len(sizes()) < 15
+
+
+@pytest.mark.parametrize("operator", [previous_value, running_total])
+@pytest.mark.parametrize("block_rows", [1, 5_000_000])
+def test_building_a_sequence_starts_no_job_and_ties_raise(spark, operator, block_rows):
+    tracker = spark.sparkContext.statusTracker()
+    frame = spark.range(60).selectExpr("id % 2 AS g", "id AS o", "id AS v")
+    jobs = len(tracker.getJobIdsForGroup(None))
+    found = operator(frame, "v", group_by=["g"], order_by=["o"], name="r", block_rows=block_rows)
+    assert len(tracker.getJobIdsForGroup(None)) == jobs
+    assert found.where("r IS NOT NULL").count() >= 58
+    tied = operator(frame.union(frame.where("o = 7")), "v", group_by=["g"], order_by=["o"], name="r", block_rows=block_rows)
+    with pytest.raises(Exception, match="equal in o"):
+        tied.collect()
+
+
+def test_sequences_of_an_empty_table_are_empty(spark):
+    frame = spark.range(0).selectExpr("id AS g", "id AS o", "id AS v")
+    for operator in (previous_value, running_total):
+        assert operator(frame, "v", group_by=["g"], order_by=["o"], name="r").isEmpty()
 
 
 def test_samples_per_group_are_cut_before_the_shuffle(spark):
