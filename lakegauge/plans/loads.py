@@ -275,11 +275,13 @@ def capture(
     _require_intact(headers, sidecar_checksums(spark, lake.raw), "checksum file")
     if not force:
         _require_intact(headers, recorded_checksums(spark, lake.checksums))
-    shapes: dict[tuple, list] = {}
-    for r in headers.select("name", "columns").collect():
-        if len(set(r.columns)) != len(r.columns):
-            raise ValueError(f"{r.name}: the header repeats a column: {r.columns}")
-        shapes.setdefault((chosen[r.name].source, tuple(r.columns)), []).append(chosen[r.name].path)
+    repeating = headers.where(F.size(F.array_distinct("columns")) < F.size("columns"))
+    for r in repeating.orderBy("name").limit(1).collect():
+        raise ValueError(f"{r.name}: the header repeats a column: {r.columns}")
+    # One job for all archives of a source with the same columns, whatever their order.
+    kinds = with_name_parts(headers).withColumn("kind", F.array_sort("columns")).groupBy("source", "kind")
+    kinds = kinds.agg(F.min_by("columns", "name").alias("columns"), F.collect_list("name").alias("names")).collect()
+    shapes = {(r.source, tuple(r.columns)): [chosen[n].path for n in sorted(r.names)] for r in kinds}
 
     results = []
     for (source, columns), paths in sorted(shapes.items()):

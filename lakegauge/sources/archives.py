@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.csv as pacsv
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, LongType, StringType, StructField, StructType
 
@@ -45,8 +45,12 @@ def archive_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     A reader that leaves ``content`` out lists the files without opening them.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{SUFFIX}").load(paths)
-    name = F.regexp_extract("path", r"([^/]+)\.tar\.xz$", 1)
-    return files.select(name.alias("name"), "path", "length", "content")
+    return files.select(archive_name(), "path", "length", "content")
+
+
+def archive_name() -> Column:
+    """``name`` of the archive a ``path`` leads to."""
+    return F.regexp_extract("path", r"([^/]+)\.tar\.xz$", 1).alias("name")
 
 
 @contextmanager

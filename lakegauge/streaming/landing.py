@@ -11,33 +11,30 @@ from lakegauge.operators.drift import require_no_drift
 from lakegauge.plans.loads import _inspect, dataset_rows, write_datasets
 from lakegauge.schemas import SCHEMAS
 from lakegauge.sinks.partitions import append_rows
-from lakegauge.sources.archives import SUFFIX
+from lakegauge.sources.archives import SUFFIX, archive_files, archive_name
 from lakegauge.sources.manifest import with_name_parts
 
 
 def _load_batch(files: DataFrame, lake: Lake) -> None:
     """Typed load of one micro-batch. Replaying it replaces the same partitions with the same rows."""
-    named = files.select(F.regexp_extract("path", r"([^/]+)\.tar\.xz$", 1).alias("name"), "content")
     # One pass over the batch gives names, headers and checksums.
-    headers = _inspect(files.sparkSession, named)
+    headers = _inspect(files.sparkSession, files.select(archive_name(), "content"))
     parts = with_name_parts(headers)
-    sources = sorted(r.source for r in parts.select("source").distinct().collect())
+    # Paths only, of one batch's files: each source then opens its own archives and no others.
+    listed = with_name_parts(files.select(archive_name(), "path")).select("source", "path").collect()
+    sources = sorted({r.source for r in listed})
     unknown = [s for s in sources if s not in SCHEMAS]
     if unknown:
         raise KeyError(f"no declared schema for: {', '.join(unknown)}")
     for source in sources:
         require_no_drift(parts.where(F.col("source") == source).select("name", "columns"), SCHEMAS[source].names)
     for source in sources:
-        archives = _of_source(named, source)
+        archives = archive_files(files.sparkSession, [r.path for r in listed if r.source == source])
         datasets = parts.where(F.col("source") == source).drop("sha256", "columns")
         write_datasets(dataset_rows(archives, SCHEMAS[source]), lake.bronze(source), datasets)
     append_rows(headers.select("name", "sha256", F.current_timestamp().alias("recorded_at")), lake.checksums)
 
 
-def _of_source(named: DataFrame, source: str) -> DataFrame:
-    return with_name_parts(named).where(F.col("source") == source).select("name", "content")
-
-
 def load_new_archives(
     spark: SparkSession,
     lake: Lake,

@@ -10,6 +10,7 @@ from pyspark.sql.types import DateType, DoubleType, LongType
 from conftest import archive_bytes, csv_text, drop_archive
 from lakegauge.functions.strict import strict_cast
 from lakegauge.layout import Lake
+from lakegauge.plans import loads
 from lakegauge.operators.drift import SchemaDrift, header_drift
 from lakegauge.plans.loads import (
     archive_checksums,
@@ -354,6 +355,23 @@ def test_capture_loads_what_is_missing_and_force_loads_all(spark, lake):
     assert {n: (r.skipped, r.rows) for n, r in forced.items()} == {"a_2020": (False, 2), "a_2021": (False, 1)}
 
 
+def test_captures_with_the_same_columns_share_a_job(spark, lake, monkeypatch):
+    drop_archive(lake.raw, "a_2020", "x,y\n1,2\n")
+    drop_archive(lake.raw, "a_2021", "y,x\n3,4\n")
+    written, write = [], loads.write_datasets
+    monkeypatch.setattr(loads, "write_datasets", lambda *given: written.append(given) or write(*given))
+    capture(spark, lake, manifest_of(spark, "a_2020", "a_2021"))
+    assert len(written) == 1
+    found = spark.read.parquet(lake.captured("a")).select("season", "x", "y").collect()
+    assert sorted(map(tuple, found)) == [(2020, "1", "2"), (2021, "4", "3")]
+
+
+def test_capture_refuses_a_repeated_column(spark, lake):
+    drop_archive(lake.raw, "a_2020", "x,x\n1,2\n")
+    with pytest.raises(ValueError, match="a_2020: the header repeats a column"):
+        capture(spark, lake, manifest_of(spark, "a_2020"))
+
+
 def test_capture_refuses_names_outside_the_manifest(spark, lake):
     with pytest.raises(KeyError, match="not in the manifest: nope"):
         capture(spark, lake, manifest_of(spark, "a_2020"), ["nope"])
