@@ -82,16 +82,16 @@ def pending(manifest: DataFrame, landed: DataFrame) -> DataFrame:
     return manifest.join(held, same, "left_anti")
 
 
-def _chosen(spark: SparkSession, folder: str, names: Sequence[str] | None) -> list:
-    """Name and path of the archives asked for, from a listing; all of them by default."""
-    files = with_name_parts(archive_files(spark, folder).select("name", "path"))
-    rows = sorted(files.collect(), key=lambda r: r.name)
+def _chosen(archives: DataFrame, folder: str, names: Sequence[str] | None) -> DataFrame:
+    """The archives asked for; all of them by default."""
     if names is None:
-        return rows
-    absent = sorted(set(names) - {r.name for r in rows})
+        return archives
+    wanted = sorted(set(names))
+    asked = archives.sparkSession.createDataFrame([(n,) for n in wanted], "name STRING")
+    absent = [r.name for r in asked.join(archives.select("name"), "name", "left_anti").orderBy("name").limit(5).collect()]
     if absent:
         raise FileNotFoundError(f"no archive under {folder} for: {', '.join(absent)}")
-    return [r for r in rows if r.name in set(names)]
+    return archives.where(F.col("name").isin(wanted))
 
 
 def _inspect(spark: SparkSession, archives: DataFrame) -> DataFrame:
@@ -109,9 +109,8 @@ def _require_intact(headers: DataFrame, recorded: DataFrame, kept: str = "record
         raise ValueError(f"archives differ from their {kept}: {', '.join(names)}")
 
 
-def _require_listed(spark: SparkSession, names: Sequence[str], manifest: DataFrame) -> None:
-    asked = spark.createDataFrame([(n,) for n in sorted(set(names))], "name STRING")
-    unknown = [r.name for r in asked.join(manifest, "name", "left_anti").orderBy("name").limit(5).collect()]
+def _require_listed(names: DataFrame, manifest: DataFrame) -> None:
+    unknown = [r.name for r in names.join(manifest, "name", "left_anti").orderBy("name").limit(5).collect()]
     if unknown:
         raise KeyError(f"not in the manifest: {', '.join(unknown)}")
 
@@ -198,29 +197,29 @@ def load_typed(
     ``force`` accepts archives whose bytes have changed since they were recorded; one that differs
     from the checksum file beside it is never accepted. With a ``manifest``, only its names are.
     """
-    chosen = _chosen(spark, raw, names)
-    if not chosen:
+    archives = _chosen(archive_files(spark, raw), raw, names)
+    listed = with_name_parts(archives.select("name"))
+    for row in listed.where(~F.col("source").isin(list(schemas))).orderBy("name").limit(1).collect():
+        raise KeyError(f"{row.name}: {row.source!r} has no declared schema; declared: {', '.join(sorted(schemas))}")
+    sources = sorted(r.source for r in listed.select("source").distinct().collect())
+    if not sources:
         raise FileNotFoundError(f"no archives under {raw}")
     if manifest is not None:
-        _require_listed(spark, [r.name for r in chosen], manifest)
-    for row in chosen:
-        if row.source not in schemas:
-            raise KeyError(f"{row.name}: {row.source!r} has no declared schema; declared: {', '.join(sorted(schemas))}")
+        _require_listed(listed.select("name"), manifest)
 
-    headers = _inspect(spark, archive_files(spark, [r.path for r in chosen]))
+    headers = _inspect(spark, archives)
     _require_intact(headers, sidecar_checksums(spark, raw), "checksum file")
     if not force:
         _require_intact(headers, recorded_checksums(spark, ledger))
-    by_source = {s: [r for r in chosen if r.source == s] for s in sorted({r.source for r in chosen})}
     parts = with_name_parts(headers.select("name", "columns"))
-    for source in by_source:
+    for source in sources:
         require_no_drift(parts.where(F.col("source") == source), schemas[source].names)
 
     results = []
-    for source, rows in by_source.items():
-        archives = archive_files(spark, [r.path for r in rows])
-        datasets = with_name_parts(archives.select("name"))
-        results.append(write_datasets(dataset_rows(archives, schemas[source]), target[source], datasets))
+    for source in sources:
+        own = with_name_parts(archives).where(F.col("source") == source).select(*archives.columns)
+        datasets = with_name_parts(own.select("name"))
+        results.append(write_datasets(dataset_rows(own, schemas[source]), target[source], datasets))
     return _finish(results, headers, ledger)
 
 
@@ -258,8 +257,8 @@ def capture(
     """
     wanted = manifest
     if names is not None:
-        _require_listed(spark, names, manifest)
         asked = spark.createDataFrame([(n,) for n in sorted(set(names))], "name STRING")
+        _require_listed(asked, manifest)
         wanted = manifest.join(asked, "name", "left_semi")
     todo = wanted if force else pending(wanted, landed_partitions(spark, lake.capture))
     todo_names = sorted(r.name for r in todo.select("name").collect())
@@ -270,8 +269,8 @@ def capture(
             *entries.columns, "sha256", F.lit(True).alias("skipped"), F.lit(None).cast("bigint").alias("rows")
         )
 
-    chosen = {r.name: r for r in _chosen(spark, lake.raw, todo_names)}
-    headers = _inspect(spark, archive_files(spark, [r.path for r in chosen.values()]))
+    archives = _chosen(archive_files(spark, lake.raw), lake.raw, todo_names)
+    headers = _inspect(spark, archives)
     _require_intact(headers, sidecar_checksums(spark, lake.raw), "checksum file")
     if not force:
         _require_intact(headers, recorded_checksums(spark, lake.checksums))
@@ -281,13 +280,12 @@ def capture(
     # One job for all archives of a source with the same columns, whatever their order.
     kinds = with_name_parts(headers).withColumn("kind", F.array_sort("columns")).groupBy("source", "kind")
     kinds = kinds.agg(F.min_by("columns", "name").alias("columns"), F.collect_list("name").alias("names")).collect()
-    shapes = {(r.source, tuple(r.columns)): [chosen[n].path for n in sorted(r.names)] for r in kinds}
 
     results = []
-    for (source, columns), paths in sorted(shapes.items()):
-        archives = archive_files(spark, paths)
-        datasets = with_name_parts(archives.select("name"))
-        results.append(write_datasets(dataset_rows(archives, all_strings(columns)), lake.captured(source), datasets))
+    for kind in sorted(kinds, key=lambda r: (r.source, r.columns)):
+        own = archives.where(F.col("name").isin(kind.names))
+        datasets = with_name_parts(own.select("name"))
+        results.append(write_datasets(dataset_rows(own, all_strings(kind.columns)), lake.captured(kind.source), datasets))
     loaded = _finish(results, headers, lake.checksums).select("name", F.col("rows").alias("__loaded"))
     known = recorded_checksums(spark, lake.checksums)
     outcome = entries.join(known, "name", "left").join(loaded, "name", "left")

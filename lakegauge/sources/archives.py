@@ -40,12 +40,14 @@ _PARSING = {"newlines_in_values": True, "ignore_empty_lines": False}
 
 
 def archive_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Archives (``name``, ``content``, ``length``) under a folder, or at the paths given.
+    """Archives (``name``, ``path``, ``length``, ``content``) under a folder, or at the paths given.
 
-    A reader that leaves ``content`` out lists the files without opening them.
+    A reader that leaves ``content`` out lists the files without opening them. ``name`` is a file's own
+    property, so a filter on it, or on what is derived from it, chooses files before any is opened.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{SUFFIX}").load(paths)
-    return files.select(archive_name(), "path", "length", "content")
+    name = F.regexp_extract("_metadata.file_name", r"^(.+)\.tar\.xz$", 1).alias("name")
+    return files.select(name, "path", "length", "content")
 
 
 def archive_name() -> Column:

@@ -366,6 +366,15 @@ def test_captures_with_the_same_columns_share_a_job(spark, lake, monkeypatch):
     assert sorted(map(tuple, found)) == [(2020, "1", "2"), (2021, "4", "3")]
 
 
+def test_archives_are_chosen_before_any_is_opened(spark, lake):
+    for name in ("a_2020", "b_2020", "b_2021"):
+        drop_archive(lake.raw, name, POINTS)
+    found = with_name_parts(archive_files(spark, lake.raw)).where("source = 'b'").select("name", "content")
+    assert sorted(r.name for r in found.collect()) == ["b_2020", "b_2021"]
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().get("numFiles").get().value() == 2
+
+
 def test_capture_refuses_a_repeated_column(spark, lake):
     drop_archive(lake.raw, "a_2020", "x,x\n1,2\n")
     with pytest.raises(ValueError, match="a_2020: the header repeats a column"):
