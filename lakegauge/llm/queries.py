@@ -17,7 +17,7 @@ from lakegauge.llm.ngram_lm import score_texts
 from lakegauge.llm.packing import pack
 from lakegauge.llm.partenum import similar_texts
 from lakegauge.llm.pii import private_spans, span_digest
-from lakegauge.llm.quality import quality
+from lakegauge.llm.quality import STOP_WORDS, quality
 from lakegauge.llm.tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,37 @@ def op7_quality_rules(spark, sf_dir):
     return quality(read_table(spark, sf_dir, "documents"))
 
 
+ORACLES["op7_quality_rules"] = f"""
+WITH split AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+           [w for w in regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') if w <> ''] AS words,
+           [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS lines
+    FROM documents),
+words AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split),
+windows AS (
+    SELECT r, i, list(word) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS eight FROM words),
+repeats AS (SELECT r, i, len(eight) = 8 AND count(*) OVER (PARTITION BY r, eight) > 1 AS again FROM windows),
+covered AS (
+    SELECT r, max(again) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS under FROM repeats),
+counted AS (SELECT r, count(*) FILTER (under) AS n_repeat_words FROM covered GROUP BY r),
+measured AS (
+    SELECT doc_id, CAST(len(words) AS bigint) AS n_words,
+           CAST(length(array_to_string(words, '')) AS bigint) AS word_chars,
+           CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS bigint) AS n_symbols,
+           CAST(len(lines) - len(list_distinct(lines)) AS bigint) AS n_dup_lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words,
+           CAST(len(lines) AS bigint) AS n_lines,
+           CAST(len([w for w in words if w IN ({", ".join(f"'{w}'" for w in STOP_WORDS)})]) AS bigint) AS n_stop_words,
+           CAST(length(regexp_replace(text, '[^!]+', '', 'g')) AS bigint) AS n_exclamations
+    FROM split LEFT JOIN counted USING (r)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+SELECT *, NOT base_failed AND 100 * word_chars BETWEEN 200 * n_words AND 1500 * n_words
+          AND 100 * n_symbols <= 25 * n_words AND 100 * n_exclamations <= 40 * n_words
+          AND 100 * n_stop_words >= 2 * n_words AND 100 * n_dup_lines <= 40 * n_lines AS kept
+FROM judged
+"""
+
+
 @_registered
 def op9_bpe_chunks(spark, sf_dir):
     return encode_documents(

@@ -4,8 +4,15 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from pathlib import Path
+
+import pytest
 
 from lakegauge.llm.quality import MEASURES, PRODUCTION, STOP_WORDS, Rule, passing, quality
+from lakegauge.llm.queries import ORACLES, QUERIES
+from oracle import differences
+
+SF_DIR = "/root/testdata/sf0.01"
 
 
 def plain(text):
@@ -56,6 +63,12 @@ def test_tables(documents, texts):
     assert {r.doc_id for r in passing(documents).collect()} == {r.doc_id for r in rows if r.kept}
 
 
+@pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="test tables are not here")
+def test_query_equals_its_sql(spark):
+    name = "op7_quality_rules"
+    assert differences(spark, SF_DIR, QUERIES[name], ORACLES[name]) == ""
+
+
 def test_repeated_windows(spark):
     eight = "a b c d e f g h"
     texts = dict(enumerate([
