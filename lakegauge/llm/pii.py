@@ -4,11 +4,13 @@ Patterns find emails, ip addresses, card and phone numbers. The corpus then tell
 them are disclosing: with ``n(e)`` documents naming an entity, ``n(t)`` holding a term, ``n(e, t)``
 holding it near the entity and ``N`` in all, the pointwise mutual information log(N n(e,t) / (n(e) n(t)))
 is compared with the entity's information content log(N / n(e)). A term reaching ``generalise`` of
-it is replaced by a placeholder, one reaching ``remove`` of it is taken out. Only pairs seen in at
-least ``support`` different surroundings count, so copies of one passage are one witness.
+it is replaced by a placeholder, one reaching ``remove`` of it is taken out, wherever it stands: in other
+paragraphs and in documents that do not name the entity too. Only pairs seen in at least ``support``
+different surroundings count, so copies of one passage are one witness.
 
-Entities are kept as digests. The table of candidate terms that the second scan looks for is
-folded into a fixed number of bits; what passes is joined with the table itself.
+Entities are kept as digests. The candidate terms that the second scan counts, and the disclosing ones
+whose places the third returns, are folded into a fixed number of bits; what passes is joined with the
+table itself.
 
 Edge cases: null counts as empty; an empty table gives an empty result; rows repeating a key are found
 one by one, and rows repeating key and text get the same spans; extra columns are not read.
@@ -19,8 +21,10 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -112,7 +116,7 @@ def _is_term(word: str) -> bool:
     return len(word) >= 3 and not word.isdigit()
 
 
-def _surroundings(text: str, span: Span, spans: list[Span], width: int) -> tuple[int, list[tuple[str, int, int]]]:
+def _surroundings(text: str, span: Span, spans: list[Span], width: int) -> tuple[int, list[str]]:
     """Hash of the words around a span on its line, and the terms among them outside all spans."""
     near = 24 * width
     low = max(text.rfind("\n", 0, span[0]) + 1, span[0] - near)
@@ -124,7 +128,7 @@ def _surroundings(text: str, span: Span, spans: list[Span], width: int) -> tuple
     witness = hashlib.blake2b(" ".join(m[0].lower() for m in around).encode(), digest_size=8).digest()
     overlaps = [s for s in spans if s[0] < high and s[2] > low]
     terms = [
-        (m[0].lower(), m.start(), m.end())
+        m[0].lower()
         for m in around
         if _is_term(m[0]) and not any(s[0] < m.end() and m.start() < s[2] for s in overlaps)
     ]
@@ -132,7 +136,7 @@ def _surroundings(text: str, span: Span, spans: list[Span], width: int) -> tuple
 
 
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
-_NEAR = "array<struct<entity:binary,witness:bigint,term:string,start:int,end:int>>"
+_NEAR = "array<struct<entity:binary,witness:bigint,term:string>>"
 
 
 def _found(documents: DataFrame, key: str, text: str, width: int) -> DataFrame:
@@ -142,8 +146,7 @@ def _found(documents: DataFrame, key: str, text: str, width: int) -> DataFrame:
     )
     schema = StructType([*rows.schema.fields[:2], *StructType.fromDDL(f"base {_SPANS}, near {_NEAR}").fields])
     base_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-    near_fields = [("entity", pa.binary()), ("witness", pa.int64()), ("term", pa.string())]
-    near_type = pa.list_(pa.struct([*near_fields, ("start", pa.int32()), ("end", pa.int32())]))
+    near_type = pa.list_(pa.struct([("entity", pa.binary()), ("witness", pa.int64()), ("term", pa.string())]))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,9 +159,7 @@ def _found(documents: DataFrame, key: str, text: str, width: int) -> DataFrame:
                 for span in spans:
                     witness, terms = _surroundings(whole, span, spans, width)
                     entity = _entity(whole, span)
-                    for term, start, end in terms:
-                        place = {"entity": entity, "witness": witness, "term": term}
-                        near.append(place | {"start": start, "end": end})
+                    near += [{"entity": entity, "witness": witness, "term": term} for term in terms]
                 nears.append(near)
             columns = [batch.column("key"), batch.column("text_hash")]
             columns += [pa.array(bases, base_type), pa.array(nears, near_type)]
@@ -180,14 +181,15 @@ def _term_filter(candidates: DataFrame) -> np.ndarray:
     return words
 
 
+def _passes(bits: list[int], term: str) -> bool:
+    word = bits[zlib.crc32(term.encode()) % _FILTER_WORDS]
+    return bool(word >> (zlib.crc32(term[::-1].encode()) % 64) & 1) if word else False
+
+
 def _document_counts(documents: DataFrame, text: str, candidates: DataFrame) -> DataFrame:
     """``n_t``: in how many rows each candidate term occurs, added up in each task first."""
     bits = _term_filter(candidates).tolist()
 
-    def passes(term: str) -> bool:
-        word = bits[zlib.crc32(term.encode()) % _FILTER_WORDS]
-        return bool(word >> (zlib.crc32(term[::-1].encode()) % 64) & 1) if word else False
-
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, bool] = {}
         counts: Counter[str] = Counter()
@@ -199,7 +201,7 @@ def _document_counts(documents: DataFrame, text: str, candidates: DataFrame) ->
         for batch in batches:
             for value in batch.column("text"):
                 terms = set(_WORD.findall((value.as_py() or "").lower()))
-                known.update((term, passes(term)) for term in terms if term not in known)
+                known.update((term, _passes(bits, term)) for term in terms if term not in known)
                 counts.update(term for term in terms if known[term])
             if len(known) > _TASK_TERMS:
                 known.clear()
@@ -215,6 +217,45 @@ def _document_counts(documents: DataFrame, text: str, candidates: DataFrame) ->
     return counted.join(candidates, "term", "left_semi")
 
 
+def _term_places(documents: DataFrame, key: str, text: str, terms: DataFrame) -> DataFrame:
+    """``key, text_hash, term, start, end``: where words that may be among ``terms`` stand, outside all pattern matches."""
+    bits = _term_filter(terms).tolist()
+    rows = documents.select(
+        F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")
+    )
+    schema = StructType([*rows.schema.fields[:2], *StructType.fromDDL("term string, start int, end int").fields])
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, bool] = {}
+        for batch in batches:
+            rows, terms, starts, ends = [], [], [], []
+            for row, value in enumerate(batch.column("text")):
+                whole = value.as_py() or ""
+                words = set(_WORD.findall(whole))
+                known.update((word, _is_term(word) and _passes(bits, word.lower())) for word in words if word not in known)
+                if any(known[word] for word in words):
+                    spans = base_spans(whole)
+                    firsts = [s[0] for s in spans]
+                    # How far matches reach that start no later; they may overlap.
+                    reach = list(accumulate((s[2] for s in spans), max))
+                    for match in _WORD.finditer(whole):
+                        if known[match[0]]:
+                            before = bisect_left(firsts, match.end())
+                            if not before or reach[before - 1] <= match.start():
+                                rows.append(row)
+                                terms.append(match[0].lower())
+                                starts.append(match.start())
+                                ends.append(match.end())
+            if len(known) > _TASK_TERMS:
+                known.clear()
+            if rows:
+                columns = [batch.column(name).take(pa.array(rows)) for name in ("key", "text_hash")]
+                columns += [pa.array(terms, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return (rows if any(bits) else rows.limit(0)).mapInArrow(emit, schema)
+
+
 def disclosing_terms(
     documents: DataFrame,
     found: DataFrame,
@@ -245,12 +286,11 @@ def _spans_with_terms(documents: DataFrame, key: str, text: str, **thresholds: f
     """The pattern matches per row, and the disclosing terms' spans per key and text hash."""
     found = stored(_found(documents, key, text, CONTEXT_WORDS), "pii-found")
     terms = disclosing_terms(documents, found, text, **thresholds)
-    near = found.select("key", "text_hash", F.explode("near").alias("n"))
-    near = near.select("key", "text_hash", "n.entity", "n.term", "n.start", "n.end")
-    # Copies and several matches on a line name a word more than once; removal wins.
-    spans = near.join(terms, ["entity", "term"]).groupBy("key", "text_hash", "start", "end").agg(
-        F.max("removed").alias("removed")
-    )
+    # A term may disclose several entities; removal wins.
+    terms = stored(terms.groupBy("term").agg(F.max("removed").alias("removed")), "pii-disclosing")
+    # Rows repeating key and text name a place more than once.
+    spans = _term_places(documents, key, text, terms.select("term")).join(terms, "term")
+    spans = spans.groupBy("key", "text_hash", "start", "end").agg(F.max("removed").alias("removed"))
     fields = F.struct("start", F.lit(_TERM).alias("kind"), "end", "removed")
     return found, spans.groupBy("key", "text_hash").agg(F.sort_array(F.collect_list(fields)).alias("terms"))
 

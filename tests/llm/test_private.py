@@ -87,6 +87,23 @@ def test_terms_beside_one_entity_are_disclosing(spark):
     assert cleaned[100].text == texts[100]
 
 
+def test_terms_are_marked_wherever_they_stand(spark):
+    far = "zebulon came\n" + "plain words " * 40 + "\nkeeper@house.example\n" + "more words " * 40 + "\nthen Zebulon left"
+    alone = "here ZEBULON stands alone, not zebulons, and zebulon@house.example is an address"
+    rows = [(300, far, "x"), (301, alone, "x"), (None, "zebulon once", "x"), (None, "and zebulon twice", "x")]
+    frame = corpus(spark).unionByName(spark.createDataFrame(rows, "doc_id long, text string, base string"))
+    # They all count as occurrences, so the term tells less than near its entity alone.
+    found = private_spans(frame, generalise=0.6).where("doc_id IS NULL OR doc_id IN (300, 301)").collect()
+    places = [(m.start(), m.end()) for m in re.finditer("(?i)zebulon", far)]
+    wanted = [(300, places), (301, [(5, 12)]), (None, [(0, 7)]), (None, [(4, 11)])]
+    assert len(places) == 2
+    got = [(r.doc_id, [(t.start, t.end) for t in r.terms]) for r in found]
+    assert sorted(got, key=repr) == sorted(wanted, key=repr)
+    cleaned = [r.text for r in sanitise(frame, generalise=0.6).where("doc_id IS NULL OR doc_id >= 300").collect()]
+    assert len(cleaned) == 4 and not any(re.search(r"(?i)\bzebulon\b", text) for text in cleaned)
+    assert any("zebulons" in text for text in cleaned)
+
+
 def test_copies_are_one_witness(spark):
     text = "please write to zebulon at keeper@house.example"
     frame = spark.createDataFrame([(i, text) for i in range(9)] + [(50, "nothing")], "doc_id long, text string")
