@@ -11,8 +11,8 @@ Lines are known by a 64-bit hash, so hot lines are one row before any join. Only
 are fetched through a bit set of fixed size, small enough to be sent to every task whatever the corpus.
 
 Edge cases: a null text has no lines; empty and short lines are never removed; the first line of a
-class is its earliest by key and line number, a null key coming first; rows repeating a key and a text
-are one document; an empty table gives an empty result; extra columns are kept by :func:`drop_repeated_lines`
+class is its earliest by key and line number, a null key coming first, and by the hash of the text where
+rows repeat a key or lack one; rows repeating a key and a text are one document; an empty table gives an empty result; extra columns are kept by :func:`drop_repeated_lines`
 and not read otherwise.
 """
 
@@ -120,8 +120,9 @@ def within_edits(first: Column, second: Column, edits: int) -> Column:
 
 
 def lines_of(documents: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """``key, line_no, line, id`` of every line long enough; ``id`` is its hash."""
-    lines = documents.select(F.col(key).alias("key"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
+    """``key, text_hash, line_no, line, id`` of every line long enough; ``id`` is its hash."""
+    row = (F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"))
+    lines = documents.select(*row, F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
     return lines.where(F.length("line") >= min_chars).withColumn("id", F.xxhash64("line"))
 
 
@@ -190,19 +191,11 @@ def line_links(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     return both.where(within_edits(F.col("first"), F.col("second"), edits)).select("a", "b")
 
 
-def line_classes(
-    documents: DataFrame,
-    *,
-    key: str = "doc_id",
-    text: str = "text",
-    edits: int = EDITS,
-    min_chars: int = MIN_CHARS,
-) -> DataFrame:
-    """Every line of at least ``min_chars`` characters: ``key``, ``line_no``, the ``class_doc`` and ``class_line``
-    where its class first occurs, ``n_links`` (other different lines linked to it) and ``kept``."""
+def _marked_lines(documents: DataFrame, key: str, text: str, edits: int, min_chars: int) -> DataFrame:
+    """``key, text_hash, line_no`` of every line long enough, its ``class_place``, ``n_links`` and ``kept``."""
     lines = lines_of(documents, key, text, min_chars)
     links = stored(line_links(lines, edits), "line-links")
-    place = F.struct("key", "line_no")
+    place = F.struct("key", "line_no", "text_hash")
     firsts = lines.groupBy("id").agg(F.min(place).alias("place"))
 
     ends = links.select(F.col("a").alias("id")).unionAll(links.select(F.col("b").alias("id")))
@@ -222,14 +215,27 @@ def line_classes(
     )
     # Read back, both inputs of the join are plain shuffles, and a line that is very common is split.
     known = stored(known, "known-lines")
-    marked = lines.select("key", "line_no", "id").join(known, "id")
-    return marked.select(
+    marked = lines.select("key", "text_hash", "line_no", "id").join(known, "id")
+    return marked.select("*", place.eqNullSafe(F.col("class_place")).alias("kept"))
+
+
+def line_classes(
+    documents: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    edits: int = EDITS,
+    min_chars: int = MIN_CHARS,
+) -> DataFrame:
+    """Every line of at least ``min_chars`` characters: ``key``, ``line_no``, the ``class_doc`` and ``class_line``
+    where its class first occurs, ``n_links`` (other different lines linked to it) and ``kept``."""
+    return _marked_lines(documents, key, text, edits, min_chars).select(
         F.col("key").alias(key),
         "line_no",
         F.col("class_place.key").alias("class_doc"),
         F.col("class_place.line_no").alias("class_line"),
         "n_links",
-        (F.struct("key", "line_no").eqNullSafe(F.col("class_place"))).alias("kept"),
+        "kept",
     )
 
 
@@ -245,13 +251,13 @@ def drop_repeated_lines(
 
     A document that keeps no line with a character in it is left out; one that had none stays as it is.
     """
-    classes = line_classes(documents, key=key, text=text, edits=edits, min_chars=min_chars)
-    dropped = classes.where("NOT kept").groupBy(F.col(key).alias("__key")).agg(
-        F.collect_set("line_no").alias("__dropped")
-    )
+    marked = _marked_lines(documents, key, text, edits, min_chars)
+    document = (F.col("key").alias("__key"), F.col("text_hash").alias("__hash"))
+    dropped = marked.where("NOT kept").groupBy(*document).agg(F.collect_set("line_no").alias("__dropped"))
     rows = documents.select(F.struct("*").alias("row"))
     whole = F.col("row")[text]
-    rows = rows.join(dropped, F.col("row")[key].eqNullSafe(F.col("__key")), "left")
+    same = F.col("row")[key].eqNullSafe(F.col("__key")) & (F.xxhash64(whole) == F.col("__hash"))
+    rows = rows.join(dropped, same, "left")
     rest = F.filter(F.split(whole, "\n", -1), lambda line, at: ~F.array_contains("__dropped", at))
     kept = F.when(F.col("__dropped").isNull(), whole).otherwise(F.array_join(rest, "\n"))
     rows = rows.select("row", "__dropped", kept.alias("__kept"))

@@ -124,3 +124,25 @@ def test_odd_documents(odd_documents, no_documents):
     assert by_key[0] is None and by_key[1] == "" and by_key[12] == "same line again and again here"
     assert cleaned.count() == odd_documents.count()
     assert line_classes(no_documents).count() == 0 and drop_repeated_lines(no_documents).count() == 0
+
+
+def test_rows_sharing_a_key_keep_their_own_lines(spark):
+    shared = "a line that stands in several of the documents"
+    own = [f"{word} is what this document alone has to say here" for word in ("alpha", "bravo", "charlie", "delta")]
+    rows = [(0, f"{own[0]}\n{shared}")]
+    for key in (None, 7):
+        rows += [(key, f"{shared}\n{own[1]} {key}"), (key, f"{own[2]} {key}\n{shared}"), (key, f"{own[3]} {key}\nx")]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    # Null comes first, so one of the null rows holds the line's first place: line 0 is earliest.
+    wanted = [
+        (0, own[0]),
+        (None, f"{shared}\n{own[1]} None"), (None, f"{own[2]} None"), (None, f"{own[3]} None\nx"),
+        (7, f"{own[1]} 7"), (7, f"{own[2]} 7"), (7, f"{own[3]} 7\nx"),
+    ]
+    assert sorted(map(tuple, drop_repeated_lines(frame).collect()), key=repr) == sorted(wanted, key=repr)
+    # Equal places of different texts: one of the two is the first.
+    twins = [(None, f"{shared}\n{own[0]}"), (None, f"{shared}\n{own[1]}")]
+    twins = spark.createDataFrame(twins, "doc_id int, text string")
+    assert sum(r.kept for r in line_classes(twins).collect()) == 3
+    kept = "\n".join(r.text for r in drop_repeated_lines(twins).collect()).split("\n")
+    assert sorted(kept) == sorted([shared, own[0], own[1]])
