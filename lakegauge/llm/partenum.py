@@ -297,6 +297,12 @@ def _verified(pairs: DataFrame, known: DataFrame, documents: DataFrame, key: str
     return stored(both.mapInArrow(verify, "a long, b long"), "set-links")
 
 
+def _sharing_a_key(usable: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` joining the classes of keys that have several."""
+    least = usable.groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("last")).where("a <> last")
+    return usable.join(least, "key").where("class <> a").select("a", F.col("class").alias("b")).distinct()
+
+
 def similar_texts(
     documents: DataFrame,
     *,
@@ -328,7 +334,7 @@ def similar_texts(
     where = (documents, key, text, width, share)
     links = _verified(_pairs(members, known, None, share), known, *where)
     left = _pairs(members, known, components(links, "a", "b"), share)
-    links = links.unionByName(_verified(left, known, *where))
+    links = links.unionByName(_verified(left, known, *where)).unionByName(_sharing_a_key(usable))
 
     joined = components(links, "a", "b")
     classes = usable.groupBy("class").agg(F.min("key").alias("first"))
@@ -348,7 +354,32 @@ def similar_texts(
 def one_of_each(
     documents: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 5, share: int = 80
 ) -> DataFrame:
-    """The rows whose key is the least of their component, their columns unchanged; rows without a key stay."""
-    found = similar_texts(documents, key=key, text=text, width=width, share=share)
-    later = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("__later")).distinct()
-    return documents.join(later, F.col(key) == F.col("__later"), "left_anti")
+    """One row of each component of similar texts, its columns unchanged: the one of the least key, a null key
+    coming last, and of the least hash of its text. Rows without words stay.
+
+    Components are of texts: different texts of rows that repeat or lack a key have nothing to do with each other.
+    """
+    rows = documents.select(F.xxhash64(text).alias("text_hash"), F.col(key).alias("key"), F.col(text).alias("text"))
+    found = similar_texts(rows, key="text_hash", width=width, share=share)
+    found = found.where("n_shingles > 0").select("text_hash", "component_id").distinct()
+    places = rows.select("text_hash", "key").join(found, "text_hash")
+    places = places.groupBy("text_hash", "key").agg(
+        F.count(F.lit(1)).alias("copies"), F.any_value("component_id").alias("component_id")
+    )
+    places = stored(places, "text-places")
+    place = F.struct(F.col("key").isNull(), "key", "text_hash")
+    firsts = places.groupBy("component_id").agg(F.min(place).alias("first"))
+    marked = places.join(firsts, "component_id").withColumn("chosen", place.eqNullSafe(F.col("first")))
+    # Rows chosen with copies are all taken out, and one of them put back.
+    apart = marked.where("NOT chosen OR copies > 1").select(
+        F.col("key").alias("__key"), F.col("text_hash").alias("__hash"), "chosen"
+    )
+    apart = stored(apart, "texts-apart")
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__hash"))
+    kept = documents.join(apart, same, "left_anti")
+    copied = stored(apart.where("chosen").drop("chosen"), "copied-texts")
+    whole = documents.select(F.struct("*").alias("row")).withColumn("hash", F.xxhash64(F.col("row")[text]))
+    whole = possibly_among(whole, "hash", copied.select("__hash"))
+    same = F.col("row")[key].eqNullSafe(F.col("__key")) & (F.col("hash") == F.col("__hash"))
+    single = whole.join(copied, same).groupBy("__key", "__hash").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return kept.unionByName(single.select(*(F.col("row")[n].alias(n) for n in documents.columns)))

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 import lakegauge.llm.partenum as partenum
-from lakegauge.llm.partenum import parity_sketches, similar_texts
+from lakegauge.llm.partenum import one_of_each, parity_sketches, similar_texts
 from lakegauge.llm.shingles import Sets, shingle_sets, signatures
 from lakegauge.llm.textscan import mixed, scan, word_hashes
 from llm.conftest import invented
@@ -87,6 +87,25 @@ def test_odd_documents(odd_documents, no_documents):
     assert nothing.columns == ["doc_id", "n_shingles", "component_id"] and nothing.count() == 0
 
 
+def test_rows_repeating_or_lacking_a_key(spark):
+    def words(seed):
+        return " ".join(invented(60, seed))
+
+    near = words(1) + " end"
+    # 5 has a text near that of 1, and another of its own; 6 two equal rows; the rows without a key copies and others.
+    rows = [(1, words(1), "a"), (5, near, "b"), (5, words(2), "c"), (6, words(3), "d"), (6, words(3), "d2")]
+    rows += [(None, words(4), "e"), (None, words(4), "e2"), (None, words(4) + " end", "f"), (None, words(5), "g")]
+    rows += [(None, words(1), "h"), (None, None, "i"), (None, None, "i2"), (9, "", "j")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
+    found = [tuple(r) for r in one_of_each(frame).collect()]
+    assert one_of_each(frame).schema == frame.schema
+    rest = sorted(tag for _, _, tag in found)
+    assert [tag for tag in rest if tag not in ("e", "f")] == ["a", "c", "d", "g", "i", "i2", "j"]
+    assert len(rest) == 8 and set(found) <= set(rows)
+    keyed = [(key, text) for key, text, _ in rows]
+    assert sorted(map(tuple, similar_texts(frame).collect()), key=repr) == plain(keyed, 4, 85)
+
+
 def family_sets():
     source = random.Random(3)
     found = []
