@@ -13,12 +13,15 @@ from lakegauge.llm.columns import read_table, words_of
 from lakegauge.llm.itq import near_vectors
 from lakegauge.llm.langid import fit, identify
 from lakegauge.llm.lines import line_classes
+from lakegauge.llm.multiprobe import nearest_neighbours
 from lakegauge.llm.ngram_lm import score_texts
+from lakegauge.llm.orchard import vector_codes
 from lakegauge.llm.packing import pack
 from lakegauge.llm.partenum import similar_texts
 from lakegauge.llm.pii import private_spans, span_digest
 from lakegauge.llm.quality import STOP_WORDS, quality
 from lakegauge.llm.tokens import token_counts
+from lakegauge.llm.whitening import whitened_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,3 +120,53 @@ def op3_line_classes(spark, sf_dir):
 @_registered
 def op8_similar_texts(spark, sf_dir):
     return similar_texts(read_table(spark, sf_dir, "documents"))
+
+
+@_registered
+def op11_orchard_codes(spark, sf_dir):
+    return vector_codes(read_table(spark, sf_dir, "embeddings"))
+
+
+def _nearest(book: str) -> str:
+    """Each part's nearest entry of a codebook, the lower index of several."""
+    return f"""(
+    SELECT r, p, min_by(e, [d, e]) AS e, min(d) AS d
+    FROM (SELECT r, p, e, sum((x - y) * (x - y)) AS d FROM components JOIN {book} USING (p, i) GROUP BY ALL) GROUP BY ALL)"""
+
+
+def _moved(book: str, near: str) -> str:
+    """A codebook with its entries at the means of their parts."""
+    return f"""(
+    SELECT p, i, e, coalesce(m, y) AS y
+    FROM {book} LEFT JOIN (
+        SELECT p, i, e, CAST(floor(sum(x) / count(*)) AS bigint) AS m
+        FROM components JOIN {near} USING (r, p) GROUP BY p, i, e) USING (p, i, e))"""
+
+
+ORACLES["op11_orchard_codes"] = f"""
+WITH kept AS (
+    SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, embedding FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+long AS (SELECT r, generate_subscripts(embedding, 1) - 1 AS place, unnest(embedding) AS x, len(embedding) // 16 AS width FROM kept),
+components AS (
+    SELECT r, place // width AS p, place % width AS i, CAST(floor(256 * CAST(x AS double)) AS bigint) AS x FROM long),
+book0 AS (SELECT p, i, r - 1 AS e, x AS y FROM components WHERE r <= 64),
+near0 AS {_nearest("book0")}, book1 AS {_moved("book0", "near0")},
+near1 AS {_nearest("book1")}, book2 AS {_moved("book1", "near1")},
+coded AS (
+    SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS bigint) AS error
+    FROM {_nearest("book2")} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error,
+       (SELECT sha256(string_agg(CAST(y AS varchar), ',' ORDER BY p, e, i)) FROM book2) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+"""
+
+
+@_registered
+def op12_exact_whitening(spark, sf_dir):
+    return whitened_components(read_table(spark, sf_dir, "embeddings"))
+
+
+@_registered
+def op13_multiprobe_neighbours(spark, sf_dir):
+    return nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
