@@ -2,12 +2,13 @@
 
 Equal sets are one class. Signatures (see :mod:`lakegauge.llm.shingles`) are sorted and packed per block of
 documents, and those of a range of hashes meet in one group, which returns the classes that share a
-signature; equal lists of classes are returned once. Within such a list two classes are compared by
-parity sketches first: every element in one set and not in the other flips one bit, so sketches that
-differ in more bits than linked sets can have elements apart rule the pair out. The rest is verified
-on the sets themselves, in two rounds: a spanning forest of every list first, and then every pair left
-that does not lie in one component by now. So a crowd of near copies costs rows by its size, not by its
-pairs, and no pair goes unverified.
+signature; equal lists of classes are returned once. Two classes are compared by parity sketches first:
+every element in one set and not in the other flips one bit, so sketches that differ in more bits than
+linked sets can have elements apart rule the pair out. The rest is verified on the sets themselves, in
+rounds: every class of a list with its centres first, a few members chosen by hash; then, of lists that
+do not lie in one component by now, a spanning forest of the possible links; and then every pair left
+between components. So a crowd of near copies costs rows by its size, not by its pairs, lists that
+are settled ship no sketch again, and no pair goes unverified.
 
 Edge cases: a null or empty text, or one of white space alone, has an empty set and is linked with
 nothing; a null key is linked with nothing and has a null component; rows repeating a key join the
@@ -27,19 +28,23 @@ from pyspark.sql.types import StructType
 from lakegauge.llm.columns import possibly_among, stored
 from lakegauge.llm.components import components
 from lakegauge.llm.packed import pack_integers, pack_sorted, unpack_integers, unpack_sorted
-from lakegauge.llm.shingles import Sets, shingle_sets, signatures
+from lakegauge.llm.shingles import Sets, shingle_sets, signatures, signatures_per_element
 from lakegauge.llm.textscan import mixed, scan, text_slices
 
 WIDTH, SHARE = 4, 85
 
 #: Text of which a task packs signatures together, and signatures meant to meet in one group.
 BLOCK_BYTES = 16 << 20
-GROUP_SIGNATURES = 1_500_000
+GROUP_SIGNATURES = 750_000
 
-#: Classes of a list compared at once; longer lists are cut into blocks.
+#: Members of a list that all others are compared with first.
+CENTRES = 2
+#: Classes of a list compared at once, and bytes of their sketches; longer lists are cut into blocks.
 BLOCK_CLASSES = 1024
-#: Rows of lists that are compared in one group.
-GROUP_MEMBERS = 100_000
+BLOCK_SKETCHES = 4 << 20
+#: Bytes of lists with their sketches that are meant to be compared in one group.
+GROUP_BYTES = 8 << 20
+_ROW_BYTES = 64
 _FEW = 24
 
 
@@ -140,7 +145,8 @@ def _signature_rows(documents: DataFrame, text: str, width: int, share: int, gro
 
 
 def _meet(rows: pa.Table) -> pa.Table:
-    """Lists of two or more classes sharing a signature: ``list`` (hash of its classes) and ``class``."""
+    """Lists of two or more classes sharing a signature: ``list`` (hash of its classes), ``class``, and the list's
+    ``centres``: the classes that are least by a hash, one hash for each."""
     values = np.concatenate([unpack_sorted(s.as_py()) for s in rows["signatures"]])
     owners = np.concatenate(
         [
@@ -160,8 +166,22 @@ def _meet(rows: pa.Table) -> pa.Table:
     _, once = np.unique(hashes[shared], return_index=True)
     shared = shared[once]
     places = np.repeat(firsts[shared], sizes[shared]) + _within(sizes[shared])
-    lists = np.repeat(hashes[shared], sizes[shared])
-    return pa.table({"list": lists.view(np.int64), "class": owners[places].view(np.int64)})
+    starts = np.cumsum(sizes[shared]) - sizes[shared]
+    members, centres = owners[places], np.empty((len(shared), CENTRES), np.uint64)
+    for c in range(CENTRES if len(shared) else 0):
+        # Mixing is one to one, and is undone by looking for the member that gives the least value.
+        hashed = mixed(members ^ np.uint64(c))
+        least = np.repeat(np.minimum.reduceat(hashed, starts), sizes[shared])
+        centres[:, c] = members[np.flatnonzero(hashed == least)]
+    return pa.table(
+        {
+            "list": np.repeat(hashes[shared], sizes[shared]).view(np.int64),
+            "class": members.view(np.int64),
+            "centres": pa.FixedSizeListArray.from_arrays(
+                pa.array(np.repeat(centres, sizes[shared], axis=0).view(np.int64).ravel()), CENTRES
+            ).cast(pa.list_(pa.int64())),
+        }
+    )
 
 
 def _within(sizes: np.ndarray) -> np.ndarray:
@@ -200,60 +220,93 @@ def _forest(near: np.ndarray) -> Iterator[tuple[int, int]]:
             waiting += found.tolist()
 
 
+def _near(sizes: np.ndarray, sketches: list[bytes], share: int) -> np.ndarray:
+    """:func:`_adjacency`, without arrays where the sets are few."""
+    if len(sizes) > _FEW:
+        return _adjacency(sizes, sketches, share)
+    near = np.zeros((len(sizes), len(sizes)), bool)
+    numbers = [int.from_bytes(s, "little") for s in sketches]
+    for i in range(len(sizes)):
+        for j in range(i):
+            bits = len(sketches[i]) * 8, len(sketches[j]) * 8
+            least = min(bits)
+            apart = (_folded(numbers[i], bits[0], least) ^ _folded(numbers[j], bits[1], least)).bit_count()
+            near[i, j] = near[j, i] = _may_link(int(sizes[i]), int(sizes[j]), apart, share)
+    return near
+
+
 def _compare(unit: pa.Table, share: int, whole: bool) -> pa.Table:
-    """Pairs of classes of a list that sketches do not rule out: of a spanning forest, or all (``whole``) but
-    those already in one component."""
-    unit = unit.sort_by([("list", "ascending"), ("class", "ascending")])
+    """Pairs of classes of a list in different components that sketches do not rule out: of a spanning forest, or
+    all (``whole``)."""
     lists, classes, groups = (unit[n].to_numpy() for n in ("list", "class", "component"))
     sizes, blocks = unit["n_shingles"].to_numpy(), unit["block"].to_numpy()
-    sketches = unit["sketch"].to_pylist()
+    sketches = unit["sketch"].combine_chunks()
     high = unit["high"][0].as_py()
     crossing = unit["low"][0].as_py() != high
-    firsts = np.flatnonzero(np.concatenate([[True], lists[1:] != lists[:-1]])).tolist()
-    pairs: list[tuple[int, int]] = []
+    order = np.lexsort((classes, lists))
+    firsts = np.flatnonzero(np.diff(lists[order], prepend=lists[order[0]] - 1)).tolist()
+    found: list[np.ndarray] = [np.empty((0, 2), np.int64)]
     for a, b in zip(firsts, [*firsts[1:], len(lists)], strict=True):
-        if (groups[a:b] == groups[a]).all():
+        own = order[a:b]
+        if (groups[own] == groups[own[0]]).all():
             continue
-        if b - a <= _FEW:
-            near = np.zeros((b - a, b - a), bool)
-            numbers = [int.from_bytes(s, "little") for s in sketches[a:b]]
-            for i in range(b - a):
-                for j in range(i):
-                    bits = len(sketches[a + i]) * 8, len(sketches[a + j]) * 8
-                    least = min(bits)
-                    apart = (_folded(numbers[i], bits[0], least) ^ _folded(numbers[j], bits[1], least)).bit_count()
-                    near[i, j] = near[j, i] = _may_link(int(sizes[a + i]), int(sizes[a + j]), apart, share)
-        else:
-            near = _adjacency(sizes[a:b], sketches[a:b], share)
-        near &= groups[a:b, None] != groups[None, a:b]
+        near = _near(sizes[own], sketches.take(pa.array(own)).to_pylist(), share)
+        near &= groups[own, None] != groups[None, own]
         if crossing:
-            near &= (blocks[a:b, None] == high) != (blocks[None, a:b] == high)
-        edges = np.argwhere(np.triu(near)).tolist() if whole else _forest(near)
-        pairs += [(a + i, a + j) for i, j in edges]
-    ends = np.array(pairs, np.int64).reshape(-1, 2)
-    first, second = classes[ends[:, 0]], classes[ends[:, 1]]
-    different = np.unique(np.stack([np.minimum(first, second), np.maximum(first, second)], axis=1), axis=0)
+            near &= (blocks[own, None] == high) != (blocks[None, own] == high)
+        edges = np.argwhere(np.triu(near)) if whole else np.array(list(_forest(near)), np.int64).reshape(-1, 2)
+        found.append(np.sort(classes[own[edges]], axis=1))
+    different = np.unique(np.concatenate(found), axis=0)
     return pa.table({"a": different[:, 0], "b": different[:, 1]})
 
 
-def _pairs(members: DataFrame, known: DataFrame, joined: DataFrame | None, share: int) -> DataFrame:
-    """Pairs to verify among the lists' members; ``joined`` holds the components found so far."""
-    rows = members.join(known.select("class", "n_shingles", "sketch"), "class")
-    if joined is not None:
-        rows = rows.join(joined.withColumnRenamed("node", "class"), "class", "left")
-    component = F.coalesce("component", "class") if joined is not None else F.col("class")
-    rows = rows.withColumn("component", component)
-    sizes = members.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / float(BLOCK_CLASSES)).cast("int").alias("blocks"))
-    rows = rows.join(sizes, "list").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+def _central(members: DataFrame, known: DataFrame, share: int) -> DataFrame:
+    """Pairs of each member of a list with its centres that sketches do not rule out."""
+    pairs = members.select("class", F.explode("centres").alias("centre")).where("class <> centre")
+    pairs = stored(pairs.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct(), "central-pairs")
+    ends = known.select("class", "n_shingles", "sketch")
+    first, second = ends.toDF("a", "x_size", "x"), ends.toDF("b", "y_size", "y")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            apart = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                least = 8 * min(len(x), len(y))
+                x, y = (_folded(int.from_bytes(s, "little"), 8 * len(s), least) for s in (x, y))
+                apart.append((x ^ y).bit_count())
+            sizes = (batch.column(n).to_numpy() for n in ("x_size", "y_size"))
+            may = pa.array(_may_link(*sizes, np.array(apart, np.int64), share), pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(n).filter(may) for n in "ab"], names=["a", "b"])
+
+    both = pairs.join(first, "a").join(second, "b").select("a", "b", "x_size", "y_size", "x", "y")
+    return stored(both.mapInArrow(compare, "a long, b long"), "set-pairs")
+
+
+def _open(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """``list``, ``class`` and ``component`` of the lists that do not lie in one component."""
+    rows = members.select("list", "class").join(joined.withColumnRenamed("node", "class"), "class", "left")
+    rows = stored(rows.select("list", "class", F.coalesce("component", "class").alias("component")), "list-components")
+    several = rows.groupBy("list").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    return stored(rows.join(stored(several.select("list"), "open-lists"), "list", "left_semi"), "open-members")
+
+
+def _pairs(open_members: DataFrame, known: DataFrame, share: int, whole: bool) -> DataFrame:
+    """Pairs to verify among the members of open lists."""
+    rows = stored(open_members.join(known.select("class", "n_shingles", "sketch"), "class"), "open-sketches")
+    size = F.octet_length("sketch") + _ROW_BYTES
+    cut = F.greatest(F.count(F.lit(1)) / float(BLOCK_CLASSES), F.sum(size) / float(BLOCK_SKETCHES))
+    blocks = rows.groupBy("list").agg(F.ceil(cut).cast("int").alias("blocks"), F.sum(size).alias("bytes"))
+    blocks = stored(blocks, "list-blocks")
+    total = blocks.agg(F.sum(F.col("blocks") * F.col("bytes"))).first()[0] or 0
+    chunks = max(8, total // GROUP_BYTES)
+    rows = rows.join(blocks, "list").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    chunks = max(8, members.count() // GROUP_MEMBERS)
     rows = rows.select(
         "list", "class", "component", "n_shingles", "sketch", "block",
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
         F.pmod("list", F.lit(chunks)).alias("chunk"),
     )
-    whole = joined is not None
     found = rows.groupBy("chunk", "low", "high").applyInArrow(
         lambda unit: _compare(unit, share, whole), "a long, b long"
     )
@@ -318,10 +371,12 @@ def similar_texts(
     sets = stored(_sets_of(documents, key, text, width), "shingle-sets")
     usable = sets.where((F.col("n_shingles") > 0) & F.col("key").isNotNull())
     shingles = sets.agg(F.sum("n_shingles")).first()[0] or 0
-    groups = max(2, shingles // (2 * GROUP_SIGNATURES))
+    groups = max(2, int(shingles * signatures_per_element(share) / GROUP_SIGNATURES))
     keyed = documents.where(F.col(key).isNotNull())
     signed = _signature_rows(keyed, text, width, share, groups)
-    members = signed.groupBy("bucket").applyInArrow(_meet, "list long, class long").distinct()
+    members = signed.groupBy("bucket").applyInArrow(_meet, "list long, class long, centres array<long>")
+    # A list found in several groups has the same centres in each.
+    members = members.groupBy("list", "class").agg(F.any_value("centres").alias("centres"))
     members = stored(members, "set-lists")
 
     met = members.select("class").distinct()
@@ -332,11 +387,18 @@ def similar_texts(
     )
     known = stored(known, "known-sets")
     where = (documents, key, text, width, share)
-    links = _verified(_pairs(members, known, None, share), known, *where)
-    left = _pairs(members, known, components(links, "a", "b"), share)
-    links = links.unionByName(_verified(left, known, *where)).unionByName(_sharing_a_key(usable))
-
+    links = _verified(_central(members, known, share), known, *where)
     joined = components(links, "a", "b")
+    for whole in (False, True):
+        waiting = _open(members, joined)
+        if waiting.isEmpty():
+            break
+        links = links.unionByName(_verified(_pairs(waiting, known, share, whole), known, *where))
+        joined = components(links, "a", "b")
+    several = stored(_sharing_a_key(usable), "keys-with-sets")
+    if not several.isEmpty():
+        joined = components(links.unionByName(several), "a", "b")
+
     classes = usable.groupBy("class").agg(F.min("key").alias("first"))
     rooted = joined.select(F.col("node").alias("class"), "component")
     rooted = rooted.unionByName(joined.select(F.col("component").alias("class"), "component").distinct())

@@ -14,6 +14,7 @@ in ``SPARE + 1`` partitions, and if all of these agree in nothing but emptiness,
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -77,6 +78,12 @@ def band_edges(largest: int) -> np.ndarray:
     return np.array(edges)
 
 
+def signatures_per_element(share: int) -> float:
+    """About how many signatures a large set has for each of its elements."""
+    bands = 1 + math.log(100 / share) / math.log(_RATIO)
+    return PARTS * (100 - share) / (100 + share) * (1 + _RATIO) / 2 * bands
+
+
 def signatures(sets: Sets, share: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of arrays: numbers of sets, and signatures these have.
 
