@@ -4,11 +4,11 @@ Equal sets are one class. Signatures (see :mod:`lakegauge.llm.shingles`) are sor
 documents, and those of a range of hashes meet in one group, which returns the classes that share a
 signature; equal lists of classes are returned once. Two classes are compared by parity sketches first:
 every element in one set and not in the other flips one bit, so sketches that differ in more bits than
-linked sets can have elements apart rule the pair out. The rest is verified on the sets themselves, in
-rounds: every class of a list with its centres first, a few members chosen by hash; then, of lists that
-do not lie in one component by now, a spanning forest of the possible links; and then every pair left
-between components. So a crowd of near copies costs rows by its size, not by its pairs, lists that
-are settled ship no sketch again, and no pair goes unverified.
+linked sets can have elements apart rule the pair out. The rest is verified on the sets themselves: all pairs of
+a short list at once, and those of a long one in rounds: every class with the list's centres first, a few
+members chosen by hash; then, if the list does not lie in one component by now, every pair left between
+components, or a spanning forest of the possible links and another round where these pairs are many. So a crowd of near copies costs rows by its
+size, not by its pairs, a list that is settled ships no sketch again, and no pair goes unverified.
 
 Edge cases: a null or empty text, or one of white space alone, has an empty set and is linked with
 nothing; a null key is linked with nothing and has a null component; rows repeating a key join the
@@ -37,8 +37,11 @@ WIDTH, SHARE = 4, 85
 BLOCK_BYTES = 16 << 20
 GROUP_SIGNATURES = 750_000
 
-#: Members of a list that all others are compared with first.
+#: Longer lists are compared in rounds, all members with this many of them first.
+SHORT = 48
 CENTRES = 2
+#: Pairs left per member up to which all of them are compared, without a forest first.
+_PAIRS_LEFT = 64
 #: Classes of a list compared at once, and bytes of their sketches; longer lists are cut into blocks.
 BLOCK_CLASSES = 1024
 BLOCK_SKETCHES = 4 << 20
@@ -145,8 +148,8 @@ def _signature_rows(documents: DataFrame, text: str, width: int, share: int, gro
 
 
 def _meet(rows: pa.Table) -> pa.Table:
-    """Lists of two or more classes sharing a signature: ``list`` (hash of its classes), ``class``, and the list's
-    ``centres``: the classes that are least by a hash, one hash for each."""
+    """Lists of two or more classes sharing a signature: ``list`` (hash of its classes), ``class``, the number ``n`` of
+    them, and the ``centres`` of a long list: the classes that are least by a hash, one hash for each."""
     values = np.concatenate([unpack_sorted(s.as_py()) for s in rows["signatures"]])
     owners = np.concatenate(
         [
@@ -166,20 +169,19 @@ def _meet(rows: pa.Table) -> pa.Table:
     _, once = np.unique(hashes[shared], return_index=True)
     shared = shared[once]
     places = np.repeat(firsts[shared], sizes[shared]) + _within(sizes[shared])
-    starts = np.cumsum(sizes[shared]) - sizes[shared]
-    members, centres = owners[places], np.empty((len(shared), CENTRES), np.uint64)
-    for c in range(CENTRES if len(shared) else 0):
-        # Mixing is one to one, and is undone by looking for the member that gives the least value.
-        hashed = mixed(members ^ np.uint64(c))
-        least = np.repeat(np.minimum.reduceat(hashed, starts), sizes[shared])
-        centres[:, c] = members[np.flatnonzero(hashed == least)]
+    members, counts = owners[places], sizes[shared]
+    starts = np.cumsum(counts) - counts
+    centres: list[list[int] | None] = [None] * len(shared)
+    for at in np.flatnonzero(counts > SHORT).tolist():
+        own = members[starts[at] : starts[at] + counts[at]]
+        centres[at] = [int(own[mixed(own ^ np.uint64(c)).argmin()].view(np.int64)) for c in range(CENTRES)]
+    number = pa.array(np.repeat(np.arange(len(shared)), counts))
     return pa.table(
         {
-            "list": np.repeat(hashes[shared], sizes[shared]).view(np.int64),
+            "list": np.repeat(hashes[shared], counts).view(np.int64),
             "class": members.view(np.int64),
-            "centres": pa.FixedSizeListArray.from_arrays(
-                pa.array(np.repeat(centres, sizes[shared], axis=0).view(np.int64).ravel()), CENTRES
-            ).cast(pa.list_(pa.int64())),
+            "n": np.repeat(counts, counts).astype(np.int64),
+            "centres": pa.array(centres, pa.list_(pa.int64())).take(number),
         }
     )
 
@@ -235,11 +237,11 @@ def _near(sizes: np.ndarray, sketches: list[bytes], share: int) -> np.ndarray:
     return near
 
 
-def _compare(unit: pa.Table, share: int, whole: bool) -> pa.Table:
-    """Pairs of classes of a list in different components that sketches do not rule out: of a spanning forest, or
-    all (``whole``)."""
+def _compare(unit: pa.Table, share: int) -> pa.Table:
+    """Pairs of classes of a list in different components that sketches do not rule out: all where they are ``few``,
+    or those of a spanning forest."""
     lists, classes, groups = (unit[n].to_numpy() for n in ("list", "class", "component"))
-    sizes, blocks = unit["n_shingles"].to_numpy(), unit["block"].to_numpy()
+    sizes, blocks, few = (unit[n].to_numpy() for n in ("n_shingles", "block", "few"))
     sketches = unit["sketch"].combine_chunks()
     high = unit["high"][0].as_py()
     crossing = unit["low"][0].as_py() != high
@@ -254,12 +256,25 @@ def _compare(unit: pa.Table, share: int, whole: bool) -> pa.Table:
         near &= groups[own, None] != groups[None, own]
         if crossing:
             near &= (blocks[own, None] == high) != (blocks[None, own] == high)
-        edges = np.argwhere(np.triu(near)) if whole else np.array(list(_forest(near)), np.int64).reshape(-1, 2)
+        edges = np.argwhere(np.triu(near)) if few[own[0]] else np.array(list(_forest(near)), np.int64).reshape(-1, 2)
         found.append(np.sort(classes[own[edges]], axis=1))
     different = np.unique(np.concatenate(found), axis=0)
     return pa.table({"a": different[:, 0], "b": different[:, 1]})
 
 
+def _short_pairs(members: DataFrame, known: DataFrame, share: int) -> DataFrame:
+    """Pairs of members of short lists that sketches do not rule out. Lists go to groups whole."""
+    size = known.agg(F.avg(F.octet_length("sketch") + _ROW_BYTES)).first()[0] or 0
+    chunks = max(8, int(members.count() * size) // GROUP_BYTES)
+    rows = members.select("list", "class").join(known.select("class", "n_shingles", "sketch"), "class")
+    rows = rows.select(
+        "list", "class", F.col("class").alias("component"), F.lit(True).alias("few"), "n_shingles", "sketch",
+        F.lit(0).alias("block"), F.lit(0).alias("low"), F.lit(0).alias("high"),
+        F.pmod("list", F.lit(chunks)).alias("chunk"),
+    )
+    return rows.groupBy("chunk").applyInArrow(lambda unit: _compare(unit, share), "a long, b long").distinct()
+
+
 def _central(members: DataFrame, known: DataFrame, share: int) -> DataFrame:
     """Pairs of each member of a list with its centres that sketches do not rule out."""
     pairs = members.select("class", F.explode("centres").alias("centre")).where("class <> centre")
@@ -279,19 +294,23 @@ def _central(members: DataFrame, known: DataFrame, share: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(n).filter(may) for n in "ab"], names=["a", "b"])
 
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "x_size", "y_size", "x", "y")
-    return stored(both.mapInArrow(compare, "a long, b long"), "set-pairs")
+    return both.mapInArrow(compare, "a long, b long")
 
 
 def _open(members: DataFrame, joined: DataFrame) -> DataFrame:
-    """``list``, ``class`` and ``component`` of the lists that do not lie in one component."""
+    """``list``, ``class`` and ``component`` of the lists that do not lie in one component, and whether the pairs left
+    are ``few``."""
     rows = members.select("list", "class").join(joined.withColumnRenamed("node", "class"), "class", "left")
     rows = stored(rows.select("list", "class", F.coalesce("component", "class").alias("component")), "list-components")
-    several = rows.groupBy("list").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    return stored(rows.join(stored(several.select("list"), "open-lists"), "list", "left_semi"), "open-members")
+    parts = rows.groupBy("list", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    n, squares = F.sum("n"), F.sum(F.col("n") * F.col("n"))
+    few = ((n * n - squares) / 2 <= _PAIRS_LEFT * n).alias("few")
+    lists = parts.groupBy("list").agg(few, F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return stored(rows.join(stored(lists.select("list", "few"), "open-lists"), "list"), "open-members")
 
 
-def _pairs(open_members: DataFrame, known: DataFrame, share: int, whole: bool) -> DataFrame:
-    """Pairs to verify among the members of open lists."""
+def _pairs(open_members: DataFrame, known: DataFrame, share: int) -> DataFrame:
+    """Pairs to verify among the members of open lists: all where they are few, or those of a forest."""
     rows = stored(open_members.join(known.select("class", "n_shingles", "sketch"), "class"), "open-sketches")
     size = F.octet_length("sketch") + _ROW_BYTES
     cut = F.greatest(F.count(F.lit(1)) / float(BLOCK_CLASSES), F.sum(size) / float(BLOCK_SKETCHES))
@@ -302,14 +321,12 @@ def _pairs(open_members: DataFrame, known: DataFrame, share: int, whole: bool) -
     rows = rows.join(blocks, "list").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
-        "list", "class", "component", "n_shingles", "sketch", "block",
+        "list", "class", "component", "few", "n_shingles", "sketch", "block",
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
         F.pmod("list", F.lit(chunks)).alias("chunk"),
     )
-    found = rows.groupBy("chunk", "low", "high").applyInArrow(
-        lambda unit: _compare(unit, share, whole), "a long, b long"
-    )
+    found = rows.groupBy("chunk", "low", "high").applyInArrow(lambda unit: _compare(unit, share), "a long, b long")
     return stored(found.distinct(), "set-pairs")
 
 
@@ -374,10 +391,11 @@ def similar_texts(
     groups = max(2, int(shingles * signatures_per_element(share) / GROUP_SIGNATURES))
     keyed = documents.where(F.col(key).isNotNull())
     signed = _signature_rows(keyed, text, width, share, groups)
-    members = signed.groupBy("bucket").applyInArrow(_meet, "list long, class long, centres array<long>")
+    members = signed.groupBy("bucket").applyInArrow(_meet, "list long, class long, n long, centres array<long>")
     # A list found in several groups has the same centres in each.
-    members = members.groupBy("list", "class").agg(F.any_value("centres").alias("centres"))
+    members = members.groupBy("list", "class").agg(F.any_value("n").alias("n"), F.any_value("centres").alias("centres"))
     members = stored(members, "set-lists")
+    long = members.where(F.col("n") > SHORT)
 
     met = members.select("class").distinct()
     known = usable.join(met, "class", "left_semi").groupBy("class").agg(
@@ -387,14 +405,15 @@ def similar_texts(
     )
     known = stored(known, "known-sets")
     where = (documents, key, text, width, share)
-    links = _verified(_central(members, known, share), known, *where)
+    pairs = _short_pairs(members.where(F.col("n") <= SHORT), known, share).union(_central(long, known, share))
+    links = _verified(stored(pairs.distinct(), "set-pairs"), known, *where)
     joined = components(links, "a", "b")
-    for whole in (False, True):
-        waiting = _open(members, joined)
-        if waiting.isEmpty():
-            break
-        links = links.unionByName(_verified(_pairs(waiting, known, share, whole), known, *where))
+    waiting = _open(long, joined)
+    while not waiting.isEmpty():
+        links = links.unionByName(_verified(_pairs(waiting, known, share), known, *where))
         joined = components(links, "a", "b")
+        # Where a forest was verified, whatever pairs are left come next.
+        waiting = _open(waiting.where("NOT few"), joined).withColumn("few", F.lit(True))
     several = stored(_sharing_a_key(usable), "keys-with-sets")
     if not several.isEmpty():
         joined = components(links.unionByName(several), "a", "b")
