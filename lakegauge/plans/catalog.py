@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lakegauge.layout import Lake
 from lakegauge.schemas import SCHEMAS
+from lakegauge.sinks.published import live_sql
 from lakegauge.sources.tables import data_files
 
 # Published zones, by name. A zone is left unpublished by not being listed.
@@ -67,7 +68,7 @@ def planned_views(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.createDataFrame(plan, "zone STRING, name STRING, path STRING, present BOOLEAN")
 
 
-def _view_sql(database: str, zone: str, name: str, path: str) -> str:
+def _view_sql(spark: SparkSession, database: str, zone: str, name: str, path: str) -> str:
     files = f"parquet.{_quoted(path)}"
     target = f"{_quoted(database)}.{_quoted(name)}"
     if zone != "bronze":
@@ -75,7 +76,7 @@ def _view_sql(database: str, zone: str, name: str, path: str) -> str:
     # The partition column leads and is an ordinary BIGINT; regular and playoff rows share the view.
     return (
         f"CREATE VIEW {target} AS SELECT CAST(season AS BIGINT) AS season, * EXCEPT (season, playoffs) "
-        f"FROM {files} WHERE season IS NOT NULL"
+        f"FROM {live_sql(spark, path, files)} WHERE season IS NOT NULL"
     )
 
 
@@ -101,7 +102,7 @@ def rebuild(spark: SparkSession, lake: Lake, prefix: str = "") -> Rebuild:
         spark.sql(f"CREATE DATABASE {_quoted(database)} WITH DBPROPERTIES ('{_MARK}' = '{mark}')")
     for row in plan:
         if row.present:
-            spark.sql(_view_sql(databases[row.zone], row.zone, row.name, row.path))
+            spark.sql(_view_sql(spark, databases[row.zone], row.zone, row.name, row.path))
     return Rebuild(
         databases=tuple(databases.values()),
         created=tuple(f"{databases[r.zone]}.{r.name}" for r in plan if r.present),

@@ -1,24 +1,35 @@
 """Archives: ``<name>.tar.xz`` files each holding exactly one CSV.
 
 An xz stream has no split points, so an archive is one task's work and parallelism comes from the
-number of archives. Inside the task the archive is decompressed and parsed as a stream of Arrow
-batches: neither the CSV nor the parsed table is ever held whole, and nothing is spilled to disk.
+number of archives. Inside the task the archive is opened once, as a stream: header, rows and checksum
+come from the same bytes as they pass. It is decompressed and parsed as a stream of Arrow batches: neither
+the archive, the CSV nor the parsed table is ever held whole, and nothing is spilled to disk.
+
+Python tasks open local files and the stores pyarrow knows. Archives in a store that only Spark reads come as
+cells of binary rows instead, which limits them to 2 GB.
 """
 
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
+import json
 import lzma
+import re
 import sys
 import tarfile
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from typing import IO
+from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.csv as pacsv
+import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,18 +61,77 @@ def archive_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return files.select(name, "path", "length", "content")
 
 
+def _located(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system a path lies on, and the path there."""
+    if urlsplit(path).scheme in ("", "file"):
+        return pafs.LocalFileSystem(), re.sub("^file:/*", "/", path)
+    return pafs.FileSystem.from_uri(path)
+
+
+def streams(folder: str) -> bool:
+    """Whether tasks can open files under the folder themselves."""
+    try:
+        _located(folder)
+    except (OSError, ValueError):
+        return False
+    return True
+
+
+def open_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """Archives under a folder, to be opened by the tasks that read them where these can: without ``content``."""
+    files = archive_files(spark, folder)
+    return files.drop("content") if streams(folder) else files
+
+
+class _Bytes(io.RawIOBase):
+    """The bytes of an archive from its first to its last, hashed as they pass."""
+
+    def __init__(self, inner: IO[bytes]) -> None:
+        self._inner = inner
+        self.restart()
+
+    def restart(self) -> None:
+        self._inner.seek(0)
+        self._hash = hashlib.sha256()
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer: memoryview) -> int:
+        data = self._inner.read(len(buffer))
+        self._hash.update(data)
+        buffer[: len(data)] = data
+        return len(data)
+
+    def sha256(self) -> str:
+        """Of the whole archive, whose rest is read for it."""
+        while self.read(1 << 20):
+            pass
+        return self._hash.hexdigest()
+
+
+def _opened(held: str | bytes) -> _Bytes:
+    """An archive by its path, or the bytes of one."""
+    if isinstance(held, str):
+        files, path = _located(held)
+        return _Bytes(files.open_input_file(path))
+    return _Bytes(io.BytesIO(held))
+
+
 def archive_name() -> Column:
     """``name`` of the archive a ``path`` leads to."""
     return F.regexp_extract("path", r"([^/]+)\.tar\.xz$", 1).alias("name")
 
 
 @contextmanager
-def _single_csv(name: str, content: bytes, whole: bool = True) -> Iterator[IO[bytes]]:
+def _single_csv(name: str, archive: _Bytes, whole: bool = True) -> Iterator[IO[bytes]]:
     """The archive's only CSV as a byte stream. On leaving, unless ``whole`` is off, check that it
     was the only one and that the compressed stream is complete."""
     found = []
+    archive.restart()
+    buffered = io.BufferedReader(archive, 1 << 20)
     try:
-        with lzma.open(io.BytesIO(content)) as stream:
+        with lzma.open(buffered) as stream:
             with tarfile.open(fileobj=stream, mode="r|") as tar:
                 for member in tar:
                     if member.isfile() and member.name.endswith(".csv"):
@@ -76,13 +146,15 @@ def _single_csv(name: str, content: bytes, whole: bool = True) -> Iterator[IO[by
         raise ValueError(f"{name}: not a readable {SUFFIX} archive: {broken}") from broken
     except pa.ArrowInvalid as ragged:
         raise ValueError(f"{name}: {ragged}") from ragged
+    finally:
+        buffered.detach()
     if len(found) != 1:
         raise ValueError(f"{name}: an archive holds one CSV, this one {len(found)}: {found}")
 
 
-def _header(name: str, content: bytes) -> list[str]:
+def _header(name: str, archive: _Bytes) -> list[str]:
     csv.field_size_limit(_LARGEST_BATCH)
-    with _single_csv(name, content, whole=False) as member:
+    with _single_csv(name, archive, whole=False) as member:
         header = next(csv.reader(line.decode() for line in member), None)
     if not header:
         raise ValueError(f"{name}: the CSV has no header")
@@ -107,27 +179,39 @@ class _Counted(io.RawIOBase):
     def read(self, size: int = -1) -> bytes:
         data = self._inner.read(size)
         if data:
-            parts = data.split(b'"')
-            before = b"" if self._quoted else self._tail
-            for part in parts[self._quoted :: 2]:
-                self.lines += part.count(b"\n")
-                around = before + part
-                self.has_empty |= b"\n\n" in around or b"\n\r\n" in around or b"\r\r" in around
-                before = b""
-            self._quoted = (self._quoted + len(parts) - 1) % 2
+            self._count(data)
             self._tail = (self._tail + data[-2:])[-2:]
         return data
 
+    def _count(self, data: bytes) -> None:
+        values = np.frombuffer(self._tail + data, np.uint8)
+        given = len(self._tail)
+        quotes = np.flatnonzero(values[given:] == ord('"')) + given
+        # The quotes before a line end tell whether it lies within a field.
+        ends = np.flatnonzero(values[given:] == ord("\n")) + given
+        ends = ends[(np.searchsorted(quotes, ends) + self._quoted) % 2 == 0]
+        self.lines += len(ends)
+        if not self.has_empty:
+            before, second = values[ends - 1], values[np.maximum(ends - 2, 0)]
+            empty = (before == ord("\n")) | ((before == ord("\r")) & (second == ord("\n")) & (ends > 1))
+            self.has_empty = bool(empty.any()) or self._has_empty_by_returns(values, given, quotes)
+        self._quoted = (self._quoted + len(quotes)) % 2
+
+    def _has_empty_by_returns(self, values: np.ndarray, given: int, quotes: np.ndarray) -> bool:
+        returns = np.flatnonzero(values[1:] == ord("\r")) + 1
+        returns = returns[(returns >= given) & (values[returns - 1] == ord("\r"))]
+        return bool(((np.searchsorted(quotes, returns) + self._quoted) % 2 == 0).any())
+
     @property
     def records(self) -> int:
         """Records after the header, if every quote in the CSV opens or closes a field."""
         return max(0, self.lines + (self._tail[-1:] != b"\n") - 1)
 
 
-def _records(name: str, content: bytes) -> tuple[int, int]:
+def _records(name: str, archive: _Bytes) -> tuple[int, int]:
     """Records after the header and empty lines, read one by one: slow, for files that look odd."""
     csv.field_size_limit(_LARGEST_BATCH)
-    with _single_csv(name, content) as member:
+    with _single_csv(name, archive) as member:
         text = io.TextIOWrapper(io.BufferedReader(_Counted(member)), "utf-8", newline="")
         lines = empty = 0
         for record in csv.reader(text):
@@ -156,7 +240,7 @@ def _parsed(name: str, stream: IO[bytes], columns: Sequence[str], batch_bytes: i
         yield batch.select(list(columns))
 
 
-def _text_batches(name: str, content: bytes, columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
+def _text_batches(name: str, archive: _Bytes, columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
     """The CSV as all-string batches in ``columns`` order. An unquoted empty field is null, a quoted
     one an empty string; a row with too few or too many fields raises.
 
@@ -166,7 +250,7 @@ def _text_batches(name: str, content: bytes, columns: Sequence[str]) -> Iterator
     given, batch_bytes = 0, _BATCH_BYTES
     while True:
         grow, seen = False, 0
-        with _single_csv(name, content) as member:
+        with _single_csv(name, archive) as member:
             counted = _Counted(member)
             try:
                 for batch in _parsed(name, counted, columns, batch_bytes):
@@ -183,32 +267,62 @@ def _text_batches(name: str, content: bytes, columns: Sequence[str]) -> Iterator
         batch_bytes = min(8 * batch_bytes, _LARGEST_BATCH)
     wide = len(columns) > 1
     if counted.records != given or (wide and counted.has_empty):
-        records, empty = _records(name, content)
+        records, empty = _records(name, archive)
         if wide and empty:
             raise ValueError(f"{name}: an empty line among rows of {len(columns)} columns")
         if records != given:
             raise ValueError(f"{name}: {records} records in the CSV, {given} of them parsed")
 
 
+def _held(archives: DataFrame) -> str:
+    """The column that leads to an archive's bytes."""
+    return "content" if "content" in archives.columns else "path"
+
+
 def archive_headers(archives: DataFrame) -> DataFrame:
-    """One row per archive: ``name``, ``sha256`` of its bytes and the CSV's ``columns``.
+    """One row per archive: ``name``, ``sha256`` of its bytes and the CSV's ``columns``."""
+    hashed = archives.select("name", F.sha2("content", 256).alias("sha256"), "content")
+    return hashed.mapInArrow(_read_headers("content"), "name STRING, sha256 STRING, columns ARRAY<STRING>")
 
-    Only the first block of each archive is decompressed.
-    """
 
+def archive_columns(archives: DataFrame) -> DataFrame:
+    """``name`` and the CSV's ``columns`` of each archive, of which only the first block is read."""
+    held = _held(archives)
+    return archives.select("name", held).mapInArrow(_read_headers(held), "name STRING, columns ARRAY<STRING>")
+
+
+def _read_headers(held: str):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [
-                _header(name.as_py(), content.as_py())
-                for name, content in zip(batch.column("name"), batch.column("content"))
+                _header(name.as_py(), _opened(archive.as_py()))
+                for name, archive in zip(batch.column("name"), batch.column(held))
             ]
+            kept = [n for n in batch.schema.names if n != held]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("name"), batch.column("sha256"), pa.array(columns, pa.list_(pa.string()))],
-                names=["name", "sha256", "columns"],
+                [*(batch.column(n) for n in kept), pa.array(columns, pa.list_(pa.string()))],
+                names=[*kept, "columns"],
             )
 
-    hashed = archives.select("name", F.sha2("content", 256).alias("sha256"), "content")
-    return hashed.mapInArrow(read, "name STRING, sha256 STRING, columns ARRAY<STRING>")
+    return read
+
+
+RECEIPT = "name STRING, sha256 STRING, rows BIGINT"
+
+
+def _leave_receipt(folder: str, name: str, sha256: str, rows: int) -> None:
+    """One small file about an archive read to its end. A task run again leaves another that says the same."""
+    files, root = _located(folder)
+    files.create_dir(root, recursive=True)
+    number = uuid.uuid4().hex
+    with files.open_output_stream(f"{root}/.{number}") as out:
+        out.write(json.dumps({"name": name, "sha256": sha256, "rows": rows}).encode() + b"\n")
+    files.move(f"{root}/.{number}", f"{root}/{number}.json")
+
+
+def read_receipts(spark: SparkSession, folder: str) -> DataFrame:
+    """``name``, ``sha256`` and ``rows`` of the archives whose tasks left receipts."""
+    return spark.read.schema(RECEIPT).json(folder).distinct()
 
 
 _ARROW_TYPES = {LongType(): pa.int64(), DoubleType(): pa.float64()}
@@ -234,29 +348,35 @@ def _typed(values: pa.Array, to: DataType, label: str) -> pa.Array:
     raise ValueError(f"{label} does not fit {to.simpleString()}: {misfits[0].as_py()}")
 
 
-def archive_rows(archives: DataFrame, schema: StructType, carry: Sequence[str] = ("name",)) -> DataFrame:
+def archive_rows(
+    archives: DataFrame, schema: StructType, carry: Sequence[str] = ("name",), receipts: str | None = None
+) -> DataFrame:
     """All rows of the archives in the schema's columns, led by the ``carry`` columns of their archive.
 
     Each archive must hold exactly the schema's columns, in any order, and each value must fit its
     type. The columns are cast while they lie parsed in the task, whole batches at a time. Drift and
-    misfits raise there, so a write fed by this commits nothing.
+    misfits raise there, so a write fed by this commits nothing. With ``receipts``, a folder, each archive's
+    checksum and number of rows are left there once it has been read, see :func:`read_receipts`.
     """
-    carry = list(carry)
-    source = archives.select("name", "content", *(c for c in carry if c != "name"))
+    carry, held = list(carry), _held(archives)
+    source = archives.select("name", held, *(c for c in carry if c != "name"))
     output = StructType([*(source.schema[c] for c in carry), *schema.fields])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in batches:
-            names, contents = held.column("name"), held.column("content")
-            for i in range(held.num_rows):
-                name = names[i].as_py()
-                for batch in _text_batches(name, contents[i].as_py(), schema.names):
-                    labels = [pa.repeat(held.column(c)[i], batch.num_rows) for c in carry]
+        for rows in batches:
+            names, archives = rows.column("name"), rows.column(held)
+            for i in range(rows.num_rows):
+                name, archive, count = names[i].as_py(), _opened(archives[i].as_py()), 0
+                for batch in _text_batches(name, archive, schema.names):
+                    labels = [pa.repeat(rows.column(c)[i], batch.num_rows) for c in carry]
                     typed = [
                         _typed(values, field.dataType, f"{name}: {field.name}")
                         for values, field in zip(batch.columns, schema.fields)
                     ]
+                    count += batch.num_rows
                     yield pa.RecordBatch.from_arrays([*labels, *typed], names=output.names)
+                if receipts is not None:
+                    _leave_receipt(receipts, name, archive.sha256(), count)
 
     return source.mapInArrow(read, output)
 

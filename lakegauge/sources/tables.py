@@ -12,6 +12,7 @@ from pyspark.sql.types import BooleanType, LongType, StructType
 from lakegauge.functions.columns import column
 from lakegauge.layout import Lake
 from lakegauge.schemas import schema_for
+from lakegauge.sinks.published import RECORD, RECORDS, is_live
 
 
 def is_missing_path(error: AnalysisException) -> bool:
@@ -35,14 +36,26 @@ def folder_exists(spark: SparkSession, folder: str) -> bool:
 
 
 def landed_partitions(spark: SparkSession, folder: str) -> DataFrame:
-    """(``source``, ``season``, ``playoffs``) partitions holding data under ``<folder>/<source>/``."""
-    pattern = r"/([^/]+)/season=([^/]+)/playoffs=(true|false)/[^/]+$"
-    path = F.col("path")
-    return data_files(spark, folder).select(
-        F.regexp_extract(path, pattern, 1).alias("source"),
-        F.regexp_extract(path, pattern, 2).try_cast("bigint").alias("season"),
-        (F.regexp_extract(path, pattern, 3) == "true").alias("playoffs"),
-    ).where(F.col("source") != "").distinct()
+    """(``source``, ``season``, ``playoffs``) partitions holding data under ``<folder>/<source>/``: published, or never
+    subject to publishing."""
+    pattern = r"/([^/]+)/(season=([^/]+)/playoffs=(true|false))/(?:([0-9a-f]{32})-)?[^/]+$"
+    names = ("source", "partition", "season", "playoffs", "version")
+    found = data_files(spark, folder).select(
+        *(F.regexp_extract("path", pattern, i + 1).alias(n) for i, n in enumerate(names))
+    )
+    found = found.where("source <> ''").distinct()
+    if folder_exists(spark, f"{folder}/{RECORDS}"):
+        records = spark.read.schema(RECORD).json(f"{folder}/{RECORDS}/*")
+        origin = F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+$", 1)
+        live = records.select(origin.alias("source"), "load", "partition", F.col("version").alias("live"))
+        latest = live.groupBy("source").agg(F.max("load").alias("load"))
+        live = live.join(latest, ["source", "load"]).drop("load")
+        found = found.join(live, ["source", "partition"], "left")
+    else:
+        found = found.withColumn("live", F.lit(None).cast("string"))
+    return found.where("coalesce(live, '') = version").select(
+        "source", F.col("season").try_cast("bigint").alias("season"), (F.col("playoffs") == "true").alias("playoffs")
+    )
 
 
 def read_bronze(
@@ -69,4 +82,4 @@ def read_bronze(
             raise
         wanted = ", ".join(f"{source}_{season}" for season in seasons)
         raise FileNotFoundError(f"not all of {wanted} are under {root}; run load_bronze on them first") from error
-    return table.select("season", *map(column, columns))
+    return table.where(is_live(spark, root)).select("season", *map(column, columns))

@@ -7,32 +7,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakegauge.layout import Lake
-from lakegauge.operators.drift import require_no_drift
-from lakegauge.plans.loads import _inspect, dataset_rows, write_datasets
+from lakegauge.plans.loads import _DATASET, _checksums, _receipts_folder, _write_datasets_aside, dataset_rows
 from lakegauge.schemas import SCHEMAS
 from lakegauge.sinks.partitions import append_rows
-from lakegauge.sources.archives import SUFFIX, archive_files, archive_name
+from lakegauge.sinks.published import publish
+from lakegauge.sources.archives import SUFFIX, archive_name, streams
 from lakegauge.sources.manifest import with_name_parts
 
 
 def _load_batch(files: DataFrame, lake: Lake) -> None:
     """Typed load of one micro-batch. Replaying it replaces the same partitions with the same rows."""
-    # One pass over the batch gives names, headers and checksums.
-    headers = _inspect(files.sparkSession, files.select(archive_name(), "content"))
-    parts = with_name_parts(headers)
-    # Paths only, of one batch's files: each source then opens its own archives and no others.
-    listed = with_name_parts(files.select(archive_name(), "path")).select("source", "path").collect()
-    sources = sorted({r.source for r in listed})
+    spark = files.sparkSession
+    archives = files.select(archive_name(), "path") if streams(lake.raw) else files.select(archive_name(), "content")
+    # Written down, so that each source opens its own archives and no others.
+    listed = with_name_parts(archives)
+    sources = sorted(r.source for r in listed.select("source").distinct().collect())
     unknown = [s for s in sources if s not in SCHEMAS]
     if unknown:
         raise KeyError(f"no declared schema for: {', '.join(unknown)}")
+    receipts = _receipts_folder(spark, archives)
+    loaded = []
     for source in sources:
-        require_no_drift(parts.where(F.col("source") == source).select("name", "columns"), SCHEMAS[source].names)
-    for source in sources:
-        archives = archive_files(files.sparkSession, [r.path for r in listed if r.source == source])
-        datasets = parts.where(F.col("source") == source).drop("sha256", "columns")
-        write_datasets(dataset_rows(archives, SCHEMAS[source]), lake.bronze(source), datasets)
-    append_rows(headers.select("name", "sha256", F.current_timestamp().alias("recorded_at")), lake.checksums)
+        own = listed.where(F.col("source") == source)
+        datasets = own.select("name", *_DATASET)
+        loaded.append(
+            _write_datasets_aside(dataset_rows(own.select(*archives.columns), SCHEMAS[source], receipts), lake.bronze(source), datasets)
+        )
+    checksums = _checksums(spark, archives, receipts)
+    for part in loaded:
+        publish(spark, part.written)
+    append_rows(checksums.select("name", "sha256", F.current_timestamp().alias("recorded_at")), lake.checksums)
 
 
 def load_new_archives(
