@@ -129,6 +129,11 @@ SELECT event_id, CAST(sum(CAST(round(value * 100) AS bigint)) OVER (PARTITION BY
 """
 ORACLES["running_total_by_user"] = _RUNNING.format("user_id")
 ORACLES["running_total_large_groups"] = _RUNNING.format("event_type")
+ORACLES["running_total_of_doubles"] = """
+SELECT event_id, sum(floor(value * 4096) / 4096.0) OVER (PARTITION BY event_type ORDER BY ts, event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running FROM events
+"""
+ORACLES["split_csv_documents"] = "SELECT doc_id, text, lang, source FROM documents"
 ORACLES["group_sum_cents"] = """
 SELECT event_type, CAST(sum(CAST(round(value * 100) AS bigint)) AS bigint) AS cents FROM events GROUP BY event_type
 """

@@ -51,6 +51,7 @@ from lakegauge.scratch import scratch_dir
 from lakegauge.sinks.partitions import replace_partitions
 from lakegauge.sources.archives import all_strings, archive_headers
 from lakegauge.sources.manifest import manifest_entries, manifest_faults, with_name_parts
+from lakegauge.sources.ranges import split_csv
 from lakegauge.validate import answer_key
 from lakegauge.validate.answer_key import compare_to_key
 
@@ -275,6 +276,32 @@ def running_total_large_groups(spark, sf_dir):
     return found.select("event_id", "running")
 
 
+@_registered
+def running_total_of_doubles(spark, sf_dir):
+    """Running totals of a floating-point column over a few groups that are cut: sums that DuckDB has exactly too."""
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "ts", (F.floor(F.col("value") * 4096) / 4096.0).cast("double").alias("value")
+    )
+    found = running_total(
+        events,
+        "value",
+        group_by=["event_type"],
+        order_by=["ts", "event_id"],
+        name="running",
+        block_rows=_CHECKED_BLOCK_ROWS,
+    )
+    return found.select("event_id", "running")
+
+
+@_registered
+def split_csv_documents(spark, sf_dir):
+    """Whole documents, with their line breaks and quotes, through CSV files that tasks read by byte ranges."""
+    path = scratch_dir(spark, "documents-csv")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    documents.write.option("header", True).option("escape", '"').csv(path)
+    return split_csv(spark, path).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 @_registered
 def group_sum_cents(spark, sf_dir):
     return group_sum(_cents(table(spark, sf_dir, "events")), ["event_type"], "cents", "cents")

@@ -6,7 +6,8 @@ its order, the window runs per block, and one small row per block carries the la
 across the cut. A row starts a block if its group and order values hash to it, one row in
 ``block_rows`` on average. Small groups are rarely cut, large ones into blocks of about that size, and
 a retried task finds the same cuts. Results do not depend on the cuts. Building the operators starts
-no job; where no row is drawn, the joins with cuts and carries are dropped at run time.
+no job, but for totals of floating-point values; where no row is drawn, the joins with cuts and carries are dropped
+at run time.
 
 The order has to tell the rows of a group apart: equal positions raise when the result is read.
 """
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from lakegauge.functions.columns import column, types_of
+from lakegauge.functions.exact import ExactSum
 from lakegauge.operators.skew import join_bounded
 
 # Rows of a block, on average.
@@ -160,24 +162,37 @@ def running_total(
     """Add ``name``: the sum of ``value`` over the group's rows up to and including this one.
 
     A row whose value is null has a null total; the rows after it carry on from the sum before it.
-    Floating-point values are refused: their sums would depend on where a group is cut.
+    A total of floating-point values is a DOUBLE, the one nearest to the exact sum, wherever a group is cut; how
+    their bits are split is read from the column when the operator is built.
     """
     kind = types_of(frame, [value])[0]
-    if isinstance(kind, (DoubleType, FloatType)):
-        raise TypeError(f"{value}: no running total of {kind.simpleString()}; cast it to a DECIMAL or a whole number")
+    exact = ExactSum.of(frame, value) if isinstance(kind, (DoubleType, FloatType)) else None
+    if exact:
+        frame = frame.withColumn("__split", exact.split(value))
+        named = {f"__{n}": F.col(f"__split.{n}") for n in exact.names}
+    else:
+        named = {"__whole": column(value)}
     blocks = _blocks(frame, group_by, order_by, block_rows)
     blocked = blocks.number(frame)
     in_order = Window.partitionBy(*map(column, [*group_by, _BLOCK])).orderBy(*map(column, order_by))
     upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     has_value = column(value).isNotNull()
-    within = _told_apart(order_by, in_order, F.sum(column(value)).over(upto))
-    rows = blocked.withColumn("__within", within)
+    within = {n: F.sum(part).over(upto) for n, part in named.items()}
+    first = next(iter(within))
+    rows = blocked.withColumns(within | {first: _told_apart(order_by, in_order, within[first])})
     before = (
         Window.partitionBy(*map(column, group_by))
         .orderBy(_BLOCK)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    rows = blocks.carry(frame, rows, F.sum(column(value)), F.sum("__summary").over(before))
-    zero = F.lit(0).cast(rows.schema["__carry"].dataType)
-    total = F.col("__within") + F.coalesce(F.col("__carry"), zero)
-    return rows.withColumn(name, F.when(has_value, total)).drop("__within", "__carry", _BLOCK)
+    summary = F.struct(*(F.sum(part).alias(n) for n, part in named.items()))
+    across = F.struct(*(F.sum(f"__summary.{n}").over(before).alias(n) for n in named))
+    rows = blocks.carry(frame, rows, summary, across)
+    carried = {f.name: f.dataType for f in rows.schema["__carry"].dataType.fields}
+    totals = {n: F.col(n) + F.coalesce(F.col(f"__carry.{n}"), F.lit(0).cast(carried[n])) for n in named}
+    if exact:
+        rows = rows.withColumn("__sums", F.struct(*(totals[f"__{n}"].alias(n) for n in exact.names)))
+        total = exact.rounded("__sums")
+    else:
+        total = totals[first]
+    return rows.withColumn(name, F.when(has_value, total)).drop(*named, "__carry", "__split", "__sums", _BLOCK)

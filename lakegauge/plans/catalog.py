@@ -12,12 +12,12 @@ from functools import reduce
 from urllib.parse import urlsplit
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from lakegauge.layout import Lake
 from lakegauge.schemas import SCHEMAS
-from lakegauge.sinks.published import live_sql
+from lakegauge.sinks.published import RESTRICTED, Files, live_sql
 from lakegauge.sources.tables import data_files
 
 # Published zones, by name. A zone is left unpublished by not being listed.
@@ -80,14 +80,49 @@ def _view_sql(spark: SparkSession, database: str, zone: str, name: str, path: st
     )
 
 
+def restricted_views(spark: SparkSession, plan: Sequence[Row], restricted: Sequence[str] = ()) -> list[str]:
+    """Faults of the planned views that would read anything restricted: what lies in, on the way to or below a folder of
+    ``restricted``, or in a folder carrying the mark of one. Addresses are compared as the file system resolves them."""
+    faults, marked = [], {}
+    bases = [Files(spark, base).resolved(base) for base in restricted if Files(spark, base).exists(base)]
+    for row in plan:
+        if not row.present:
+            continue
+        files = Files(spark, row.path)
+        view = files.resolved(row.path)
+        faults += [f"{row.zone}.{row.name}: {row.path} meets {b}" for b in bases if _within(view, b) or _within(b, view)]
+        # The folders from the root down to the view's files, each looked at once.
+        inputs = data_files(spark, row.path).select(F.regexp_extract("path", "^(.*)/[^/]+$", 1).alias("folder")).distinct()
+        inputs = {view} | {r.folder for r in inputs.collect()}
+        folders = {folder for path in inputs for folder in _upwards(urlsplit(path).path)}
+        for folder in sorted(folders):
+            if folder not in marked:
+                marked[folder] = files.exists(f"{folder}/{RESTRICTED}")
+            if marked[folder]:
+                faults.append(f"{row.zone}.{row.name}: {folder} is restricted")
+    return faults
+
+
+def _within(path: str, folder: str) -> bool:
+    return f"{path.rstrip('/')}/".startswith(f"{folder.rstrip('/')}/")
+
+
+def _upwards(path: str) -> list[str]:
+    parts = path.rstrip("/").split("/")
+    return ["/".join(parts[:n]) for n in range(2, len(parts) + 1)]
+
+
 def _own_database(spark: SparkSession, database: str, lake: Lake) -> bool:
     facts = spark.sql(f"DESCRIBE DATABASE EXTENDED {_quoted(database)}").collect()
     return any(f"({_MARK},{lake.base})" in str(row[1]) for row in facts)
 
 
-def rebuild(spark: SparkSession, lake: Lake, prefix: str = "") -> Rebuild:
+def rebuild(spark: SparkSession, lake: Lake, prefix: str = "", restricted: Sequence[str] = ()) -> Rebuild:
     """Drop the zone databases and create them again from what is on disk.
 
+    Raises, before anything is dropped, if a view would read from a restricted folder: one of ``restricted``, or one
+    marked as such, wherever it lies.
+
     Whatever else was put into them goes; a database of the same name made by someone else, or for
     another lake, is left alone and raises. ``prefix`` sets the databases of several lakes apart.
     """
@@ -96,6 +131,9 @@ def rebuild(spark: SparkSession, lake: Lake, prefix: str = "") -> Rebuild:
         if spark.catalog.databaseExists(database) and not _own_database(spark, database, lake):
             raise RuntimeError(f"database {database!r} was not made by a rebuild of {lake.base}; choose another prefix")
     plan = planned_views(spark, lake).orderBy("zone", "name").collect()
+    faults = restricted_views(spark, plan, restricted)
+    if faults:
+        raise PermissionError(f"views must not read restricted data: {'; '.join(faults[:5])}")
     mark = lake.base.replace("\\", "\\\\").replace("'", "\\'")
     for database in databases.values():
         spark.sql(f"DROP DATABASE IF EXISTS {_quoted(database)} CASCADE")

@@ -24,6 +24,9 @@ from lakegauge.sinks.partitions import replace_partitions
 
 RECORDS = "_live"
 
+#: Name of the file that marks a folder as restricted.
+RESTRICTED = "_RESTRICTED"
+
 RECORD = "load BIGINT, partition STRING, version STRING"
 
 _PARTITION = f"({'/'.join(f'{c}=[^/]+' for c in PARTITION_COLUMNS)})/"
@@ -41,7 +44,7 @@ def record_folder(path: str) -> str:
     return f"{folder}/{RECORDS}/{name}"
 
 
-class _Files:
+class Files:
     """A folder's file system, through Spark's own client: it knows every store that Spark knows."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
@@ -58,6 +61,13 @@ class _Files:
         self._files.mkdirs(self._path(target).getParent())
         return self._files.rename(self._path(source), self._path(target))
 
+    def resolved(self, path: str) -> str:
+        """The full address of a path, links followed where the store has any."""
+        return self._files.resolvePath(self._path(path)).toString()
+
+    def exists(self, path: str) -> bool:
+        return self._files.exists(self._path(path))
+
     def remove(self, path: str) -> None:
         self._files.delete(self._path(path), True)
 
@@ -67,10 +77,17 @@ class _Files:
         out.close()
 
 
+def restrict(spark: SparkSession, base: str) -> None:
+    """Mark everything under a folder as never to be published."""
+    files = Files(spark, base)
+    if not files.exists(f"{base}/{RESTRICTED}"):
+        files.write(f"{base}/{RESTRICTED}", "")
+
+
 def _latest(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
     """Number of the latest record and the live load of each partition: a row per partition, not per file."""
     folder = record_folder(path)
-    numbers = [int(n.removesuffix(".json")) for n in _Files(spark, folder).names(folder) if n.endswith(".json")]
+    numbers = [int(n.removesuffix(".json")) for n in Files(spark, folder).names(folder) if n.endswith(".json")]
     if not numbers:
         return 0, {}
     rows = spark.read.schema(RECORD).json(f"{folder}/{max(numbers):012d}.json").collect()
@@ -91,7 +108,7 @@ def is_live(spark: SparkSession, path: str) -> Column:
 
 def live_sql(spark: SparkSession, path: str, files: str) -> str:
     """The published rows of ``files``, SQL naming the table, as SQL that follows later loads."""
-    if not _Files(spark, path).names(record_folder(path)):
+    if not Files(spark, path).names(record_folder(path)):
         return f"(SELECT * FROM {files})"
     records = f"json.`{record_folder(path)}`"
     return (
@@ -122,12 +139,12 @@ def write_aside(frame: DataFrame, path: str) -> Written:
 
 def discard(spark: SparkSession, written: Written) -> None:
     """Take away partitions lying aside."""
-    _Files(spark, written.aside).remove(written.aside)
+    Files(spark, written.aside).remove(written.aside)
 
 
 def publish(spark: SparkSession, written: Written) -> None:
     """Put the partitions in place of those the table holds, all in one step."""
-    files = _Files(spark, written.path)
+    files = Files(spark, written.path)
     number, live = _latest(spark, written.path)
     replaced = []
     for first in files.names(written.aside):

@@ -1,7 +1,8 @@
 """The answer key: possessions published elsewhere, kept apart from everything they grade.
 
 It has a base path of its own, holding archives, checksums and table; no other module names it and
-the catalog does not publish it.
+the catalog does not publish it. The base is marked as restricted before anything is loaded, and a catalog
+that would publish a path in it refuses, wherever it lies.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from lakegauge.operators.compare import compare_by_key
 from lakegauge.operators.joins import mark_matches
 from lakegauge.plans.loads import load_typed
 from lakegauge.schemas import declare
+from lakegauge.sinks.published import restrict
 
 # The source's name and its columns in file order.
 SOURCE = "pbpstats"
@@ -46,6 +48,7 @@ def load_answer_key(
     strangers = sources.where(name_source(F.col("name")) != SOURCE).collect()
     if strangers:
         raise ValueError(f"{strangers[0].name!r} is not an answer-key dataset; only {SOURCE!r} belongs here")
+    restrict(spark, base)
     return load_typed(
         spark,
         raw=raw_folder(base),

@@ -19,8 +19,8 @@ from lakegauge.validate.answer_key import (
 )
 
 ROWS = [
-    {"GAMEID": "22300061", "EVENTS": '"Jump Ball\nMaxey 3PT Shot: Made"', "STARTTIME": '"12:00"', "STARTSCOREDIFFERENTIAL": "0"},
-    {"GAMEID": "22300061", "EVENTS": '"Butler Missed\nOubre REBOUND"', "STARTTIME": '"11:41"', "STARTSCOREDIFFERENTIAL": "-3", "URL": ""},
+    {"GAMEID": "99800417", "EVENTS": '"Opening tip\nlayup by number 8"', "STARTTIME": '"9:37"', "STARTSCOREDIFFERENTIAL": "6"},
+    {"GAMEID": "99800417", "EVENTS": '"Turnover\nsteal by number 31"', "STARTTIME": '"8:02"', "STARTSCOREDIFFERENTIAL": "-5", "URL": ""},
 ]
 
 
@@ -35,10 +35,10 @@ def test_possessions_land_typed_and_whole(spark, base):
     outcome = load_answer_key(spark, base).first()
     assert (outcome.name, outcome.rows) == (DEFAULT_DATASET, 2)
     rows = sorted(read_answer_key(spark, base).collect(), key=lambda r: -r.STARTSCOREDIFFERENTIAL)
-    assert [r.STARTTIME for r in rows] == ["12:00", "11:41"]
-    assert [r.STARTSCOREDIFFERENTIAL for r in rows] == [0, -3]
+    assert [r.STARTTIME for r in rows] == ["9:37", "8:02"]
+    assert [r.STARTSCOREDIFFERENTIAL for r in rows] == [6, -5]
     assert [r.URL for r in rows] == ["x", None]
-    assert [r.GAMEID for r in rows] == ["22300061"] * 2 and all("\n" in r.EVENTS for r in rows)
+    assert [r.GAMEID for r in rows] == ["99800417"] * 2 and all("\n" in r.EVENTS for r in rows)
     assert load_answer_key(spark, base).first().rows == 2
 
 
@@ -87,3 +87,22 @@ def test_comparison_leaves_out_games_absent_from_the_key(spark):
     key = spark.createDataFrame([("a", 1, "x"), ("a", 2, "n"), ("a", 3, None), ("a", 4, "x")], schema)
     found = {(r.game, r.n): r.status for r in compare_to_key(mine, key, game="game", on=["game", "n"]).collect()}
     assert found == {("a", 1): "match", ("a", 2): "mismatch", ("a", 3): "match", ("a", 4): "right_only"}
+
+
+def test_a_key_placed_in_a_published_zone_is_refused(spark, tmp_path):
+    """By the mark the load leaves, whatever the folder is called, and by address."""
+    lake = Lake(str(tmp_path / "lake"))
+    for place in ("silver/key", "gold/deep/down"):
+        hidden = f"{lake.base}/{place}"
+        drop_archive(raw_folder(hidden), DEFAULT_DATASET, csv_text(SCHEMA, ROWS))
+        load_answer_key(spark, hidden)
+        with pytest.raises(PermissionError, match="is restricted"):
+            rebuild(spark, lake, prefix="refused_")
+        assert not spark.catalog.databaseExists("refused_silver")
+        Path(f"{lake.base}/{place.split('/')[0]}").rename(tmp_path / place.split("/")[0])
+    spark.range(3).write.parquet(f"{lake.zone('silver')}/plain")
+    for base in (f"{lake.zone('silver')}/plain", lake.zone("silver")):
+        with pytest.raises(PermissionError, match="silver.plain: .* meets"):
+            rebuild(spark, lake, prefix="refused_", restricted=[base])
+    (tmp_path / "elsewhere").mkdir()
+    assert "refused_silver.plain" in rebuild(spark, lake, prefix="refused_", restricted=[str(tmp_path / "elsewhere")]).created

@@ -183,7 +183,7 @@ def test_a_load_that_stops_between_partitions_changes_nothing(spark, lake, monke
     load_bronze(spark, lake)
     catalog.rebuild(spark, lake, prefix="stops_")
     view = "SELECT season, count(*) AS n FROM stops_bronze.datanba GROUP BY season"
-    move, moved = published._Files.move, []
+    move, moved = published.Files.move, []
 
     def stops(self, source, target):
         if "/datanba/season=" in target and "/_live/" not in target:
@@ -194,7 +194,7 @@ def test_a_load_that_stops_between_partitions_changes_nothing(spark, lake, monke
 
     drop(5)
     with monkeypatch.context() as patched, pytest.raises(KeyboardInterrupt):
-        patched.setattr(published._Files, "move", stops)
+        patched.setattr(published.Files, "move", stops)
         load_bronze(spark, lake, force=True)
     assert len(moved) == 2 and len(files_under(lake.bronze("datanba"))) > 2
     assert seasons(spark, lake) == {2022: 2, 2023: 2}
@@ -211,7 +211,7 @@ def test_a_partition_never_published_is_not_landed(spark, lake, monkeypatch):
 
     drop_archive(lake.raw, "datanba_2023", csv_text(schema_for("datanba"), [{}]))
     with monkeypatch.context() as patched, pytest.raises(KeyboardInterrupt):
-        patched.setattr(published._Files, "write", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        patched.setattr(published.Files, "write", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
         load_bronze(spark, lake)
     assert landed_partitions(spark, lake.zone("bronze")).isEmpty()
     load_bronze(spark, lake)

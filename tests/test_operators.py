@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import math
+import random
+from fractions import Fraction
+
 import random
 
 import pytest
@@ -54,10 +58,48 @@ def test_cutting_large_groups_changes_nothing(spark, monkeypatch, block_rows):
         assert identical(whole, cut)
 
 
-def test_running_totals_refuse_floating_point(spark):
-    frame = spark.createDataFrame([("a", 1, 0.5)], "g STRING, o BIGINT, v DOUBLE")
-    with pytest.raises(TypeError, match="no running total of double"):
-        running_total(frame, "v", group_by=["g"], order_by=["o"], name="t")
+def exact_totals(values):
+    """By fractions, rounded once."""
+    found, total, unusual = [], Fraction(0), 0.0
+    for v in values:
+        if v is None:
+            found.append(None)
+            continue
+        total, unusual = (total + Fraction(v), unusual) if math.isfinite(v) else (total, unusual + v)
+        found.append(unusual if unusual or unusual != unusual else float(total))
+    return found
+
+
+DOUBLES = {
+    "amounts": [round(random.Random(k).uniform(-1e6, 1e6), 2) for k in range(300)],
+    "wide": [random.Random(k).uniform(-1, 1) * 2.0 ** random.Random(-k).randint(-90, 90) for k in range(300)],
+    "cancelling": [1e16, 1.0, -1e16, 1e-9, 0.1, -0.1, 3.0, -1e-9, -4.0, 0.0, -0.0] * 20,
+    "ties": [2.0**53, 1.0, 1.0, -1.0, 2.0**-40, 0.5, 0.5, -(2.0**-40), 1.0, -(2.0**54)] * 20,
+    "far apart": [1e300, 1e-300, -1e300, 5e-324, 1e-300, -5e-324] * 30,
+    "unusual": [1.0, None, float("inf"), 2.0, None, float("-inf"), 3.0, float("nan"), 4.0],
+    "none": [None, None],
+    "zero": [0.0, -0.0, None],
+}
+
+
+@pytest.mark.parametrize("name", DOUBLES)
+@pytest.mark.parametrize("block_rows", [3, 5_000_000])
+def test_running_totals_of_doubles_are_exact(spark, name, block_rows):
+    values = DOUBLES[name]
+    frame = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)], "g string, o int, v double")
+    found = running_total(frame, "v", group_by=["g"], order_by=["o"], name="t", block_rows=block_rows)
+    assert found.dtypes == [("g", "string"), ("o", "int"), ("v", "double"), ("t", "double")]
+    totals = [r.t for r in found.orderBy("o").collect()]
+    assert list(map(repr, totals)) == list(map(repr, exact_totals(values)))
+
+
+def test_running_totals_of_floats_are_doubles(spark):
+    frame = spark.createDataFrame([("a", 1, 0.1), ("a", 2, 0.2), ("b", 1, None)], "g string, o int, v float")
+    found = running_total(frame, "v", group_by=["g"], order_by=["o"], name="t").orderBy("g", "o").collect()
+    import numpy as np
+
+    tenth, fifth = float(np.float32(0.1)), float(np.float32(0.2))
+    assert [r.t for r in found] == [tenth, float(Fraction(tenth) + Fraction(fifth)), None]
 
 
 def test_marking_matches(spark):
