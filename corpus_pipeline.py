@@ -1,4 +1,12 @@
-"""The corpus pipeline: documents through five stages, each over all that its predecessor kept."""
+"""The corpus pipeline: documents through five stages, each over all that its predecessor kept.
+
+Edge cases: a null or empty text, or one of white space alone, has no words and does not pass the quality rules; where a
+stage is run by itself, such a document stays as it is in all the others, and takes one place of a bin. Rows with a
+null or repeated ``doc_id`` are told apart by their texts; of fully repeated rows one stays after the near
+duplicates. Ties go to the smaller key, then the smaller hash. Very long texts are worked on whole, and cut into pieces
+by packing alone. An empty table gives empty results, and other columns, whatever they are called, are kept as they
+are by all stages but the last.
+"""
 
 from __future__ import annotations
 
