@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -298,28 +298,48 @@ def _central(members: DataFrame, known: DataFrame, share: int) -> DataFrame:
 
 
 def _open(members: DataFrame, joined: DataFrame) -> DataFrame:
-    """``list``, ``class`` and ``component`` of the lists that do not lie in one component, and whether the pairs left
-    are ``few``."""
+    """``list``, ``class`` and ``component`` of the lists that do not lie in one component, whether the pairs left are
+    ``few``, and whether a class is in the list's ``largest`` component."""
     rows = members.select("list", "class").join(joined.withColumnRenamed("node", "class"), "class", "left")
     rows = stored(rows.select("list", "class", F.coalesce("component", "class").alias("component")), "list-components")
     parts = rows.groupBy("list", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
     n, squares = F.sum("n"), F.sum(F.col("n") * F.col("n"))
     few = ((n * n - squares) / 2 <= _PAIRS_LEFT * n).alias("few")
-    lists = parts.groupBy("list").agg(few, F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    return stored(rows.join(stored(lists.select("list", "few"), "open-lists"), "list"), "open-members")
+    main = F.max_by("component", F.struct("n", "component")).alias("main")
+    lists = parts.groupBy("list").agg(few, main, F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    rows = rows.join(stored(lists.select("list", "few", "main"), "open-lists"), "list")
+    rows = rows.select("list", "class", "component", "few", (F.col("component") == F.col("main")).alias("largest"))
+    return stored(rows, "open-members")
 
 
 def _pairs(open_members: DataFrame, known: DataFrame, share: int) -> DataFrame:
-    """Pairs to verify among the members of open lists: all where they are few, or those of a forest."""
+    """Pairs to verify among the members of open lists: all where they are few, or those of a forest.
+
+    A list's largest component, which may be a crowd, is cut into blocks by itself (numbered below zero), and these are
+    compared with the blocks of the rest only, never with one another.
+    """
     rows = stored(open_members.join(known.select("class", "n_shingles", "sketch"), "class"), "open-sketches")
     size = F.octet_length("sketch") + _ROW_BYTES
-    cut = F.greatest(F.count(F.lit(1)) / float(BLOCK_CLASSES), F.sum(size) / float(BLOCK_SKETCHES))
-    blocks = rows.groupBy("list").agg(F.ceil(cut).cast("int").alias("blocks"), F.sum(size).alias("bytes"))
+
+    def blocks_of(part: Column) -> Column:
+        number, held = F.count_if(part) / float(BLOCK_CLASSES), F.sum(F.when(part, size)) / float(BLOCK_SKETCHES)
+        return F.ceil(F.greatest(number, held)).cast("int")
+
+    largest, rest = F.col("largest"), ~F.col("largest")
+    blocks = rows.groupBy("list").agg(
+        blocks_of(largest).alias("crowd"), blocks_of(rest).alias("others"), F.sum(size).alias("bytes")
+    )
     blocks = stored(blocks, "list-blocks")
-    total = blocks.agg(F.sum(F.col("blocks") * F.col("bytes"))).first()[0] or 0
+    total = blocks.agg(F.sum((F.col("crowd") + F.col("others")) * F.col("bytes"))).first()[0] or 0
     chunks = max(8, total // GROUP_BYTES)
-    rows = rows.join(blocks, "list").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.join(blocks, "list")
+    dealt = F.xxhash64("class")
+    rows = rows.withColumn(
+        "block",
+        F.when(largest, -1 - F.pmod(dealt, F.col("crowd"))).otherwise(F.pmod(dealt, F.col("others"))).cast("int"),
+    )
+    first = F.when(largest, F.lit(0)).otherwise(-F.col("crowd"))
+    rows = rows.withColumn("other", F.explode(F.sequence(first, F.col("others") - 1)))
     rows = rows.select(
         "list", "class", "component", "few", "n_shingles", "sketch", "block",
         F.least("block", "other").alias("low"),
