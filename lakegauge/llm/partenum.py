@@ -315,8 +315,8 @@ def _open(members: DataFrame, joined: DataFrame) -> DataFrame:
 def _pairs(open_members: DataFrame, known: DataFrame, share: int) -> DataFrame:
     """Pairs to verify among the members of open lists: all where they are few, or those of a forest.
 
-    A list's largest component, which may be a crowd, is cut into blocks by itself (numbered below zero), and these are
-    compared with the blocks of the rest only, never with one another.
+    A list beyond one block has its largest component, which may be a crowd, cut into blocks by itself (numbered below
+    zero), and these are compared with the blocks of the rest only, never with one another.
     """
     rows = stored(open_members.join(known.select("class", "n_shingles", "sketch"), "class"), "open-sketches")
     size = F.octet_length("sketch") + _ROW_BYTES
@@ -327,7 +327,10 @@ def _pairs(open_members: DataFrame, known: DataFrame, share: int) -> DataFrame:
 
     largest, rest = F.col("largest"), ~F.col("largest")
     blocks = rows.groupBy("list").agg(
-        blocks_of(largest).alias("crowd"), blocks_of(rest).alias("others"), F.sum(size).alias("bytes")
+        blocks_of(largest).alias("crowd"),
+        blocks_of(rest).alias("others"),
+        (blocks_of(F.lit(True)) == 1).alias("whole"),
+        F.sum(size).alias("bytes"),
     )
     blocks = stored(blocks, "list-blocks")
     total = blocks.agg(F.sum((F.col("crowd") + F.col("others")) * F.col("bytes"))).first()[0] or 0
@@ -336,10 +339,14 @@ def _pairs(open_members: DataFrame, known: DataFrame, share: int) -> DataFrame:
     dealt = F.xxhash64("class")
     rows = rows.withColumn(
         "block",
-        F.when(largest, -1 - F.pmod(dealt, F.col("crowd"))).otherwise(F.pmod(dealt, F.col("others"))).cast("int"),
+        F.when(F.col("whole"), 0)
+        .when(largest, -1 - F.pmod(dealt, F.col("crowd")))
+        .otherwise(F.pmod(dealt, F.col("others")))
+        .cast("int"),
     )
-    first = F.when(largest, F.lit(0)).otherwise(-F.col("crowd"))
-    rows = rows.withColumn("other", F.explode(F.sequence(first, F.col("others") - 1)))
+    first = F.when(F.col("whole") | largest, F.lit(0)).otherwise(-F.col("crowd"))
+    last = F.when(F.col("whole"), F.lit(0)).otherwise(F.col("others") - 1)
+    rows = rows.withColumn("other", F.explode(F.sequence(first, last)))
     rows = rows.select(
         "list", "class", "component", "few", "n_shingles", "sketch", "block",
         F.least("block", "other").alias("low"),
