@@ -258,6 +258,36 @@ SELECT l_partkey, l_suppkey, count(CASE WHEN l_linestatus = 'F' THEN 1 END) AS l
 FROM lineitem WHERE l_linestatus IN ('F', 'O') GROUP BY l_partkey, l_suppkey
 HAVING count(CASE WHEN l_linestatus = 'F' THEN 1 END) <> count(CASE WHEN l_linestatus = 'O' THEN 1 END)
 """
+_SNAPSHOTS = f"""
+WITH a AS (SELECT {_SHIP_YEAR} AS season, l_orderkey, l_linenumber, CAST(l_quantity AS bigint) AS l_quantity FROM lineitem),
+     b AS (SELECT season, l_orderkey, l_linenumber,
+                  l_quantity * CASE WHEN season = 1995 AND l_linenumber = 1 THEN 2 ELSE 1 END AS l_quantity
+           FROM a WHERE season <> 1996 OR l_linenumber <> 2),
+     counted AS (SELECT season, l_orderkey, l_linenumber, l_quantity, sum(l) AS left_rows, sum(r) AS right_rows
+                 FROM (SELECT *, 1 AS l, 0 AS r FROM a UNION ALL SELECT *, 0, 1 FROM b) both_sides
+                 GROUP BY season, l_orderkey, l_linenumber, l_quantity)
+"""
+ORACLES["unequal_partitions"] = f"""{_SNAPSHOTS}
+SELECT season, CAST(sum(left_rows) AS bigint) AS left_rows, CAST(sum(right_rows) AS bigint) AS right_rows,
+       min(CASE WHEN left_rows = right_rows THEN 1 ELSE 0 END) AS equal
+FROM counted GROUP BY season
+"""
+ORACLES["row_difference_by_season"] = f"""{_SNAPSHOTS}
+SELECT season, l_orderkey, l_linenumber, l_quantity, CAST(left_rows AS bigint) AS left_rows,
+       CAST(right_rows AS bigint) AS right_rows
+FROM counted WHERE left_rows <> right_rows
+"""
+ORACLES["distinct_by_bitmaps"] = """
+SELECT l_returnflag, count(DISTINCT v) + max(CASE WHEN v IS NULL THEN 1 ELSE 0 END) AS n_distinct
+FROM (SELECT l_returnflag, l_partkey AS v FROM lineitem
+      UNION ALL SELECT l_returnflag, CASE WHEN l_linenumber <> 1 THEN l_suppkey END FROM lineitem) pooled
+GROUP BY l_returnflag
+"""
+ORACLES["stream_reload"] = """
+SELECT CAST(o_orderkey AS varchar) AS game,
+       o_custkey % 7 + 1 + CASE WHEN o_orderpriority = '1-URGENT' THEN 100 ELSE 0 END AS event
+FROM orders
+"""
 ORACLES["compare_to_answer_key"] = """
 WITH key AS (SELECT l_orderkey AS g, l_linenumber AS p, CAST(sum(l_quantity) AS bigint) AS q
              FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1, 2),

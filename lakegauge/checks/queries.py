@@ -24,7 +24,14 @@ from lakegauge.functions.game import canonical_game_id, clock_seconds, game_date
 from lakegauge.functions.strict import apply_schema
 from lakegauge.layout import Lake
 from lakegauge.operators.aggregates import filtered_min, group_sum
-from lakegauge.operators.compare import compare_by_key, row_differences, status_counts
+from lakegauge.operators.bitmaps import distinct_bitmaps, distinct_counts, merged_bitmaps
+from lakegauge.operators.compare import (
+    compare_by_key,
+    compare_parts,
+    row_differences,
+    row_differences_by_part,
+    status_counts,
+)
 from lakegauge.operators.coverage import distinct_per_group, key_coverage
 from lakegauge.operators.drift import header_drift
 from lakegauge.operators.joins import (
@@ -52,6 +59,7 @@ from lakegauge.sinks.partitions import replace_partitions
 from lakegauge.sources.archives import all_strings, archive_headers
 from lakegauge.sources.manifest import manifest_entries, manifest_faults, with_name_parts
 from lakegauge.sources.ranges import split_csv
+from lakegauge.streaming.landing import load_new_archives
 from lakegauge.validate import answer_key
 from lakegauge.validate.answer_key import compare_to_key
 
@@ -221,6 +229,20 @@ def null_inclusive_distinct(spark, sf_dir):
     return distinct_per_group(events, ["event_type"], ["user_id"])
 
 
+@_registered
+def distinct_by_bitmaps(spark, sf_dir):
+    """Distinct parts and suppliers, pooled, per return flag: bitmaps per year of shipping merged over the years."""
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", year("l_shipdate").alias("season"), "l_partkey", _some_suppliers().alias("l_suppkey")
+    )
+    by_season = distinct_bitmaps(items, ["l_returnflag", "season"], ["l_partkey", "l_suppkey"])
+    return distinct_counts(merged_bitmaps(by_season, ["l_returnflag"]), ["l_returnflag"])
+
+
+def _some_suppliers() -> Column:
+    return F.when(F.col("l_linenumber") != 1, F.col("l_suppkey"))
+
+
 # --- sequence and small aggregates -------------------------------------------
 
 
@@ -471,6 +493,21 @@ def bronze_load(spark, sf_dir):
     return outcome.select("name", "source", "season", F.col("playoffs").cast("int").alias("playoffs"), "rows")
 
 
+@_registered
+def stream_reload(spark, sf_dir):
+    """Archive files of the main feed through the stream, which runs again when those of the playoffs have been
+    replaced by others with later event numbers."""
+    lake, feed = new_lake(spark), event_feed(spark, sf_dir)
+    drop_archives(named(feed, "nbastats"), lake.raw)
+    load_new_archives(spark, lake).awaitTermination()
+    replaced = feed.where("playoffs").withColumn("EVENTNUM", F.col("EVENTNUM") + 100)
+    drop_archives(named(replaced, "nbastats"), lake.raw)
+    load_new_archives(spark, lake).awaitTermination()
+    return _published(
+        spark, lake, "reloaded_", "SELECT GAME_ID AS game, EVENTNUM AS event FROM {p}bronze.nbastats"
+    )
+
+
 @_registered
 def answer_key_load(spark, sf_dir):
     """Line items as possessions, loaded from archive files into the restricted zone and read back."""
@@ -698,6 +735,27 @@ def row_difference(spark, sf_dir):
     return row_differences(pairs.where(items.l_linestatus == "F"), pairs.where(items.l_linestatus == "O"))
 
 
+def _two_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Line items by year of shipping, and the same with first lines of 1995 doubled in quantity and 1996 short of some."""
+    items = table(spark, sf_dir, "lineitem").select(
+        year("l_shipdate").alias("season"), "l_orderkey", "l_linenumber", F.col("l_quantity").cast("bigint").alias("l_quantity")
+    )
+    doubled = (F.col("season") == 1995) & (F.col("l_linenumber") == 1)
+    changed = items.withColumn("l_quantity", F.when(doubled, F.col("l_quantity") * 2).otherwise(F.col("l_quantity")))
+    return items, changed.where((F.col("season") != 1996) | (F.col("l_linenumber") != 2))
+
+
+@_registered
+def unequal_partitions(spark, sf_dir):
+    compared = compare_parts(*_two_snapshots(spark, sf_dir), ["season"])
+    return compared.select("season", "left_rows", "right_rows", F.col("equal").cast("int").alias("equal"))
+
+
+@_registered
+def row_difference_by_season(spark, sf_dir):
+    return row_differences_by_part(*_two_snapshots(spark, sf_dir), ["season"])
+
+
 def _possessions(items: DataFrame) -> DataFrame:
     return items.groupBy("l_orderkey", "l_linenumber").agg(F.sum("l_quantity").cast("bigint").alias("quantity"))
 

@@ -291,6 +291,18 @@ def archive_columns(archives: DataFrame) -> DataFrame:
     return archives.select("name", held).mapInArrow(_read_headers(held), "name STRING, columns ARRAY<STRING>")
 
 
+def archive_digests(archives: DataFrame) -> DataFrame:
+    """``name`` and ``sha256`` of each archive's bytes, which are streamed and not unpacked."""
+    held = _held(archives)
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [_opened(archive.as_py()).sha256() for archive in batch.column(held)]
+            yield pa.RecordBatch.from_pydict({"name": batch.column("name"), "sha256": hashes})
+
+    return archives.select("name", held).mapInArrow(digest, "name STRING, sha256 STRING")
+
+
 def _read_headers(held: str):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

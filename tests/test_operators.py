@@ -12,7 +12,17 @@ from pyspark.sql import functions as F
 from lakegauge.functions.game import canonical_game_id, clock_seconds, game_date, score_margin, score_part
 from lakegauge.operators import sequence
 from lakegauge.operators.aggregates import filtered_min, group_sum
-from lakegauge.operators.compare import compare_by_key, identical, row_differences
+from lakegauge.operators.bitmaps import distinct_bitmaps, distinct_counts, merged_bitmaps
+from lakegauge.operators.compare import (
+    compare_by_key,
+    compare_parts,
+    fingerprints,
+    identical,
+    merged_fingerprints,
+    row_differences,
+    row_differences_by_part,
+)
+from lakegauge.operators.coverage import distinct_per_group
 from lakegauge.operators.joins import first_keys, mark_matches
 from lakegauge.operators.sequence import previous_value, running_total
 from lakegauge.sources.manifest import ManifestError, manifest_lines, read_manifest, with_name_parts
@@ -207,6 +217,49 @@ def test_compare_by_key_with_repeated_keys(spark):
     assert found == {1: "match", 2: "mismatch", 3: "left_only", 4: "right_only", None: "match"}
 
 
+_PARTS = "part STRING, k BIGINT, v STRING"
+
+
+def test_parts_are_equal_whatever_the_order_of_rows(spark):
+    rows = [("a", 1, None), ("a", 1, None), ("a", None, "1"), ("b", 2, "x"), (None, 3, "y"), ("c", 4, "z")]
+    a = spark.createDataFrame(rows, _PARTS)
+    b = spark.createDataFrame(rows[::-1], _PARTS).repartition(3).select("v", "part", "k")
+    assert {(r.part, r.left_rows, r.right_rows, r.equal) for r in compare_parts(a, b, ["part"]).collect()} == {
+        ("a", 3, 3, True), ("b", 1, 1, True), (None, 1, 1, True), ("c", 1, 1, True)
+    }
+    assert row_differences_by_part(a, b, ["part"]).isEmpty()
+
+
+def test_unequal_parts(spark):
+    a = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("b", 1, "x"), (None, 1, "x"), ("d", 1, "x")], _PARTS)
+    # A null that stands in another column, a row more often, a part without a name, a part each side lacks.
+    b = spark.createDataFrame([("a", None, "1"), ("a", 2, "x"), ("b", 1, "x"), ("b", 1, "x"), (None, 2, "x"), ("e", 1, "x")], _PARTS)
+    found = {r.part: (r.left_rows, r.right_rows, r.equal) for r in compare_parts(a, b, ["part"]).collect()}
+    assert found == {"a": (2, 2, False), "b": (1, 2, False), None: (1, 1, False), "d": (1, 0, False), "e": (0, 1, False)}
+    whole, by_part = row_differences(a, b).collect(), row_differences_by_part(a, b, ["part"]).collect()
+    assert len(whole) == 7 and sorted(whole, key=repr) == sorted(by_part, key=repr)
+
+
+def test_fingerprints_of_parts_merge_into_those_of_the_whole(spark):
+    frame = spark.range(1000).selectExpr("id % 7 AS part", "id % 3 AS task", "id % 50 AS v")
+    whole = fingerprints(frame.drop("task"), ["part"])
+    pieces = [fingerprints(frame.where(f"task = {t}").drop("task"), ["part"]) for t in range(3)]
+    merged = merged_fingerprints(pieces[0].unionByName(pieces[1]).unionByName(pieces[2]), ["part"])
+    assert sorted(whole.collect()) == sorted(merged.select(whole.columns).collect())
+
+
+def test_bitmaps_count_as_distinct_does_and_merge(spark):
+    values = [0, 1, -1, 32767, 32768, 32769, -32768, -40000, 2**62, None, None, 1]
+    rows = [(g, s, v, w) for g in ("a", None) for s in (1, 2) for v, w in zip(values[s:], values[::-1])]
+    frame = spark.createDataFrame([*rows, ("n", 1, None, None)], "g STRING, s INT, v BIGINT, w BIGINT")
+    wanted = sorted(distinct_per_group(frame, ["g"], ["v", "w"]).collect(), key=repr)
+    by_season = distinct_bitmaps(frame, ["g", "s"], ["v", "w"])
+    assert sorted(distinct_counts(merged_bitmaps(by_season, ["g"]), ["g"]).collect(), key=repr) == wanted
+    assert sorted(distinct_counts(distinct_bitmaps(frame, ["g"], ["v", "w"]), ["g"]).collect(), key=repr) == wanted
+    with pytest.raises(TypeError, match="string"):
+        distinct_bitmaps(frame, ["s"], ["g"])
+
+
 # --- manifest and names ------------------------------------------------------
 
 
