@@ -3,9 +3,10 @@
 Unit vectors are projected on the principal directions of a sample and rotated so that the signs of
 the coordinates lose least, which gives balanced bits. The code is cut into ``TABLES`` substrings;
 two vectors are compared where a substring agrees, by the cosine of the original vectors in double
-precision. Pairs differing in up to ``TABLES - 1`` bits always agree in one, and most others do. Of each
-substring as many bits are used as leave about ``CELL_VECTORS`` vectors of a label together, up to
-all of them: the more vectors, the more selective.
+precision. Pairs differing in up to ``TABLES - 1`` bits always agree in one, and most others do. The substrings
+are the same for every label, whatever its size, so a pair's chance of being met does not depend on how many
+other vectors there are. A cell holds about a two-thousandth of a label, so beyond some millions of vectors in
+one label the comparisons grow faster than the vectors.
 
 Equal vectors of a label are one with a number of copies. A crowded cell is cut into blocks, and
 each pair of blocks is a unit of work. A unit returns a row per vector, with its number of links
@@ -39,7 +40,6 @@ TABLES = 6
 FIT_VECTORS = 20_000
 ROUNDS = 50
 
-CELL_VECTORS = 512
 BLOCK_VECTORS = 1024
 
 
@@ -133,11 +133,9 @@ def _links_of_unit(unit: pa.Table, threshold: float) -> pa.Table:
     within = side.all()
     a, b = (a[a != b], b[a != b]) if within else (a, b)
     differing = code[a] ^ code[b]
-    # An earlier table compares only the first bits of its substring where a label has few vectors.
-    bits = unit["bits"][0].as_py()
     fresh = np.ones(len(a), bool)
     for start, width in substrings(min(BITS, dimension))[:table]:
-        mask = np.uint64(((1 << min(width, bits)) - 1) << start)
+        mask = np.uint64(((1 << width) - 1) << start)
         fresh &= (differing & mask) != 0
     counts = np.bincount(a[fresh], copies[b[fresh]], len(ids))
     if not within:
@@ -163,7 +161,6 @@ def near_vectors(
     label: str = "label",
     threshold: float = THRESHOLD,
     fit_vectors: int = FIT_VECTORS,
-    cell_vectors: int = CELL_VECTORS,
     block_vectors: int = BLOCK_VECTORS,
 ) -> DataFrame:
     """``key``, ``n_links``, ``component_id`` and ``kept`` for every row.
@@ -196,9 +193,6 @@ def near_vectors(
 
     coded_schema = StructType([*distinct.schema.fields, *StructType.fromDDL("dimension int, code long").fields])
     coded = distinct.mapInArrow(encode, coded_schema)
-    per_label = distinct.groupBy("label", F.size("vector").alias("dimension")).agg(F.count(F.lit(1)).alias("n"))
-    needed = F.ceil(F.log2(F.col("n") / float(cell_vectors))).cast("int")
-    per_label = per_label.select("label", "dimension", F.greatest(needed, F.lit(0)).alias("bits"))
     width = F.least(F.col("dimension"), F.lit(BITS))
     starts = [F.floor(width * t / TABLES).cast("int") for t in range(TABLES + 1)]
     slots = F.array(
@@ -207,12 +201,14 @@ def near_vectors(
             for t in range(TABLES)
         )
     )
-    cells = coded.join(per_label, ["label", "dimension"]).withColumn("slot", F.explode(slots))
-    part = F.expr("shiftrightunsigned(code, slot.start) & (shiftleft(1L, least(slot.width, bits)) - 1)")
+    cells = coded.withColumn("slot", F.explode(slots))
+    part = F.expr("shiftrightunsigned(code, slot.start) & (shiftleft(1L, slot.width) - 1)")
     cell = ["label", "dimension", "table", "part"]
     cells = cells.select("*", F.col("slot.table").alias("table"), part.alias("part")).drop("slot")
-    sizes = cells.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / float(block_vectors)).cast("int").alias("blocks"))
-    cells = cells.join(sizes, cell).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    members = F.count(F.lit(1))
+    sizes = cells.groupBy(*cell).agg(members.alias("members"), F.ceil(members / float(block_vectors)).cast("int").alias("blocks"))
+    # A vector alone in its cell has nothing to be compared with.
+    cells = cells.join(sizes.where("members > 1").drop("members"), cell).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     units = cells.select("*", other).withColumns(
         {"low": F.least("block", "other"), "high": F.greatest("block", "other")}
