@@ -6,11 +6,11 @@ or up to ``EDITS`` shorter, can have become; the positions tried are the few tha
 the parts on either side. What shares a key is verified by a bit-parallel edit distance over the band of
 ``2 * EDITS + 1`` diagonals.
 
-Lines are known by a 64-bit hash, so hot lines are one row before any join. Only lines of
-``MIN_CHARS`` characters are compared: in shorter ones a few edits make other words. Texts of candidates
+Lines are known by a 64-bit hash, so hot lines are one row before any join. Lines shorter than
+``MIN_CHARS`` characters are of one class where they are equal only: in these a few edits make other words. Texts of candidates
 are fetched through a bit set of fixed size, small enough to be sent to every task whatever the corpus.
 
-Edge cases: a null text has no lines; empty and short lines are never removed; the first line of a
+Edge cases: a null text has no lines; short lines without a word are never removed; the first line of a
 class is its earliest by key and line number, a null key coming first, and by the hash of the text where
 rows repeat a key or lack one; rows repeating a key and a text are one document; an empty table gives an empty result; extra columns are kept by :func:`drop_repeated_lines`
 and not read otherwise.
@@ -120,10 +120,11 @@ def within_edits(first: Column, second: Column, edits: int) -> Column:
 
 
 def lines_of(documents: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """``key, text_hash, line_no, line, id`` of every line long enough; ``id`` is its hash."""
+    """``key, text_hash, line_no, line, id`` of every line that is long enough or holds a word; ``id`` is its hash."""
     row = (F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"))
     lines = documents.select(*row, F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
-    return lines.where(F.length("line") >= min_chars).withColumn("id", F.xxhash64("line"))
+    kept = (F.length("line") >= min_chars) | F.col("line").rlike(r"[^\x20\x09-\x0D]")
+    return lines.where(kept).withColumn("id", F.xxhash64("line"))
 
 
 def _matches(lines: DataFrame, edits: int) -> DataFrame:
@@ -192,9 +193,9 @@ def line_links(lines: DataFrame, edits: int = EDITS) -> DataFrame:
 
 
 def _marked_lines(documents: DataFrame, key: str, text: str, edits: int, min_chars: int) -> DataFrame:
-    """``key, text_hash, line_no`` of every line long enough, its ``class_place``, ``n_links`` and ``kept``."""
+    """``key, text_hash, line_no`` of every line of :func:`lines_of`, its ``class_place``, ``n_links`` and ``kept``."""
     lines = lines_of(documents, key, text, min_chars)
-    links = stored(line_links(lines, edits), "line-links")
+    links = stored(line_links(lines.where(F.length("line") >= min_chars), edits), "line-links")
     place = F.struct("key", "line_no", "text_hash")
     firsts = lines.groupBy("id").agg(F.min(place).alias("place"))
 
@@ -227,8 +228,11 @@ def line_classes(
     edits: int = EDITS,
     min_chars: int = MIN_CHARS,
 ) -> DataFrame:
-    """Every line of at least ``min_chars`` characters: ``key``, ``line_no``, the ``class_doc`` and ``class_line``
-    where its class first occurs, ``n_links`` (other different lines linked to it) and ``kept``."""
+    """Every line with a word, and every other of at least ``min_chars`` characters: ``key``, ``line_no``, the ``class_doc``
+    and ``class_line`` where its class first occurs, ``n_links`` (other different lines linked to it) and ``kept``.
+
+    Lines shorter than ``min_chars`` belong together where they are equal, the others from ``edits`` edits on.
+    """
     return _marked_lines(documents, key, text, edits, min_chars).select(
         F.col("key").alias(key),
         "line_no",

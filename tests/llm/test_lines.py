@@ -52,7 +52,7 @@ def test_bit_parallel_distance(spark, edits):
 def test_no_link_is_lost(spark, edits):
     lines = family(edits)
     frame = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id long, text string")
-    rows = lines_of(frame, "doc_id", "text", 24)
+    rows = lines_of(frame, "doc_id", "text", 24).where("length(line) >= 24")
     names = {r.id: r.line for r in rows.collect()}
     links = line_links(rows, edits).collect()
     found = {frozenset((names[r.a], names[r.b])) for r in links}
@@ -68,7 +68,7 @@ def plain_classes(texts, edits=2, least=24):
         ((key, number), line)
         for key, text in sorted(texts.items())
         for number, line in enumerate(text.split("\n"))
-        if len(line) >= least
+        if len(line) >= least or line.strip(" \t\n\v\f\r")
     ]
     kinds = sorted({line for _, line in places})
     root = {line: line for line in kinds}
@@ -84,7 +84,7 @@ def plain_classes(texts, edits=2, least=24):
         for b in by_size[i + 1 :]:
             if len(b) - len(a) > edits:
                 break
-            if distance(a, b) <= edits:
+            if len(a) >= least and distance(a, b) <= edits:
                 links[a] += 1
                 links[b] += 1
                 root[find(a)] = find(b)
@@ -97,7 +97,9 @@ def plain_classes(texts, edits=2, least=24):
 def test_classes_and_texts(spark):
     source = random.Random(4)
     pool = family(7)
-    texts = {i: "\n".join(source.choices(pool, k=source.randint(1, 6)) + ["short"]) for i in range(40)}
+    # Short lines, equal ones among them, up to and beyond the length from which edits count.
+    pool += [source.choice("abc") * n for n in range(1, 31)] + ["  ", "\t", "", " x ", " " * 24]
+    texts = {i: "\n".join(source.choices(pool, k=source.randint(1, 9)) + [f"own {i}"]) for i in range(60)}
     rows = [(i, t, f"extra{i}") for i, t in texts.items()]
     frame = spark.createDataFrame(rows, "doc_id long, text string, class_doc string")
     found = line_classes(frame).collect()
@@ -115,6 +117,13 @@ def test_documents_of_repeated_lines_alone_go(spark):
     assert {r.doc_id: r.text for r in drop_repeated_lines(frame).collect()} == {1: line, 3: ""}
 
 
+def test_short_lines_go_where_they_are_equal(spark):
+    rows = [(1, "All rights reserved.\n\nalpha"), (2, "All rights reserved.\n\nbravo"), (3, "All rights reserved?\n \nalpha x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = {1: rows[0][1], 2: "\nbravo", 3: rows[2][1]}
+    assert {r.doc_id: r.text for r in drop_repeated_lines(frame).collect()} == wanted
+
+
 def test_odd_documents(odd_documents, no_documents):
     rows = line_classes(odd_documents).collect()
     assert all(r.kept == ((r.doc_id, r.line_no) == (r.class_doc, r.class_line)) for r in rows)
@@ -122,7 +131,9 @@ def test_odd_documents(odd_documents, no_documents):
     assert cleaned.schema == odd_documents.schema
     by_key = {r.doc_id: r.text for r in cleaned.where("doc_id IS NOT NULL").collect()}
     assert by_key[0] is None and by_key[1] == "" and by_key[12] == "same line again and again here"
-    assert cleaned.count() == odd_documents.count()
+    # Document 5 is document 4 once more; the rows that repeat document 4's key and text are one document.
+    assert by_key[4] == "a b c d" and 5 not in by_key and by_key[8] == "A b C d\n"
+    assert cleaned.count() == odd_documents.count() - 1
     assert line_classes(no_documents).count() == 0 and drop_repeated_lines(no_documents).count() == 0
 
 
@@ -137,7 +148,7 @@ def test_rows_sharing_a_key_keep_their_own_lines(spark):
     wanted = [
         (0, own[0]),
         (None, f"{shared}\n{own[1]} None"), (None, f"{own[2]} None"), (None, f"{own[3]} None\nx"),
-        (7, f"{own[1]} 7"), (7, f"{own[2]} 7"), (7, f"{own[3]} 7\nx"),
+        (7, f"{own[1]} 7"), (7, f"{own[2]} 7"), (7, f"{own[3]} 7"),
     ]
     assert sorted(map(tuple, drop_repeated_lines(frame).collect()), key=repr) == sorted(wanted, key=repr)
     # Equal places of different texts: one of the two is the first.
