@@ -3,9 +3,9 @@
 A document longer than the largest length is cut into pieces of that length and a rest. Pieces are
 dealt at random to blocks of bounded size, each packed on its own: longest piece first, each into the
 fullest bin it still fits. Where none is open that can take it, a bin is opened of the length that
-costs least per unit it can be filled with. Every set of the smallest few lengths is tried for
-opening, bins are cut down to the smallest length holding their contents, and the cheapest trial
-stays.
+costs least per unit it can be filled with. Every set of at most two lengths, and of the smallest few, is tried
+for opening, whatever lengths the block's pieces have: a piece that fits none of a set opens the smallest permitted
+length it fits. Bins are cut down to the smallest length holding their contents, and the cheapest trial stays.
 
 The cost of a bin of length ``c`` is ``fixed + c + c * c / square``: a share for every bin, for its
 units, and for attention over them.
@@ -20,6 +20,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +45,13 @@ class Cost:
         return self.fixed + capacity + capacity * capacity / self.square
 
 
-def _opened(lengths: Sequence[int], capacities: Sequence[int], cost: Cost) -> tuple[list[int], list[int]]:
-    """Bin of each piece (``lengths`` falling) and length of each bin as opened, by best fit."""
+def _opened(
+    lengths: Sequence[int], opening: Sequence[int], sizes: Sequence[int], cost: Cost
+) -> tuple[list[int], list[int]]:
+    """Bin of each piece (``lengths`` falling) and length of each bin as opened, by best fit.
+
+    Bins open at a length of ``opening``, or for pieces beyond these at the smallest of ``sizes`` that holds them.
+    """
     rest = sum(lengths)
     space: list[tuple[int, int]] = []
     bins: list[int] = []
@@ -55,7 +61,7 @@ def _opened(lengths: Sequence[int], capacities: Sequence[int], cost: Cost) -> tu
         if at < len(space):
             room, number = space.pop(at)
         else:
-            fitting = [c for c in capacities if c >= length]
+            fitting = [c for c in opening if c >= length] or [sizes[bisect_left(sizes, length)]]
             room = min(fitting, key=lambda c: (cost.of(c) / min(c, rest), -c))
             number = len(bins)
             bins.append(room)
@@ -66,16 +72,20 @@ def _opened(lengths: Sequence[int], capacities: Sequence[int], cost: Cost) -> tu
     return placed, bins
 
 
+def opening_sets(sizes: Sequence[int]) -> list[tuple[int, ...]]:
+    """The sets of lengths tried for opening: those of one or two lengths, and the smallest few."""
+    few = [tuple(sizes[:most]) for most in range(3, len(sizes) + 1)]
+    return [*combinations(sizes, 1), *combinations(sizes, 2), *few]
+
+
 def pack_block(
     lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES, cost: Cost = Cost()
 ) -> tuple[list[int], list[int], float]:
     """Bin of each piece (``lengths`` falling), length of each bin, and what the bins cost."""
-    sizes = sorted(capacities)
+    sizes = sorted(set(capacities))
     best: tuple[list[int], list[int], float] | None = None
-    for most in range(1, len(sizes) + 1):
-        if lengths and lengths[0] > sizes[most - 1]:
-            continue
-        placed, bins = _opened(lengths, sizes[:most], cost)
+    for opening in opening_sets(sizes):
+        placed, bins = _opened(lengths, opening, sizes, cost)
         used = np.bincount(placed, lengths, len(bins)) if placed else np.zeros(0)
         final = [sizes[bisect_left(sizes, int(u))] for u in used]
         total = sum(map(cost.of, final))

@@ -8,7 +8,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from lakegauge.llm.packing import CAPACITIES, Cost, pack, pack_block
+from lakegauge.llm.packing import CAPACITIES, Cost, opening_sets, pack, pack_block
 
 
 def check(rows, lengths, capacities):
@@ -59,6 +59,48 @@ def test_cheapest_trial_stays():
     assert max(pack_block(lengths, (512, 4096), Cost(10_000, 1e9))[1]) == 4096
 
 
+def least_cost(lengths, capacities, cost):
+    """The cheapest packing there is, by trying every way to share the pieces among bins."""
+    best = [float("inf")]
+
+    def place(at, bins):
+        if at == len(lengths):
+            best[0] = min(best[0], sum(cost.of(min(c for c in capacities if c >= b)) for b in bins))
+            return
+        for i in range(len(bins)):
+            if bins[i] + lengths[at] <= max(capacities):
+                place(at + 1, [*bins[:i], bins[i] + lengths[at], *bins[i + 1 :]])
+        place(at + 1, [*bins, lengths[at]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_blocks_against_all_packings():
+    source, ratios = random.Random(11), []
+    for _ in range(150):
+        cost = Cost(source.choice([1, 16, 300]), source.choice([1_000, 65_536, 1e7]))
+        # Some blocks hold a piece of the largest length, as blocks of real documents do.
+        lengths = [source.choice([4096, 2500, 30]), *(source.randint(1, 1500) for _ in range(source.randint(0, 6)))]
+        lengths.sort(reverse=True)
+        placed, sizes, total = pack_block(lengths, CAPACITIES, cost)
+        filled = [sum(n for n, b in zip(lengths, placed) if b == at) for at in range(len(sizes))]
+        assert sizes == [min(c for c in CAPACITIES if c >= used) for used in filled]
+        assert total == pytest.approx(sum(map(cost.of, sizes)))
+        ratios.append(total / least_cost(lengths, CAPACITIES, cost))
+    assert min(ratios) > 1 - 1e-9
+    assert sum(ratios) / len(ratios) < 1.02 and sum(r < 1 + 1e-9 for r in ratios) > 0.75 * len(ratios)
+
+
+def test_long_pieces_leave_the_trials_open():
+    assert len(opening_sets(CAPACITIES)) == 12
+    small = [300] * 200
+    for most in (512, 4096):
+        cost = Cost(1, 512) if most == 512 else Cost(10_000, 1e9)
+        placed, sizes, _ = pack_block([4096, *small], CAPACITIES, cost)
+        assert sizes[0] == 4096 and max(sizes[1:]) == most
+
+
 def test_ties_and_repeated_rows(spark):
     frame = spark.createDataFrame([(1, 10, 5)] * 3 + [(None, 10, 5)], "doc_id long, size int, bin_id int")
     rows = pack(frame, F.col("size")).collect()
