@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lakegauge.layout import Lake
 from lakegauge.schemas import SCHEMAS
 from lakegauge.sinks.published import RESTRICTED, Files, live_sql
-from lakegauge.sources.tables import data_files
+from lakegauge.sources.folders import data_folders
 
 # Published zones, by name. A zone is left unpublished by not being listed.
 ZONES = ("bronze", "silver", "gold")
@@ -44,12 +44,15 @@ def _entries(spark: SparkSession, lake: Lake) -> DataFrame:
     data; in bronze only data with a season counts."""
     listings = []
     for zone in ZONES:
-        root = lake.zone(zone)
-        # Listed paths carry the file system's full address, so look for the folder within them.
-        inside = F.split_part("path", F.lit(urlsplit(root).path + "/"), F.lit(2))
-        pattern = "^([^/]+)/season=[0-9]+/" if zone == "bronze" else "^([^/]+)"
-        entry = F.regexp_extract(inside, pattern, 1).alias("entry")
-        listings.append(data_files(spark, root).select(F.lit(zone).alias("zone"), entry))
+        folders = data_folders(spark, lake.zone(zone))
+        pattern = "^([^/]+)/season=[0-9]+(?:/|$)" if zone == "bronze" else "^([^/]+)"
+        entry = F.regexp_extract("inside", pattern, 1).alias("entry")
+        listings.append(folders.select(F.lit(zone).alias("zone"), entry))
+        if zone != "bronze":
+            # Files lying in the zone itself are views of their own.
+            names = Files(spark, lake.zone(zone)).plain(lake.zone(zone))
+            single = [(zone, name) for name in names if name.endswith(".parquet") and name[0] not in "._"]
+            listings.append(spark.createDataFrame(single, "zone STRING, entry STRING"))
     return reduce(DataFrame.unionAll, listings).where("entry <> ''").distinct()
 
 
@@ -92,8 +95,7 @@ def restricted_views(spark: SparkSession, plan: Sequence[Row], restricted: Seque
         view = files.resolved(row.path)
         faults += [f"{row.zone}.{row.name}: {row.path} meets {b}" for b in bases if _within(view, b) or _within(b, view)]
         # The folders from the root down to the view's files, each looked at once.
-        inputs = data_files(spark, row.path).select(F.regexp_extract("path", "^(.*)/[^/]+$", 1).alias("folder")).distinct()
-        inputs = {view} | {r.folder for r in inputs.collect()}
+        inputs = {view} | {r.folder for r in data_folders(spark, row.path).select("folder").collect()}
         folders = {folder for path in inputs for folder in _upwards(urlsplit(path).path)}
         for folder in sorted(folders):
             if folder not in marked:

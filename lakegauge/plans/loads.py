@@ -38,7 +38,8 @@ from lakegauge.sources.archives import (
     streams,
 )
 from lakegauge.sources.manifest import with_name_parts
-from lakegauge.sources.tables import data_files, landed_partitions
+from lakegauge.sources.folders import data_folders
+from lakegauge.sources.tables import landed_partitions
 
 _DATASET = ["source", *PARTITION_COLUMNS]
 
@@ -63,7 +64,7 @@ def recorded_checksums(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    return not data_files(spark, path).isEmpty()
+    return not data_folders(spark, path).isEmpty()
 
 
 def sidecar_checksums(spark: SparkSession, folder: str) -> DataFrame:

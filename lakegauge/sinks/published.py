@@ -57,6 +57,13 @@ class Files:
             return []
         return sorted(found.getPath().getName() for found in self._files.listStatus(self._path(folder)))
 
+    def plain(self, folder: str) -> list[str]:
+        """Names of the files directly in a folder, leaving folders out."""
+        if not self._files.exists(self._path(folder)):
+            return []
+        listed = self._files.listStatus(self._path(folder))
+        return sorted(found.getPath().getName() for found in listed if found.isFile())
+
     def move(self, source: str, target: str) -> bool:
         self._files.mkdirs(self._path(target).getParent())
         return self._files.rename(self._path(source), self._path(target))

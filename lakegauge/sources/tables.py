@@ -12,6 +12,7 @@ from pyspark.sql.types import BooleanType, LongType, StructType
 from lakegauge.functions.columns import column
 from lakegauge.layout import Lake
 from lakegauge.schemas import schema_for
+from lakegauge.sources.folders import data_folders
 from lakegauge.sinks.published import RECORD, RECORDS, is_live
 
 
@@ -19,17 +20,6 @@ def is_missing_path(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def data_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Paths of the parquet files under ``folder``; empty where there is no such folder.
-
-    Files are listed, not opened, and the leftovers of failed writes do not count.
-    """
-    if not folder_exists(spark, folder):
-        return spark.createDataFrame([], "path STRING")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return files.option("pathGlobFilter", "*.parquet").load(folder).select("path")
-
-
 def folder_exists(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
@@ -38,12 +28,12 @@ def folder_exists(spark: SparkSession, folder: str) -> bool:
 def landed_partitions(spark: SparkSession, folder: str) -> DataFrame:
     """(``source``, ``season``, ``playoffs``) partitions holding data under ``<folder>/<source>/``: published, or never
     subject to publishing."""
-    pattern = r"/([^/]+)/(season=([^/]+)/playoffs=(true|false))/(?:([0-9a-f]{32})-)?[^/]+$"
-    names = ("source", "partition", "season", "playoffs", "version")
-    found = data_files(spark, folder).select(
-        *(F.regexp_extract("path", pattern, i + 1).alias(n) for i, n in enumerate(names))
+    pattern = r"/([^/]+)/(season=([^/]+)/playoffs=(true|false))$"
+    names = ("source", "partition", "season", "playoffs")
+    found = data_folders(spark, folder).select(
+        *(F.regexp_extract("folder", pattern, i + 1).alias(n) for i, n in enumerate(names)), "versions"
     )
-    found = found.where("source <> ''").distinct()
+    found = found.where("source <> ''")
     if folder_exists(spark, f"{folder}/{RECORDS}"):
         records = spark.read.schema(RECORD).json(f"{folder}/{RECORDS}/*")
         origin = F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+$", 1)
@@ -53,7 +43,7 @@ def landed_partitions(spark: SparkSession, folder: str) -> DataFrame:
         found = found.join(live, ["source", "partition"], "left")
     else:
         found = found.withColumn("live", F.lit(None).cast("string"))
-    return found.where("coalesce(live, '') = version").select(
+    return found.where("array_contains(versions, coalesce(live, ''))").select(
         "source", F.col("season").try_cast("bigint").alias("season"), (F.col("playoffs") == "true").alias("playoffs")
     )
 

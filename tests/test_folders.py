@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import pytest
+
+from lakegauge.sources import folders
+from lakegauge.sources.folders import data_folders
+
+LOAD = "0123456789abcdef" * 2
+
+
+@pytest.fixture
+def tree(tmp_path):
+    """Partitions of many files at several depths, and what does not count."""
+    root = tmp_path / "zone with space"
+    for at in ("a/season=1/playoffs=true", "a/season=2/playoffs=false", "b", "c/x/y/z", "d.parquet"):
+        (root / at).mkdir(parents=True)
+        for n in range(40):
+            (root / at / f"part-{n}.parquet").write_bytes(b"x")
+    for n in range(40):
+        (root / "a/season=2/playoffs=false" / f"{LOAD}-part-{n}.parquet").write_bytes(b"x")
+    for at in ("_aside/a", ".tmp", "empty/season=3", "texts", "b/_temporary/0"):
+        (root / at).mkdir(parents=True)
+    for at in ("_aside/a/x.parquet", ".tmp/x.parquet", "texts/x.json", "b/_temporary/0/x.parquet", "b/_y.parquet"):
+        (root / at).write_bytes(b"x")
+    (root / "texts" / "nothing.parquet").touch()
+    (root / "e").mkdir()
+    (root / "e" / f"{LOAD}-part.parquet").write_bytes(b"x")
+    (root / "single.parquet").write_bytes(b"x")
+    return str(root)
+
+
+def found(frame):
+    return sorted((r.inside, r.folder.rpartition(":")[2].rstrip("/"), r.versions) for r in frame.collect())
+
+
+def test_a_row_per_folder_however_many_files(spark, tree):
+    rows = found(data_folders(spark, tree))
+    assert [(r[0], r[2]) for r in rows] == [
+        ("", [""]),
+        ("a/season=1/playoffs=true", [""]),
+        ("a/season=2/playoffs=false", ["", LOAD]),
+        ("b", [""]),
+        ("c/x/y/z", [""]),
+        ("d.parquet", [""]),
+        ("e", [LOAD]),
+    ]
+    assert all(r[1] == f"{tree}/{r[0]}".rstrip("/") for r in rows)
+    plan = data_folders(spark, tree)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "binaryFile" not in plan
+
+
+def test_listing_by_files_gives_the_same(spark, tree, monkeypatch):
+    wanted = found(data_folders(spark, tree))
+    monkeypatch.setattr(folders, "streams", lambda folder: False)
+    assert found(data_folders(spark, tree)) == wanted
+    assert found(data_folders(spark, f"{tree}/none")) == []
+
+
+@pytest.mark.parametrize("prefix", ["", "file:", "file://"])
+def test_addresses(spark, tree, prefix):
+    assert len(found(data_folders(spark, prefix + tree + "/"))) == 7
+    assert found(data_folders(spark, f"{prefix}{tree}/none")) == []
+    assert [r[2] for r in found(data_folders(spark, f"{prefix}{tree}/single.parquet"))] == [[""]]
+
+
+def test_each_folder_is_listed_once(spark, tree, tmp_path, monkeypatch):
+    log = tmp_path / "listed"
+    log.mkdir()
+    listing, where = folders._listing, str(log)
+
+    def counted(folder, inside):
+        import pathlib
+        import uuid
+
+        (pathlib.Path(where) / uuid.uuid4().hex).write_text(inside)
+        yield from listing(folder, inside)
+
+    monkeypatch.setattr(folders, "_listing", counted)
+    assert data_folders(spark, tree).count() == 7
+    listed = sorted(p.read_text() for p in log.iterdir())
+    assert len(listed) == len(set(listed)) == 16
