@@ -1,12 +1,19 @@
-"""Personal data in texts: pattern matches, and terms that give the matched entities away.
+"""Personal data in texts: pattern matches, secrets, and terms that give the matched entities away.
 
-Patterns find emails, ip addresses, card and phone numbers. The corpus then tells which words near
-them are disclosing: with ``n(e)`` documents naming an entity, ``n(t)`` holding a term, ``n(e, t)``
-holding it near the entity and ``N`` in all, the pointwise mutual information log(N n(e,t) / (n(e) n(t)))
-is compared with the entity's information content log(N / n(e)). A term reaching ``generalise`` of
-it is replaced by a placeholder, one reaching ``remove`` of it is taken out, wherever it stands: in other
-paragraphs and in documents that do not name the entity too. Only pairs seen in at least ``support``
-different surroundings count, so copies of one passage are one witness.
+Patterns find emails, ip addresses, card and phone numbers. Secrets are words whose own information content is that of
+a key: long runs of letters and digits in turn whose characters hold at least ``secret_bits``. They tell all there is to
+tell about what they open, so they are taken out, and what stands near them is weighed as for the rest.
+
+The corpus then tells which words near a match are disclosing: with ``n(e)`` documents naming an entity, ``n(t)``
+holding a term, ``n(e, t)`` holding it near the entity and ``N`` in all, the pointwise mutual information
+log(N n(e,t) / (n(e) n(t))) is compared with the entity's information content log(N / n(e)). A term reaching
+``generalise`` of it is replaced by a placeholder, one reaching ``remove`` of it is taken out, wherever it stands: in
+other paragraphs and in documents that do not name the entity too.
+
+With rare words chance alone makes such neighbours, so a pair also has to be worth naming: the information it gives,
+once for each different surroundings it was seen in, must exceed log(entities * terms), what it takes to single out
+one pair of all that were weighed. That holds at every size of table: a pair seen twice can do, a pair seen
+once (below ``support``) is never told from chance. Copies of one passage are one surroundings.
 
 Entities are kept as digests. The candidate terms that the second scan counts, and the disclosing ones
 whose places the third returns, are folded into a fixed number of bits; what passes is joined with the
@@ -19,12 +26,13 @@ one by one, and rows repeating key and text get the same spans; extra columns ar
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +42,18 @@ from pyspark.sql.types import StructType
 
 from lakegauge.llm.columns import stored
 
-#: Kinds in their order; the patterns find all but the last.
-KINDS = ("email", "ip", "card", "phone", "term")
-_TERM = KINDS.index("term")
+#: Kinds in their order; the patterns find all but the last two.
+KINDS = ("email", "ip", "card", "phone", "term", "secret")
+_TERM, _SECRET = KINDS.index("term"), KINDS.index("secret")
 
 #: Words looked at on either side of a match, on its line.
 CONTEXT_WORDS = 8
-SUPPORT = 3
+SUPPORT = 2
 GENERALISE, REMOVE = 0.8, 0.95
 
+#: A secret's least length, changes between letters and digits in it, and information of its characters.
+SECRET_CHARS, SECRET_TURNS, SECRET_BITS = 16, 3, 48.0
+
 _FILTER_WORDS = 1 << 14
 #: Terms a task holds before it hands on what it has counted.
 _TASK_TERMS = 300_000
@@ -54,6 +65,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _ANY = re.compile("[0-9@]")
+_RUN = re.compile(f"(?<![A-Za-z0-9])[A-Za-z0-9]{{{SECRET_CHARS},}}+")
+_TURN = re.compile("[A-Za-z][0-9]|[0-9][A-Za-z]")
 _WORD = re.compile(r"[^\W_]+")
 _NOT_DIGIT = re.compile("[^0-9]")
 
@@ -105,6 +118,28 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+def _bits(word: str) -> float:
+    """Information of a word's characters, by how often each is in it."""
+    return sum(n * math.log2(len(word) / n) for n in Counter(word).values())
+
+
+def secret_spans(text: str) -> list[Span]:
+    """``(start, kind, end)`` of every word that is a key by its own information, sorted."""
+    if not _ANY.search(text):
+        return []
+    return [
+        (match.start(), _SECRET, match.end())
+        for match in _RUN.finditer(text)
+        # Turns are looked for one character on, since they may overlap.
+        if sum(bool(_TURN.match(match[0], i)) for i in range(len(match[0]) - 1)) >= SECRET_TURNS
+        and _bits(match[0]) >= SECRET_BITS
+    ]
+
+
+def _all_spans(text: str) -> list[Span]:
+    return sorted([*base_spans(text), *secret_spans(text)])
+
+
 def _entity(text: str, span: Span) -> bytes:
     """Digest of what a span names: digits alone for numbers, lower case for the rest."""
     value = text[span[0] : span[2]]
@@ -116,16 +151,28 @@ def _is_term(word: str) -> bool:
     return len(word) >= 3 and not word.isdigit()
 
 
+def _words_before(text: str, low: int, end: int, width: int) -> list[re.Match]:
+    """The last ``width`` words of ``text[low:end]``, found from its end so that a long line costs little."""
+    reach = 16 * width
+    while True:
+        start = max(low, end - reach)
+        words = list(_WORD.finditer(text, start, end))
+        # The first one may begin before the stretch looked at.
+        if start == low or len(words) > width:
+            return words[-width:]
+        reach *= 4
+
+
 def _surroundings(text: str, span: Span, spans: list[Span], width: int) -> tuple[int, list[str]]:
     """Hash of the words around a span on its line, and the terms among them outside all spans."""
-    near = 24 * width
-    low = max(text.rfind("\n", 0, span[0]) + 1, span[0] - near)
+    low = text.rfind("\n", 0, span[0]) + 1
     high = text.find("\n", span[2])
-    high = min(len(text) if high < 0 else high, span[2] + near)
-    before = list(_WORD.finditer(text, low, span[0]))[-width:]
-    after = list(_WORD.finditer(text, span[2], high))[:width]
-    around = [*before, *after]
+    high = len(text) if high < 0 else high
+    around = _words_before(text, low, span[0], width)
+    around += islice(_WORD.finditer(text, span[2], high), width)
     witness = hashlib.blake2b(" ".join(m[0].lower() for m in around).encode(), digest_size=8).digest()
+    if around:
+        low, high = around[0].start(), around[-1].end()
     overlaps = [s for s in spans if s[0] < high and s[2] > low]
     terms = [
         m[0].lower()
@@ -140,21 +187,23 @@ _NEAR = "array<struct<entity:binary,witness:bigint,term:string>>"
 
 
 def _found(documents: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """Key, hash of the text, spans of the patterns and the terms near them, for every row."""
+    """Key, hash of the text, spans of the patterns, of secrets and the terms near both, for every row."""
     rows = documents.select(
         F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")
     )
-    schema = StructType([*rows.schema.fields[:2], *StructType.fromDDL(f"base {_SPANS}, near {_NEAR}").fields])
+    schema = StructType([*rows.schema.fields[:2], *StructType.fromDDL(f"base {_SPANS}, secrets {_SPANS}, near {_NEAR}").fields])
     base_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
     near_type = pa.list_(pa.struct([("entity", pa.binary()), ("witness", pa.int64()), ("term", pa.string())]))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bases, nears = [], []
+            bases, secrets, nears = [], [], []
             for value in batch.column("text"):
                 whole = value.as_py() or ""
-                spans = base_spans(whole)
-                bases.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
+                parts = base_spans(whole), secret_spans(whole)
+                for column, part in zip((bases, secrets), parts, strict=True):
+                    column.append([{"start": a, "kind": k, "end": b} for a, k, b in part])
+                spans = sorted([*parts[0], *parts[1]])
                 near = []
                 for span in spans:
                     witness, terms = _surroundings(whole, span, spans, width)
@@ -162,7 +211,7 @@ def _found(documents: DataFrame, key: str, text: str, width: int) -> DataFrame:
                     near += [{"entity": entity, "witness": witness, "term": term} for term in terms]
                 nears.append(near)
             columns = [batch.column("key"), batch.column("text_hash")]
-            columns += [pa.array(bases, base_type), pa.array(nears, near_type)]
+            columns += [pa.array(bases, base_type), pa.array(secrets, base_type), pa.array(nears, near_type)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return rows.mapInArrow(find, schema)
@@ -218,7 +267,7 @@ def _document_counts(documents: DataFrame, text: str, candidates: DataFrame) ->
 
 
 def _term_places(documents: DataFrame, key: str, text: str, terms: DataFrame) -> DataFrame:
-    """``key, text_hash, term, start, end``: where words that may be among ``terms`` stand, outside all pattern matches."""
+    """``key, text_hash, term, start, end``: where words that may be among ``terms`` stand, outside all other spans."""
     bits = _term_filter(terms).tolist()
     rows = documents.select(
         F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")
@@ -234,7 +283,7 @@ def _term_places(documents: DataFrame, key: str, text: str, terms: DataFrame) ->
                 words = set(_WORD.findall(whole))
                 known.update((word, _is_term(word) and _passes(bits, word.lower())) for word in words if word not in known)
                 if any(known[word] for word in words):
-                    spans = base_spans(whole)
+                    spans = _all_spans(whole)
                     firsts = [s[0] for s in spans]
                     # How far matches reach that start no later; they may overlap.
                     reach = list(accumulate((s[2] for s in spans), max))
@@ -265,7 +314,8 @@ def disclosing_terms(
     generalise: float = GENERALISE,
     remove: float = REMOVE,
 ) -> DataFrame:
-    """``entity, term, removed``: the terms telling at least ``generalise`` of what the entity's name tells."""
+    """``entity, term, removed``: the terms telling at least ``generalise`` of what the entity's name tells, and more than
+    chance would."""
     near = found.select("key", "text_hash", F.explode("near").alias("n")).select(
         F.struct("key", "text_hash").alias("row"), "n.entity", "n.witness", "n.term"
     )
@@ -273,12 +323,15 @@ def disclosing_terms(
     pairs = near.groupBy("entity", "term").agg(
         F.count_distinct("row").alias("n_et"), F.count_distinct("witness").alias("witnesses")
     )
+    weighed = near.agg(F.count_distinct("entity"), F.count_distinct("term")).first()
+    singling_out = math.log(max(1, weighed[0]) * max(1, weighed[1]))
     pairs = stored(pairs.where(F.col("witnesses") >= support), "pii-pairs")
     counts = _document_counts(documents, text, pairs.select("term").distinct())
     total = F.lit(float(max(1, documents.count())))
-    share = F.log(F.col("n_et") * total / (F.col("n_e") * F.col("n_t"))) / F.log(total / F.col("n_e"))
     told = pairs.join(per_entity, "entity").join(counts, "term").where(F.col("n_e") < total)
-    told = told.withColumn("share", share).where(F.col("share") >= generalise)
+    told = told.withColumn("given", F.log(F.col("n_et") * total / (F.col("n_e") * F.col("n_t"))))
+    told = told.withColumn("share", F.col("given") / F.log(total / F.col("n_e")))
+    told = told.where((F.col("share") >= generalise) & (F.col("witnesses") * F.col("given") >= singling_out))
     return stored(told.select("entity", "term", (F.col("share") >= remove).alias("removed")), "pii-terms")
 
 
@@ -309,14 +362,14 @@ def _beside(rows: DataFrame, extra: DataFrame) -> DataFrame:
 
 
 def private_spans(documents: DataFrame, *, key: str = "doc_id", text: str = "text", **thresholds: float) -> DataFrame:
-    """``key``, ``base`` and ``terms`` (arrays of start, kind and end in code points, by start) per row.
+    """``key``, ``base``, ``secrets`` and ``terms`` (arrays of start, kind and end in code points, by start) per row.
 
     ``thresholds``: ``support``, ``generalise`` and ``remove``.
     """
     found, terms = _spans_with_terms(documents, key, text, **thresholds)
     bare = "transform(coalesce(terms, array()), t -> named_struct('start', t.start, 'kind', t.kind, 'end', t.end))"
     return _beside(found.drop("near"), terms).select(
-        F.col("key").alias(key), "base", F.expr(f"CAST({bare} AS {_SPANS})").alias("terms")
+        F.col("key").alias(key), "base", "secrets", F.expr(f"CAST({bare} AS {_SPANS})").alias("terms")
     )
 
 
@@ -331,8 +384,9 @@ def span_digest(spans: DataFrame, key: str = "doc_id") -> DataFrame:
         key,
         *counts,
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
-        _listed(F.sort_array(F.concat("base", "terms"))).alias("spans"),
+        _listed(F.sort_array(F.concat("base", "terms", "secrets"))).alias("spans"),
         F.size("terms").cast("long").alias("n_term"),
+        F.size("secrets").cast("long").alias("n_secret"),
     )
 
 
@@ -349,7 +403,7 @@ def _redacted(text: str, spans: list[Span], terms: list[tuple[int, int, bool]])
 
 
 def sanitise(documents: DataFrame, *, key: str = "doc_id", text: str = "text", **thresholds: float) -> DataFrame:
-    """``documents`` with personal data replaced in ``text``; all other columns unchanged, null text stays null."""
+    """``documents`` with personal data and secrets replaced in ``text``; all other columns unchanged, null text stays null."""
     _, terms = _spans_with_terms(documents, key, text, **thresholds)
     schema = documents.schema
     marked = documents.select(
@@ -364,7 +418,7 @@ def sanitise(documents: DataFrame, *, key: str = "doc_id", text: str = "text", *
             for value, near in zip(batch.column("text"), batch.column("terms"), strict=True):
                 whole = value.as_py()
                 extra = [(t["start"], t["end"], t["removed"]) for t in near.as_py() or ()]
-                texts.append(whole and _redacted(whole, base_spans(whole), extra))
+                texts.append(whole and _redacted(whole, _all_spans(whole), extra))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
 
     row_type = marked.schema["row"].dataType

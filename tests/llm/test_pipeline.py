@@ -10,7 +10,7 @@ from lakegauge.llm.pii import KINDS
 from llm.conftest import invented
 from llm.test_lines import edited, plain_classes
 from llm.test_packing import check
-from llm.test_private import plain_spans
+from llm.test_private import plain_secrets, plain_spans
 from llm.test_quality import keeps, plain as measured
 from llm.test_similar import plain as similar
 
@@ -52,7 +52,7 @@ def plain_stages(texts):
     yield texts
     redacted = {}
     for key, text in texts.items():
-        for start, kind, end in reversed(plain_spans(text)):
+        for start, kind, end in reversed(sorted([*plain_spans(text), *plain_secrets(text)])):
             text = f"{text[:start]}[{KINDS[kind].upper()}]{text[end:]}"
         redacted[key] = text
     yield redacted

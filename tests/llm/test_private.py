@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from collections import Counter, defaultdict
 
-from lakegauge.llm.pii import KINDS, base_spans, private_spans, sanitise, span_digest
+import pytest
+
+from lakegauge.llm.pii import KINDS, base_spans, private_spans, sanitise, secret_spans, span_digest
 
 PATTERNS = (
     r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -35,6 +39,54 @@ def plain_spans(text):
     return sorted(found)
 
 
+def plain_secrets(text):
+    found = []
+    for match in re.finditer("[A-Za-z0-9]+", text):
+        word, counts = match[0], Counter(match[0])
+        turns = sum(a.isdigit() != b.isdigit() for a, b in zip(word, word[1:]))
+        bits = -sum(n * math.log2(n / len(word)) for n in counts.values())
+        if len(word) >= 16 and turns >= 3 and bits >= 48:
+            found.append((match.start(), 5, match.end()))
+    return found
+
+
+def plain_terms(rows, support, generalise):
+    """Places of disclosing terms per row, by counting in plain Python."""
+    word = re.compile(r"[^\W_]+")
+    named, near, witnesses, holding = defaultdict(set), defaultdict(set), defaultdict(set), Counter()
+    for at, (_, text) in enumerate(rows):
+        holding.update({w.lower() for w in word.findall(text)})
+        spans = sorted([*plain_spans(text), *plain_secrets(text)])
+        covered = {i for start, _, end in spans for i in range(start, end)}
+        for start, kind, end in spans:
+            name = text[start:end].lower() if kind not in (2, 3) else re.sub("[^0-9]", "", text[start:end])
+            low = text.rfind("\n", 0, start) + 1
+            high = text.find("\n", end) if "\n" in text[end:] else len(text)
+            before = [(m.start() + low, m[0]) for m in word.finditer(text[low:start])][-8:]
+            after = [(m.start() + end, m[0]) for m in word.finditer(text[end:high])][:8]
+            around = " ".join(w.lower() for _, w in before + after)
+            for place, w in before + after:
+                if len(w) >= 3 and not w.isdigit() and not covered & set(range(place, place + len(w))):
+                    pair = (kind, name), w.lower()
+                    named[pair[0]].add(at)
+                    near[pair].add(at)
+                    witnesses[pair].add(around)
+    total, least = len(rows), math.log(max(1, len(named)) * max(1, len({t for _, t in near})))
+    terms = set()
+    for (entity, term), places in near.items():
+        n_e, seen = len(named[entity]), len(witnesses[entity, term])
+        if n_e < total and seen >= support:
+            given = math.log(len(places) * total / (n_e * holding[term]))
+            if given / math.log(total / n_e) >= generalise and seen * given >= least:
+                terms.add(term)
+    found = []
+    for key, text in rows:
+        covered = {i for a, _, b in [*plain_spans(text), *plain_secrets(text)] for i in range(a, b)}
+        places = [(m.start(), m.end()) for m in word.finditer(text) if m[0].lower() in terms]
+        found.append((key, [p for p in places if not covered & set(range(*p))]))
+    return found
+
+
 HARD = [
     "a@b@c.de x.y@z.com,foo@bar..com q@r.s.t- +a@b.c %@-.-",
     "1.2.3.4.5.6.7.8 256.1.1.1 01.002.0003.255 1.2.3 999999.1.1.1.1",
@@ -48,11 +100,43 @@ HARD = [
 def test_patterns_on_hard_texts(texts):
     for text in [*HARD, *texts.values()]:
         assert base_spans(text) == plain_spans(text)
+        assert secret_spans(text) == plain_secrets(text)
+
+
+def test_secrets():
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    assert secret_spans(f'token = "{key}", x') == [(9, 5, 49)]
+    words = ["internationalisation", "a" * 40, "20240101123000123456", "ABCDEFGHIJKLMNOPQRST2024", key[:15], "a1" * 20]
+    assert secret_spans(" ".join(words)) == []
+
+
+def test_secrets_are_taken_out(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    frame = spark.createDataFrame([(1, f"token = {key}\nend"), (2, "token = none")], "doc_id long, text string")
+    assert dict(sanitise(frame).collect()) == {1: "token = [SECRET]\nend", 2: "token = none"}
+    digest = {r.doc_id: (r.n_secret, r.spans) for r in span_digest(private_spans(frame)).collect()}
+    assert digest == {1: (1, "secret:8:48"), 2: (0, "")}
+
+
+@pytest.mark.parametrize(("support", "generalise"), [(1, 0.5), (2, 0.3), (2, 0.8)])
+def test_terms_against_plain_counting(spark, documents, support, generalise):
+    frame = documents.select("doc_id", "text").unionByName(corpus(spark).select("doc_id", "text"))
+    # Surroundings beyond a fixed number of characters, and words next to matches without a space between.
+    long = "x" * 300
+    extra = [(900, f"zebulon {long} {long} y keeper@house.example"), (901, f"id1.2.3.4ip {long}\n{long} zebulon")]
+    frame = frame.unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
+    rows = [(r.doc_id, r.text or "") for r in frame.collect()]
+    wanted = plain_terms(rows, support, generalise)
+    assert any(places for _, places in wanted)
+    found = private_spans(frame, support=support, generalise=generalise).collect()
+    got = [(r.doc_id, [(t.start, t.end) for t in r.terms]) for r in found]
+    assert sorted(got, key=repr) == sorted(wanted, key=repr)
 
 
 def test_long_runs_take_no_time():
     for text in ("a" * 2_000_000, "1" * 2_000_000, "1." * 500_000, "@" * 500_000, "+1" + "(" * 500_000):
         base_spans(text)
+        secret_spans(text)
 
 
 def test_digest(documents, texts):
@@ -61,7 +145,8 @@ def test_digest(documents, texts):
         listed = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
         assert row.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
         assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(s[1] == k for s in spans) for k in range(4)]
-        assert [s for s in row.spans.split(",") if not s.startswith("term")] == listed.split(",")
+        assert [s for s in row.spans.split(",") if not s.startswith(("term", "secret"))] == listed.split(",")
+        assert row.n_secret == len(plain_secrets(texts[row.doc_id])) == row.spans.count("secret:")
 
 
 def corpus(spark):
