@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import io
+import lzma
+import shutil
 import sys
 import tarfile
 import uuid
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.csv as pacsv
-import pyarrow.fs as pafs
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +21,7 @@ from lakegauge.layout import PARTITION_COLUMNS, Lake
 from lakegauge.schemas import schema_for
 from lakegauge.scratch import scratch_dir
 from lakegauge.sinks.partitions import replace_partitions
+from lakegauge.sources.archives import _located
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -73,24 +74,79 @@ def pack_archives(frame: DataFrame) -> DataFrame:
 
 
 def drop_archives(frame: DataFrame, folder: str) -> None:
-    """Write one ``<name>.tar.xz`` per ``name`` of ``frame`` into ``folder``, each by one task."""
-    parts = urlsplit(folder)
-
-    def drop(rows: pa.Table) -> pa.Table:
-        if parts.scheme in ("", "file"):
-            target, root = pafs.LocalFileSystem(), parts.path
-        else:
-            target, root = pafs.FileSystem.from_uri(folder)
+    """Write one ``<name>.tar.xz`` per ``name`` of ``frame`` into ``folder``.
+
+    Tasks pack the rows they read, a buffer at a time, into parts: each the lines of one archive as an xz stream of its
+    own. One task per archive then strings its parts together between the tar header and the tar's end, so neither an
+    archive's rows nor its CSV are ever held whole.
+    """
+    spark = frame.sparkSession
+    parts = scratch_dir(spark, "archive-parts")
+    heading = io.BytesIO()
+    pacsv.write_csv(pa.table({c: pa.array([], pa.string()) for c in frame.columns if c != "name"}), heading)
+    heading = heading.getvalue()
+
+    def write_parts(rows: pa.Table, first: str) -> pa.RecordBatch:
+        target, root = _located(parts)
         target.create_dir(root, recursive=True)
-        name = rows["name"][0].as_py()
+        out = {"name": [], "part": [], "size": []}
+        for name in pc.unique(rows["name"]).to_pylist():
+            own = pc.is_null(rows["name"]) if name is None else pc.equal(rows["name"], name)
+            part = f"{root}/{first}-{len(out['part']):06d}-{uuid.uuid4().hex}"
+            with target.open_output_stream(part) as file, lzma.open(file, "wb", preset=0) as packed:
+                pacsv.write_csv(rows.filter(own).drop_columns(["name"]), packed, pacsv.WriteOptions(include_header=False))
+                out["size"].append(packed.tell())
+            out["name"].append(name)
+            out["part"].append(part)
+        return pa.RecordBatch.from_pydict(out, _PARTS)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number = TaskContext.get().partitionId(), 0
+        for rows in _buffers(batches):
+            yield write_parts(rows, f"{task:06d}-{number:06d}")
+            number += 1
+
+    def drop(found: pa.Table) -> pa.Table:
+        name = found["name"][0].as_py()
+        source, _ = _located(parts)
+        target, root = _located(folder)
+        target.create_dir(root, recursive=True)
+        member = tarfile.TarInfo(f"{name}.csv")
+        member.size = len(heading) + pc.sum(found["size"]).as_py()
         # A task run again writes the same bytes; the last move wins.
         unfinished = f"{root}/.{name}-{uuid.uuid4().hex}"
         with target.open_output_stream(unfinished) as out:
-            out.write(_archive(name, rows.drop_columns(["name"])))
+            out.write(lzma.compress(member.tobuf() + heading, preset=0))
+            for part in sorted(found["part"].to_pylist()):
+                with source.open_input_stream(part) as packed:
+                    shutil.copyfileobj(packed, out, 1 << 20)
+            # Zeros up to a whole block, and two blocks of them.
+            out.write(lzma.compress(bytes(-member.size % tarfile.BLOCKSIZE + 2 * tarfile.BLOCKSIZE), preset=0))
         target.move(unfinished, f"{root}/{name}.tar.xz")
-        return pa.table({"name": [name]})
-
-    frame.groupBy("name").applyInArrow(drop, "name STRING").write.format("noop").mode("overwrite").save()
+        return pa.table({"name": [name]}, schema=pa.schema([_PARTS.field("name")]))
+
+    # Written down: the parts of a task that is run again are others.
+    listed = scratch_dir(spark, "archive-part-list")
+    ddl = "name STRING, part STRING, size BIGINT"
+    frame.mapInArrow(pack, ddl).write.parquet(listed)
+    found = spark.read.schema(ddl).parquet(listed)
+    found.groupBy("name").applyInArrow(drop, "name STRING").write.format("noop").mode("overwrite").save()
+
+
+_PARTS = pa.schema([("name", pa.string()), ("part", pa.string()), ("size", pa.int64())])
+
+
+def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The batches of a task, gathered until they fill a buffer."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size > _BUFFER_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def named(feed: DataFrame, source: str) -> DataFrame:
