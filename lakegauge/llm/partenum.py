@@ -5,10 +5,11 @@ documents, and those of a range of hashes meet in one group, which returns the c
 signature; equal lists of classes are returned once. Two classes are compared by parity sketches first:
 every element in one set and not in the other flips one bit, so sketches that differ in more bits than
 linked sets can have elements apart rule the pair out. The rest is verified on the sets themselves: all pairs of
-a short list at once, and those of a long one in rounds: every class with the list's centres first, a few
+a list of one block at once, if it is short or the sketches leave no more pairs than its centres would make. Others, which
+are crowds of near copies or longer than a block, go in rounds: every class with the list's centres first, a few
 members chosen by hash; then, if the list does not lie in one component by now, every pair left between
 components, or a spanning forest of the possible links and another round where these pairs are many. So a crowd of near copies costs rows by its
-size, not by its pairs, a list that is settled ships no sketch again, and no pair goes unverified.
+size, not by its pairs, texts that merely share a passage ship their sketches once for each list, and no pair goes unverified.
 
 Edge cases: a null or empty text, or one of white space alone, has an empty set and is linked with
 nothing; a null key is linked with nothing and has a null component; rows repeating a key join the
@@ -37,7 +38,7 @@ WIDTH, SHARE = 4, 85
 BLOCK_BYTES = 16 << 20
 GROUP_SIGNATURES = 750_000
 
-#: Longer lists are compared in rounds, all members with this many of them first.
+#: Longer lists may be compared in rounds, all members with this many of them first.
 SHORT = 48
 CENTRES = 2
 #: Pairs left per member up to which all of them are compared, without a forest first.
@@ -262,17 +263,39 @@ def _compare(unit: pa.Table, share: int) -> pa.Table:
     return pa.table({"a": different[:, 0], "b": different[:, 1]})
 
 
-def _short_pairs(members: DataFrame, known: DataFrame, share: int) -> DataFrame:
-    """Pairs of members of short lists that sketches do not rule out. Lists go to groups whole."""
+def _block_pairs(unit: pa.Table, share: int) -> pa.Table:
+    """Pairs ``a, b`` of classes of a list that sketches do not rule out, or the ``list`` if it is long and has more of them
+    than its centres would make."""
+    lists, classes, sizes = (unit[n].to_numpy() for n in ("list", "class", "n_shingles"))
+    sketches = unit["sketch"].combine_chunks()
+    order = np.lexsort((classes, lists))
+    firsts = np.flatnonzero(np.diff(lists[order], prepend=lists[order[0]] - 1)).tolist()
+    found: list[np.ndarray] = [np.empty((0, 2), np.int64)]
+    crowds = []
+    for a, b in zip(firsts, [*firsts[1:], len(lists)], strict=True):
+        own = order[a:b]
+        near = _near(sizes[own], sketches.take(pa.array(own)).to_pylist(), share)
+        edges = np.argwhere(np.triu(near, 1))
+        if len(own) > SHORT and len(edges) > CENTRES * len(own):
+            crowds.append(lists[own[0]])
+        else:
+            found.append(classes[own[edges]])
+    different = np.unique(np.concatenate(found), axis=0)
+    none, gaps = pa.nulls(len(different), pa.int64()), pa.nulls(len(crowds), pa.int64())
+    rows = [pa.table({"list": none, "a": different[:, 0], "b": different[:, 1]})]
+    rows.append(pa.table({"list": pa.array(crowds, pa.int64()), "a": gaps, "b": gaps}))
+    return pa.concat_tables(rows)
+
+
+def _in_blocks(members: DataFrame, known: DataFrame, share: int) -> DataFrame:
+    """Pairs ``a, b`` of members of lists of one block that sketches do not rule out, and the ``list`` of those left to
+    the rounds. Lists go to groups whole, each member once."""
     size = known.agg(F.avg(F.octet_length("sketch") + _ROW_BYTES)).first()[0] or 0
     chunks = max(8, int(members.count() * size) // GROUP_BYTES)
     rows = members.select("list", "class").join(known.select("class", "n_shingles", "sketch"), "class")
-    rows = rows.select(
-        "list", "class", F.col("class").alias("component"), F.lit(True).alias("few"), "n_shingles", "sketch",
-        F.lit(0).alias("block"), F.lit(0).alias("low"), F.lit(0).alias("high"),
-        F.pmod("list", F.lit(chunks)).alias("chunk"),
-    )
-    return rows.groupBy("chunk").applyInArrow(lambda unit: _compare(unit, share), "a long, b long").distinct()
+    rows = rows.select("list", "class", "n_shingles", "sketch", F.pmod("list", F.lit(chunks)).alias("chunk"))
+    found = rows.groupBy("chunk").applyInArrow(lambda unit: _block_pairs(unit, share), "list long, a long, b long")
+    return stored(found, "block-pairs")
 
 
 def _central(members: DataFrame, known: DataFrame, share: int) -> DataFrame:
@@ -422,8 +445,6 @@ def similar_texts(
     # A list found in several groups has the same centres in each.
     members = members.groupBy("list", "class").agg(F.any_value("n").alias("n"), F.any_value("centres").alias("centres"))
     members = stored(members, "set-lists")
-    long = members.where(F.col("n") > SHORT)
-
     met = members.select("class").distinct()
     known = usable.join(met, "class", "left_semi").groupBy("class").agg(
         F.min("key").alias("first"),
@@ -432,7 +453,13 @@ def similar_texts(
     )
     known = stored(known, "known-sets")
     where = (documents, key, text, width, share)
-    pairs = _short_pairs(members.where(F.col("n") <= SHORT), known, share).union(_central(long, known, share))
+    compared = _in_blocks(members.where(F.col("n") <= BLOCK_CLASSES), known, share)
+    crowds = compared.where("list IS NOT NULL").select("list")
+    long = members.where(F.col("n") > BLOCK_CLASSES).unionByName(
+        members.where(F.col("n").between(SHORT + 1, BLOCK_CLASSES)).join(crowds, "list", "left_semi").select(*members.columns)
+    )
+    long = stored(long, "long-lists")
+    pairs = compared.where("list IS NULL").select("a", "b").union(_central(long, known, share))
     links = _verified(stored(pairs.distinct(), "set-pairs"), known, *where)
     joined = components(links, "a", "b")
     waiting = _open(long, joined)

@@ -151,3 +151,20 @@ def test_scanned_words():
     hashes = word_hashes(words).tolist()
     assert len({*zip(flat, hashes, strict=True)}) == len(set(flat)) == len(set(hashes))
     assert shingle_sets(words, 2).sizes.tolist() == [len(shingles(t, 2)) for t in texts[1:]]
+
+
+def test_texts_sharing_a_passage_are_compared_in_one_pass(spark, monkeypatch):
+    """Their lists are long, but no crowds: none of them goes through the rounds."""
+    passage = invented(60, 77)
+    rows = [(i, " ".join([*invented(20, 100 + i), *passage, *invented(20, 900 + i)])) for i in range(150)]
+    rows.append((150, rows[7][1] + " end"))
+    rounds, central = [], partenum._central
+
+    def counted(members, *others):
+        rounds.append(members.count())
+        return central(members, *others)
+
+    monkeypatch.setattr(partenum, "_central", counted)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, similar_texts(frame).collect()), key=repr) == plain(rows, 4, 85)
+    assert rounds == [0]
