@@ -155,9 +155,9 @@ def test_scanned_words():
 
 def test_texts_sharing_a_passage_are_compared_in_one_pass(spark, monkeypatch):
     """Their lists are long, but no crowds: none of them goes through the rounds."""
-    passage = invented(60, 77)
-    rows = [(i, " ".join([*invented(20, 100 + i), *passage, *invented(20, 900 + i)])) for i in range(150)]
-    rows.append((150, rows[7][1] + " end"))
+    passage = invented(75, 77)
+    rows = [(i, " ".join([*invented(12, 1000 + i), *passage, *invented(12, 5000 + i)])) for i in range(400)]
+    rows.append((400, rows[7][1] + " end"))
     rounds, central = [], partenum._central
 
     def counted(members, *others):
