@@ -28,12 +28,26 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(frame: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
-    """``frame`` written once to the shared scratch folder and read back.
+#: Fewest tasks that rows are gathered in, and rows from which there are more.
+_TASKS, _TASK_ROWS = 16, 4_000
+
+
+def tasks_for(rows: DataFrame) -> int:
+    """Tasks for steps on about as many rows as ``rows``, which is counted and should be stored.
+
+    Where few rows were dealt to very many partitions, ``coalesce`` to these spares most tasks and files; more rows
+    stay on the partitions they have.
+    """
+    return max(_TASKS, rows.count() // _TASK_ROWS)
+
+
+def stored(frame: DataFrame, label: str, compression: str = "zstd", tasks: int | None = None) -> DataFrame:
+    """``frame`` written once to the shared scratch folder, by at most so many ``tasks``, and read back.
 
     Later readers and retried tasks then see the same rows, and a lost executor costs a read.
     """
     path = scratch_dir(frame.sparkSession, label)
+    frame = frame.coalesce(tasks) if tasks else frame
     frame.write.option("compression", compression).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 

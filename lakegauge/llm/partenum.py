@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakegauge.llm.columns import possibly_among, stored
-from lakegauge.llm.components import components
+from lakegauge.llm.columns import possibly_among, stored, tasks_for
+from lakegauge.llm.components import components, joined_further
 from lakegauge.llm.packed import pack_integers, pack_sorted, unpack_integers, unpack_sorted
 from lakegauge.llm.shingles import Sets, shingle_sets, signatures, signatures_per_element
 from lakegauge.llm.textscan import mixed, scan, text_slices
@@ -293,15 +293,19 @@ def _in_blocks(members: DataFrame, known: DataFrame, share: int) -> DataFrame:
     size = known.agg(F.avg(F.octet_length("sketch") + _ROW_BYTES)).first()[0] or 0
     chunks = max(8, int(members.count() * size) // GROUP_BYTES)
     rows = members.select("list", "class").join(known.select("class", "n_shingles", "sketch"), "class")
+    tasks = max(chunks, tasks_for(members))
+    rows = rows.coalesce(tasks)
     rows = rows.select("list", "class", "n_shingles", "sketch", F.pmod("list", F.lit(chunks)).alias("chunk"))
     found = rows.groupBy("chunk").applyInArrow(lambda unit: _block_pairs(unit, share), "list long, a long, b long")
-    return stored(found, "block-pairs")
+    return stored(found, "block-pairs", tasks=tasks)
 
 
 def _central(members: DataFrame, known: DataFrame, share: int) -> DataFrame:
     """Pairs of each member of a list with its centres that sketches do not rule out."""
+    tasks = tasks_for(members)
     pairs = members.select("class", F.explode("centres").alias("centre")).where("class <> centre")
-    pairs = stored(pairs.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct(), "central-pairs")
+    pairs = pairs.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
+    pairs = stored(pairs, "central-pairs", tasks=tasks)
     ends = known.select("class", "n_shingles", "sketch")
     first, second = ends.toDF("a", "x_size", "x"), ends.toDF("b", "y_size", "y")
 
@@ -316,23 +320,25 @@ def _central(members: DataFrame, known: DataFrame, share: int) -> DataFrame:
             may = pa.array(_may_link(*sizes, np.array(apart, np.int64), share), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(n).filter(may) for n in "ab"], names=["a", "b"])
 
-    both = pairs.join(first, "a").join(second, "b").select("a", "b", "x_size", "y_size", "x", "y")
-    return both.mapInArrow(compare, "a long, b long")
+    both = pairs.join(first, "a").coalesce(tasks).join(second, "b").select("a", "b", "x_size", "y_size", "x", "y")
+    return both.coalesce(tasks).mapInArrow(compare, "a long, b long")
 
 
 def _open(members: DataFrame, joined: DataFrame) -> DataFrame:
     """``list``, ``class`` and ``component`` of the lists that do not lie in one component, whether the pairs left are
     ``few``, and whether a class is in the list's ``largest`` component."""
     rows = members.select("list", "class").join(joined.withColumnRenamed("node", "class"), "class", "left")
-    rows = stored(rows.select("list", "class", F.coalesce("component", "class").alias("component")), "list-components")
+    tasks = tasks_for(members)
+    rows = rows.select("list", "class", F.coalesce("component", "class").alias("component"))
+    rows = stored(rows, "list-components", tasks=tasks)
     parts = rows.groupBy("list", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
     n, squares = F.sum("n"), F.sum(F.col("n") * F.col("n"))
     few = ((n * n - squares) / 2 <= _PAIRS_LEFT * n).alias("few")
     main = F.max_by("component", F.struct("n", "component")).alias("main")
     lists = parts.groupBy("list").agg(few, main, F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    rows = rows.join(stored(lists.select("list", "few", "main"), "open-lists"), "list")
+    rows = rows.join(stored(lists.select("list", "few", "main"), "open-lists", tasks=tasks), "list")
     rows = rows.select("list", "class", "component", "few", (F.col("component") == F.col("main")).alias("largest"))
-    return stored(rows, "open-members")
+    return stored(rows, "open-members", tasks=tasks)
 
 
 def _pairs(open_members: DataFrame, known: DataFrame, share: int) -> DataFrame:
@@ -341,7 +347,8 @@ def _pairs(open_members: DataFrame, known: DataFrame, share: int) -> DataFrame:
     A list beyond one block has its largest component, which may be a crowd, cut into blocks by itself (numbered below
     zero), and these are compared with the blocks of the rest only, never with one another.
     """
-    rows = stored(open_members.join(known.select("class", "n_shingles", "sketch"), "class"), "open-sketches")
+    rows = open_members.join(known.select("class", "n_shingles", "sketch"), "class")
+    rows = stored(rows, "open-sketches", tasks=tasks_for(open_members))
     size = F.octet_length("sketch") + _ROW_BYTES
 
     def blocks_of(part: Column) -> Column:
@@ -355,7 +362,7 @@ def _pairs(open_members: DataFrame, known: DataFrame, share: int) -> DataFrame:
         (blocks_of(F.lit(True)) == 1).alias("whole"),
         F.sum(size).alias("bytes"),
     )
-    blocks = stored(blocks, "list-blocks")
+    blocks = stored(blocks, "list-blocks", tasks=tasks_for(open_members))
     total = blocks.agg(F.sum((F.col("crowd") + F.col("others")) * F.col("bytes"))).first()[0] or 0
     chunks = max(8, total // GROUP_BYTES)
     rows = rows.join(blocks, "list")
@@ -377,13 +384,15 @@ def _pairs(open_members: DataFrame, known: DataFrame, share: int) -> DataFrame:
         F.pmod("list", F.lit(chunks)).alias("chunk"),
     )
     found = rows.groupBy("chunk", "low", "high").applyInArrow(lambda unit: _compare(unit, share), "a long, b long")
-    return stored(found.distinct(), "set-pairs")
+    tasks = max(chunks, tasks_for(open_members))
+    return stored(found.coalesce(tasks).distinct(), "set-pairs", tasks=tasks)
 
 
 def _verified(pairs: DataFrame, known: DataFrame, documents: DataFrame, key: str, text: str, width: int, share: int):
     """The pairs whose sets are similar enough, by the sets themselves."""
+    tasks = tasks_for(pairs)
     ends = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    wanted = stored(known.join(ends, "class", "left_semi").select("first", "class"), "wanted-sets")
+    wanted = stored(known.join(ends, "class", "left_semi").select("first", "class"), "wanted-sets", tasks=tasks)
     rows = documents.select(F.col(key).alias("first"), F.col(text).alias("text"))
     rows = possibly_among(rows, "first", wanted.select("first")).join(wanted, "first")
 
@@ -399,7 +408,7 @@ def _verified(pairs: DataFrame, known: DataFrame, documents: DataFrame, key: str
 
     fetched = rows.select("class", "text").mapInArrow(fetch, "class long, elements binary")
     # A key on several rows with equal texts comes more than once.
-    sets = stored(fetched.groupBy("class").agg(F.any_value("elements").alias("elements")), "sets")
+    sets = stored(fetched.groupBy("class").agg(F.any_value("elements").alias("elements")), "sets", tasks=tasks)
     first = sets.select(F.col("class").alias("a"), F.col("elements").alias("x"))
     second = sets.select(F.col("class").alias("b"), F.col("elements").alias("y"))
 
@@ -413,8 +422,8 @@ def _verified(pairs: DataFrame, known: DataFrame, documents: DataFrame, key: str
             chosen = batch.filter(pa.array(linked, pa.bool_()))
             yield pa.RecordBatch.from_arrays([chosen.column("a"), chosen.column("b")], names=["a", "b"])
 
-    both = pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y")
-    return stored(both.mapInArrow(verify, "a long, b long"), "set-links")
+    both = pairs.join(first, "a").coalesce(tasks).join(second, "b").select("a", "b", "x", "y")
+    return stored(both.coalesce(tasks).mapInArrow(verify, "a long, b long"), "set-links", tasks=tasks)
 
 
 def _sharing_a_key(usable: DataFrame) -> DataFrame:
@@ -451,7 +460,7 @@ def similar_texts(
         F.any_value("n_shingles").alias("n_shingles"),
         F.any_value("sketch").alias("sketch"),
     )
-    known = stored(known, "known-sets")
+    known = stored(known, "known-sets", tasks=tasks_for(members))
     where = (documents, key, text, width, share)
     compared = _in_blocks(members.where(F.col("n") <= BLOCK_CLASSES), known, share)
     crowds = compared.where("list IS NOT NULL").select("list")
@@ -460,17 +469,15 @@ def similar_texts(
     )
     long = stored(long, "long-lists")
     pairs = compared.where("list IS NULL").select("a", "b").union(_central(long, known, share))
-    links = _verified(stored(pairs.distinct(), "set-pairs"), known, *where)
-    joined = components(links, "a", "b")
+    pairs = stored(pairs.distinct(), "set-pairs", tasks=max(tasks_for(compared), tasks_for(long)))
+    joined = components(_verified(pairs, known, *where), "a", "b")
     waiting = _open(long, joined)
     while not waiting.isEmpty():
-        links = links.unionByName(_verified(_pairs(waiting, known, share), known, *where))
-        joined = components(links, "a", "b")
+        joined = joined_further(joined, _verified(_pairs(waiting, known, share), known, *where))
         # Where a forest was verified, whatever pairs are left come next.
         waiting = _open(waiting.where("NOT few"), joined).withColumn("few", F.lit(True))
     several = stored(_sharing_a_key(usable), "keys-with-sets")
-    if not several.isEmpty():
-        joined = components(links.unionByName(several), "a", "b")
+    joined = joined_further(joined, several)
 
     classes = usable.groupBy("class").agg(F.min("key").alias("first"))
     rooted = joined.select(F.col("node").alias("class"), "component")

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 
 import lakegauge.llm.partenum as partenum
+from lakegauge.llm.components import components, joined_further
 from lakegauge.llm.partenum import one_of_each, parity_sketches, similar_texts
 from lakegauge.llm.shingles import Sets, shingle_sets, signatures
 from lakegauge.llm.textscan import mixed, scan, word_hashes
@@ -168,3 +169,31 @@ def test_texts_sharing_a_passage_are_compared_in_one_pass(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert sorted(map(tuple, similar_texts(frame).collect()), key=repr) == plain(rows, 4, 85)
     assert rounds == [0]
+
+
+def test_few_links_take_few_tasks_and_later_rounds_only_theirs(spark, monkeypatch):
+    """Whatever the partitions: a crowd's rounds were dealt to all of them, and each worked on all links again."""
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        source = random.Random(5)
+        links = [(a, source.randrange(a)) for a in range(1, 600) if a % 7]
+        first = spark.createDataFrame(links[:300], "a long, b long")
+        more = spark.createDataFrame([*links[300:], links[3], (5, 5)], "a long, b long")
+        joined = components(first, "a", "b")
+        whole = joined_further(joined, more)
+        assert len(joined.inputFiles()) <= 16 and len(whole.inputFiles()) <= 16
+        wanted = {n: least for n, least in classes(links, range(600)).items() if n != least}
+        assert sorted(map(tuple, whole.collect())) == sorted(wanted.items())
+        assert sorted(map(tuple, joined_further(joined, more.limit(0)).collect())) == sorted(map(tuple, joined.collect()))
+
+        worked, whole = [], partenum.components
+        monkeypatch.setattr(partenum, "BLOCK_CLASSES", 32)
+        monkeypatch.setattr(partenum, "components", lambda *edges: worked.append(0) or whole(*edges))
+        rows = crowd()
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        assert sorted(map(tuple, similar_texts(frame).collect()), key=repr) == plain(rows, 4, 85)
+        assert len(worked) == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
