@@ -27,7 +27,7 @@ from lakegauge.llm.components import components
 EDITS = 2
 MIN_CHARS = 24
 
-_INDEXED, _LOOKS_FOR_SHORTER, _LOOKS_FOR_EQUAL = 0, 1, 2
+_INDEXED, _LOOKS = 0, 1
 _SKETCHED = ("id", "letters", "pairs")
 
 
@@ -44,6 +44,10 @@ def _keys(line: Column, size: Column, edits: int) -> Column:
     As an indexed line it has the key of each of its segments. It looks for lines as long as itself or up
     to ``edits`` shorter: segment ``at`` of a line shorter by ``less`` may have moved by up to ``at`` places, counted
     from the front, and by up to ``edits - at``, counted from the back; it must be within both.
+
+    A line as long that has a segment in the same place has its key too, and need not be looked for. With one
+    insertion and one deletion at most, all that moves between lines of equal length moves to one side, and seen from
+    the other line to the other: one of the two has a whole segment that has not moved, or moved forward.
     """
 
     def key(size: Column, at: int, start: Column, length: Column, kind: int) -> Column:
@@ -54,13 +58,14 @@ def _keys(line: Column, size: Column, edits: int) -> Column:
     for at in range(edits + 1):
         start, length = _segment(size, at, edits)
         keys.append(key(size, at, start, length, _INDEXED))
+    one_sided = edits < 4
     for less in range(edits + 1):
         for at in range(edits + 1):
             start, length = _segment(size - less, at, edits)
             lowest, highest = max(-at, less - (edits - at)), min(at, less + (edits - at))
             for moved in range(lowest, highest + 1):
-                kind = _LOOKS_FOR_SHORTER if less else _LOOKS_FOR_EQUAL
-                keys.append(key(size - less, at, start + moved, length, kind))
+                if less or moved > 0 or moved < 0 and not one_sided:
+                    keys.append(key(size - less, at, start + moved, length, _LOOKS))
     return F.array(*keys)
 
 
@@ -129,8 +134,9 @@ def lines_of(documents: DataFrame, key: str, text: str, min_chars: int) -> DataF
 
 def _matches(lines: DataFrame, edits: int) -> DataFrame:
     """``key, id, kind`` of the keys that an indexed line shares with another line."""
-    distinct = lines.groupBy("id").agg(F.any_value("line").alias("line"))
-    rows = distinct.select("id", F.explode(_keys(F.col("line"), F.length("line"), edits)).alias("key"))
+    # Grouped by both, lines are hashed; an aggregate that holds a text would sort them.
+    distinct = lines.groupBy("id", "line").agg(F.length("line").alias("size"))
+    rows = distinct.select("id", F.explode(_keys(F.col("line"), F.col("size"), edits)).alias("key"))
     rows = rows.select("id", F.col("key.k").alias("key"), F.col("key.kind").alias("kind"))
     alike = Window.partitionBy("key")
     shared = (F.min("id").over(alike) != F.max("id").over(alike)) & (F.min("kind").over(alike) == _INDEXED)
@@ -160,16 +166,14 @@ def _candidates(matches: DataFrame, sketches: DataFrame, edits: int) -> DataFram
     """Pairs ``a, b`` of ids of different lines that share a key and may be as near as asked."""
     rows = matches.join(sketches, "id")
     found = rows.where(F.col("kind") == _INDEXED).select("key", *(F.col(c).alias(f"a_{c}") for c in _SKETCHED))
-    asked = rows.where(F.col("kind") != _INDEXED).select(
-        "key", "kind", *(F.col(c).alias(f"b_{c}") for c in _SKETCHED)
-    )
-    # Lines of equal length find each other both ways; one is enough.
-    once = F.expr(f"a_id < b_id OR (kind = {_LOOKS_FOR_SHORTER} AND a_id <> b_id)")
+    asked = rows.select("key", "kind", *(F.col(c).alias(f"b_{c}") for c in _SKETCHED))
+    # Lines that are both indexed by a key find each other both ways; one is enough.
+    once = F.expr(f"a_id < b_id OR (kind = {_LOOKS} AND a_id <> b_id)")
     near = F.expr(f"bit_count(a_letters ^ b_letters) <= {2 * edits} AND bit_count(a_pairs ^ b_pairs) <= {4 * edits}")
     # The filter belongs to the join, so a crowd of lines sharing a key is compared but not handed on.
     same = F.col("i.key") == F.col("p.key")
     pairs = found.alias("i").join(asked.alias("p"), same & once & near)
-    return pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+    return pairs.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
 
 
 def _texts(lines: DataFrame, ids: DataFrame) -> DataFrame:
@@ -197,7 +201,7 @@ def _marked_lines(documents: DataFrame, key: str, text: str, edits: int, min_cha
     lines = lines_of(documents, key, text, min_chars)
     links = stored(line_links(lines.where(F.length("line") >= min_chars), edits), "line-links")
     place = F.struct("key", "line_no", "text_hash")
-    firsts = lines.groupBy("id").agg(F.min(place).alias("place"))
+    firsts = stored(lines.groupBy("id").agg(F.min(place).alias("place")), "line-places")
 
     ends = links.select(F.col("a").alias("id")).unionAll(links.select(F.col("b").alias("id")))
     degrees = ends.groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import lakegauge.llm.lines as line_module
 from lakegauge.llm.lines import drop_repeated_lines, line_classes, line_links, lines_of, within_edits
 from llm.conftest import invented
 
@@ -63,6 +64,30 @@ def test_no_link_is_lost(spark, edits):
     assert found == wanted and len(links) == len(found)
 
 
+def test_lines_have_eleven_keys_and_their_places_are_found_once(spark, monkeypatch):
+    """There were 15 keys, of which three were found twice over and one from the other line; places were found twice."""
+    keys = line_module._keys(F.col("line"), F.length("line"), 2)
+    found = spark.createDataFrame([("abcdefghijklmnopqrstuvwxyz0123",)], "line string").select(keys.alias("keys")).first()
+    assert len({k.k for k in found.keys}) == len(found.keys) == 11
+    labels, stored = [], line_module.stored
+    monkeypatch.setattr(line_module, "stored", lambda frame, label: labels.append(label) or stored(frame, label))
+    line_classes(spark.createDataFrame([(1, "a line of its own\nx")], "doc_id long, text string")).collect()
+    assert labels.count("line-places") == 1
+
+
+def test_a_part_that_moved_between_lines_of_equal_length(spark):
+    """One letter goes near the front and one comes near the back, at every pair of places."""
+    base = "abcdefghijklmnopqrstuvwxyz01"
+    lines = {base} | {base[:a] + base[a + 1 : b] + "#" + base[b:] for a in range(28) for b in range(a + 1, 29)}
+    frame = spark.createDataFrame([(i, line) for i, line in enumerate(sorted(lines))], "doc_id long, text string")
+    rows = lines_of(frame, "doc_id", "text", 24)
+    names = {r.id: r.line for r in rows.collect()}
+    links = line_links(rows).collect()
+    assert all(distance(names[r.a], names[r.b]) <= 2 for r in links[:500])
+    near = {names[r.a] if names[r.b] == base else names[r.b] for r in links if base in (names[r.a], names[r.b])}
+    assert near == lines - {base} and len({frozenset((r.a, r.b)) for r in links}) == len(links)
+
+
 def plain_classes(texts, edits=2, least=24):
     places = [
         ((key, number), line)
