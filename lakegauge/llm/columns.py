@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,33 @@ def stored(frame: DataFrame, label: str, compression: str = "zstd", tasks: int |
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of rows that a task hands to Python at once; a longer row goes alone.
+_BATCH_BYTES = 2 << 20
+
+
+def in_small_batches(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``operator``, called with a table first, with small batches for the Python steps of the jobs that it runs, unless the
+    session sets their bytes. Spark's own limits are 10,000 rows and 64 MB, which every task holds several times over:
+    in its JVM, outside the heap, and in its worker with the arrays made from it.
+
+    Steps run after ``operator`` returns are not concerned, so it should store what its Python steps give.
+    """
+
+    @wraps(operator)
+    def run(rows: DataFrame, *args, **named) -> DataFrame:
+        spark = rows.sparkSession
+        if spark.conf.get(_BATCH_SETTING, None) is not None:
+            return operator(rows, *args, **named)
+        spark.conf.set(_BATCH_SETTING, str(_BATCH_BYTES))
+        try:
+            return operator(rows, *args, **named)
+        finally:
+            spark.conf.unset(_BATCH_SETTING)
+
+    return run
+
+
 #: Words of 64 bits in a set of hashes that is sent to every task: its size bounds the broadcast.
 _FILTER_WORDS = 1 << 16
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakegauge.llm.columns import possibly_among, stored, tasks_for
+from lakegauge.llm.columns import in_small_batches, possibly_among, stored, tasks_for
 from lakegauge.llm.components import components, joined_further
 from lakegauge.llm.packed import pack_integers, pack_sorted, unpack_integers, unpack_sorted
 from lakegauge.llm.shingles import Sets, shingle_sets, signatures, signatures_per_element
@@ -432,6 +432,7 @@ def _sharing_a_key(usable: DataFrame) -> DataFrame:
     return usable.join(least, "key").where("class <> a").select("a", F.col("class").alias("b")).distinct()
 
 
+@in_small_batches
 def similar_texts(
     documents: DataFrame,
     *,

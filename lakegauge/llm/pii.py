@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakegauge.llm.columns import stored
+from lakegauge.llm.columns import in_small_batches, stored
 
 #: Kinds in their order; the patterns find all but the last two.
 KINDS = ("email", "ip", "card", "phone", "term", "secret")
@@ -402,6 +402,7 @@ def _redacted(text: str, spans: list[Span], terms: list[tuple[int, int, bool]])
     return "".join([*out, text[done:]])
 
 
+@in_small_batches
 def sanitise(documents: DataFrame, *, key: str = "doc_id", text: str = "text", **thresholds: float) -> DataFrame:
     """``documents`` with personal data and secrets replaced in ``text``; all other columns unchanged, null text stays null."""
     _, terms = _spans_with_terms(documents, key, text, **thresholds)
@@ -410,7 +411,8 @@ def sanitise(documents: DataFrame, *, key: str = "doc_id", text: str = "text", *
         F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(text).alias("text_hash")
     )
     marked = _beside(marked, terms).select("row", "terms")
-    marked = marked.select("row", F.col("row")[text].alias("text"), "terms")
+    # The text goes to Python once, beside the other columns.
+    marked = marked.select(F.col("row").dropFields(f"`{text}`").alias("row"), F.col("row")[text].alias("text"), "terms")
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -423,4 +425,5 @@ def sanitise(documents: DataFrame, *, key: str = "doc_id", text: str = "text", *
 
     row_type = marked.schema["row"].dataType
     replaced = marked.mapInArrow(replace, StructType().add("row", row_type).add("text", "string"))
-    return replaced.select(*(F.col("text" if n == text else f"row.`{n}`").alias(n) for n in schema.names))
+    replaced = replaced.select(*(F.col("text" if n == text else f"row.`{n}`").alias(n) for n in schema.names))
+    return stored(replaced, "sanitised")

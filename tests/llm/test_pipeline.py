@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 import corpus_pipeline
 from lakegauge.llm.columns import stored
 from lakegauge.llm.pii import KINDS
@@ -80,6 +82,40 @@ def test_run_applies_the_stages(spark, documents):
     assert 0.5 * documents.count() < len(keys) < documents.count()
 
 
+def test_python_steps_take_small_batches(spark, monkeypatch):
+    texts = [" ".join(invented(20_000, 300 + n)) + f" box{n}@mail.example.com" for n in range(30)]
+    rows = [(n, text) for n, text in enumerate(texts)] + [(100 + n, f"{text} end") for n, text in enumerate(texts)]
+    docs = stored(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "test-texts")
+    plain = type(docs).mapInArrow
+
+    def map_bounded(self, function, schema):
+        def bounded(batches):
+            for batch in batches:
+                if batch.nbytes > 3 << 20:
+                    raise ValueError(f"a batch of {batch.nbytes} bytes")
+                yield batch
+
+        return plain(self, lambda batches: function(bounded(batches)), schema)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", map_bounded)
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").coalesce(1)
+    kept = stored(kept, "test-stage")
+    assert {r.doc_id: r.text for r in kept.collect()} == dict(enumerate(texts))
+    cleaned = corpus_pipeline.private_data(spark, kept, "").collect()
+    wanted = {n: text.replace(f"box{n}@mail.example.com", "[EMAIL]") for n, text in enumerate(texts)}
+    assert {r.doc_id: r.text for r in cleaned} == wanted
+    assert spark.conf.get(setting, None) is None
+    # A session's own limit stands.
+    spark.conf.set(setting, str(16 << 20))
+    try:
+        with pytest.raises(Exception, match="a batch of"):
+            corpus_pipeline.near_duplicates(spark, docs, "").collect()
+        assert spark.conf.get(setting) == str(16 << 20)
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_names():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality rules", "line dedup", "near duplicates", "private data", "packing",
